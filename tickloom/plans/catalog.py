@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from tickloom.plans import (  # noqa: F401
+    clean_queries,
+    indicator_queries,
+    monitor_queries,
     storage_queries,
+    stream_queries,
 )
 from tickloom.plans.registry import ORACLES, QUERIES, Run
 

@@ -14,13 +14,23 @@ EXCHANGE_ZONE = "Asia/Kolkata"
 
 UINT32_MAX = 2**32 - 1
 
-PRICE = T.DecimalType(18, 4)
-MONEY = T.DecimalType(18, 2)
-LABELS = T.MapType(T.StringType(), T.StringType())
+
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "price": T.DecimalType(18, 4),
+    "money": T.DecimalType(18, 2),
+    "labels": T.MapType(T.StringType(), T.StringType()),
+}
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+def _struct(columns: str) -> T.StructType:
+    """Schema from "name type, name type"; needs no session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 @dataclass(frozen=True)
@@ -56,9 +66,9 @@ EQUITY = TableSpec(
     name="equity",
     schema=_struct(
         """symbol string, series string, date date, timestamp timestamp,
-        open decimal(18,4), high decimal(18,4), low decimal(18,4), close decimal(18,4),
-        last decimal(18,4), prev_close decimal(18,4),
-        total_traded_quantity bigint, total_traded_value decimal(18,2), total_trades bigint,
+        open price, high price, low price, close price,
+        last price, prev_close price,
+        total_traded_quantity bigint, total_traded_value money, total_trades bigint,
         isin string, created_at timestamp"""
     ),
     key=("symbol",),
@@ -74,11 +84,11 @@ EQUITY = TableSpec(
 DERIVATIVES = TableSpec(
     name="derivatives",
     schema=_struct(
-        """symbol string, expiry_date date, instrument_type string, strike_price decimal(18,4),
+        """symbol string, expiry_date date, instrument_type string, strike_price price,
         option_type string, date date, timestamp timestamp,
-        open decimal(18,4), high decimal(18,4), low decimal(18,4), close decimal(18,4),
-        last decimal(18,4), prev_close decimal(18,4),
-        volume bigint, value decimal(18,2), open_interest bigint, change_in_oi bigint,
+        open price, high price, low price, close price,
+        last price, prev_close price,
+        volume bigint, value money, open_interest bigint, change_in_oi bigint,
         created_at timestamp"""
     ),
     key=("symbol", "expiry_date", "instrument_type", "strike_price", "option_type"),
@@ -94,10 +104,10 @@ INDICES = TableSpec(
     name="indices",
     schema=_struct(
         """index_name string, date date, timestamp timestamp,
-        open decimal(18,4), high decimal(18,4), low decimal(18,4), close decimal(18,4),
-        points_change decimal(18,4), percent_change decimal(18,4),
-        volume bigint, turnover decimal(18,2),
-        pe decimal(18,4), pb decimal(18,4), div_yield decimal(18,4), created_at timestamp"""
+        open price, high price, low price, close price,
+        points_change price, percent_change price,
+        volume bigint, turnover money,
+        pe price, pb price, div_yield price, created_at timestamp"""
     ),
     key=("index_name",),
     layout=("index_name", "timestamp"),
@@ -111,7 +121,7 @@ INDICES = TableSpec(
 SYSTEM_METRICS = TableSpec(
     name="system_metrics",
     schema=_struct(
-        """metric_name string, metric_value double, labels map<string,string>,
+        """metric_name string, metric_value double, labels labels,
         timestamp timestamp"""
     ),
     key=("metric_name",),
@@ -124,7 +134,7 @@ SYSTEM_METRICS = TableSpec(
 PROCESSING_LOGS = TableSpec(
     name="processing_logs",
     schema=_struct(
-        """log_level string, component string, message string, extra map<string,string>,
+        """log_level string, component string, message string, extra labels,
         timestamp timestamp"""
     ),
     key=("component",),

@@ -24,9 +24,10 @@ def feed(
     schema: T.StructType,
     file_format: str = "json",
     files_per_batch: int | None = None,
+    **options: str,
 ) -> DataFrame:
     """Stream of the records in the files of a folder, as they arrive."""
-    reader = spark.readStream.schema(schema).format(file_format)
+    reader = spark.readStream.schema(schema).format(file_format).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
