@@ -36,7 +36,7 @@ def _mean(price: Column, w: WindowSpec, n: int) -> Column:
 
 
 def price_change(
-    df: DataFrame, keys: Keys, order: Keys, price: str = "price", rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, keys: Keys, order: Keys, price: str = "price", rows_per_task: int | None = ROWS_PER_TASK
 ) -> DataFrame:
     """Previous price, difference, and difference in percent of the previous price."""
 
@@ -60,7 +60,7 @@ def returns(
     order: Keys,
     price: str = "price",
     n: int = 10,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Simple and log return over one row, and rate of change over n rows."""
     now = F.col(price).cast("double")
@@ -85,7 +85,7 @@ def sma(
     order: Keys,
     price: str = "price",
     n: int = 20,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Simple moving average over n rows."""
 
@@ -102,7 +102,7 @@ def bollinger(
     price: str = "price",
     n: int = 20,
     k: float = 2.0,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Moving average and the bands k population standard deviations around it."""
 
@@ -128,7 +128,7 @@ def volatility(
     order: Keys,
     price: str = "price",
     n: int = 20,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Sample standard deviation of the last n log returns."""
 
@@ -151,7 +151,7 @@ def stochastic(
     order: Keys,
     n: int = 14,
     smooth: int = 3,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """%K and %D over bars with high, low and close; NULL where the range is flat."""
 
@@ -174,7 +174,7 @@ def vwap(
     order: Keys,
     price: str = "price",
     quantity: str = "qty",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Volume-weighted average price since the start of the day."""
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -193,7 +193,7 @@ def obv(
     order: Keys,
     price: str = "close",
     quantity: str = "volume",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """On-balance volume: quantity added when the price rises and taken off when it falls."""
 
@@ -233,60 +233,44 @@ def ema_alpha(n: int) -> float:
     return 2.0 / (n + 1)
 
 
-class Smoothing:
-    """Exponential smoothing of consecutive pieces of series, keeping the state between them."""
-
-    def __init__(self, alpha: float):
-        self.alpha = alpha
-        self.state: float | None = None
-
-    def __call__(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
-        series = np.cumsum(first)
-        values, groups = x, series
-        carried = self.state is not None and series[0] == 0
-        if carried:
-            values = np.concatenate([[self.state], x])
-            groups = np.concatenate([[0], series])
-        smooth = (
-            pd.Series(values)
-            .groupby(groups, sort=False)
-            .ewm(alpha=self.alpha, adjust=False, ignore_na=True)
-            .mean()
-            .to_numpy()
-        )
-        smooth = smooth[1:] if carried else smooth
-        self.state = None if np.isnan(smooth[-1]) else float(smooth[-1])
-        return smooth
-
-
 def _smooth_partition(steps: Sequence[tuple[str, float, tuple[str, ...]]]):
     """Arrow function that adds a smoothed column per step (output, alpha, inputs).
 
     With two inputs the difference of the first and the second is smoothed; an input may be the
-    output of an earlier step.
+    output of an earlier step. All it needs is inside it, so workers need not have this package.
     """
 
+    def smooth(
+        x: np.ndarray, first: np.ndarray, alpha: float, state: float | None
+    ) -> tuple[np.ndarray, float | None]:
+        groups = np.cumsum(first)
+        carried = state is not None and groups[0] == 0
+        if carried:
+            x, groups = np.concatenate([[state], x]), np.concatenate([[0], groups])
+        grouped = pd.Series(x).groupby(groups, sort=False)
+        y = grouped.ewm(alpha=alpha, adjust=False, ignore_na=True).mean().to_numpy()
+        y = y[1:] if carried else y
+        return y, None if np.isnan(y[-1]) else float(y[-1])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        smoothings = [Smoothing(alpha) for _, alpha, _ in steps]
+        states: list[float | None] = [None] * len(steps)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             first = batch.column(FIRST).to_numpy(zero_copy_only=False).astype(bool)
-            made: dict[str, np.ndarray] = {}
-
-            def get(name: str, rows=batch, made=made) -> np.ndarray:
-                if name not in made:
-                    column = rows.column(name).cast(pa.float64())
-                    made[name] = column.to_numpy(zero_copy_only=False).astype(float)
-                return made[name]
-
-            for smooth, (out, _, inputs) in zip(smoothings, steps):
-                x = get(inputs[0]) if len(inputs) == 1 else get(inputs[0]) - get(inputs[1])
-                made[out] = smooth(x, first)
-            new = [pa.array(made[out], from_pandas=True) for out, _, _ in steps]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *new], [*batch.schema.names, *[s[0] for s in steps]]
-            )
+            values = {}
+            for i, (out, alpha, inputs) in enumerate(steps):
+                for name in inputs:
+                    if name not in values:
+                        column = batch.column(name).to_numpy(zero_copy_only=False)
+                        values[name] = column.astype(float)
+                x = values[inputs[0]]
+                if len(inputs) == 2:
+                    x = x - values[inputs[1]]
+                values[out], states[i] = smooth(x, first, alpha, states[i])
+            new = [pa.array(values[out], from_pandas=True) for out, _, _ in steps]
+            names = [*batch.schema.names, *[out for out, _, _ in steps]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names)
 
     return run
 
@@ -314,7 +298,7 @@ def ema(
     order: Keys,
     price: str = "price",
     n: int = 12,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Exponential moving average with alpha 2 / (n + 1), starting at the first price."""
     series = ordered(df, keys, order, rows_per_task)
@@ -333,7 +317,7 @@ def macd(
     fast: int = 12,
     slow: int = 26,
     signal: int = 9,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Difference of a fast and a slow EMA, the EMA of that, and what is between the two."""
     series = ordered(df, keys, order, rows_per_task)
@@ -371,7 +355,7 @@ def rsi(
     order: Keys,
     price: str = "price",
     n: int = 14,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Relative strength by Wilder's smoothing; NULL for the first n rows, 100 without losses."""
     series = ordered(df, keys, order, rows_per_task)
@@ -401,7 +385,7 @@ def rsi(
 
 
 def atr(
-    df: DataFrame, keys: Keys, order: Keys, n: int = 14, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, keys: Keys, order: Keys, n: int = 14, rows_per_task: int | None = ROWS_PER_TASK
 ) -> DataFrame:
     """Average true range of bars by Wilder's smoothing; NULL for the first n - 1 rows."""
     series = ordered(df, keys, order, rows_per_task)

@@ -41,8 +41,14 @@ def ohlcv_daily(df: DataFrame, key: str = "symbol", timestamp: str = "ts", **col
 def bars(
     df: DataFrame, width: str, key: str = "symbol", timestamp: str = "ts", **columns
 ) -> DataFrame:
-    """Summary per symbol and time bucket."""
-    return ohlcv(df, [key, F.window(timestamp, width)["start"].alias("bar")], **columns)
+    """Summary per symbol and time bucket.
+
+    Grouped by the window itself, which keeps a stream's watermark, and named by its start.
+    """
+    grouped = ohlcv(df, [key, F.window(timestamp, width).alias("_window")], **columns)
+    return grouped.select(
+        key, F.col("_window.start").alias("bar"), *[c for c in grouped.columns[2:]]
+    )
 
 
 def volume(

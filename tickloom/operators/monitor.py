@@ -79,7 +79,7 @@ def exact_percentile(
     by: Sequence[str],
     value: str,
     shares: dict[str, float],
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Interpolated percentiles per group, for groups of any size.
 
@@ -123,7 +123,7 @@ def _percentiles(
     shares: dict[str, float],
     summary: list[Column],
     approximate: bool,
-    rows_per_task: int,
+    rows_per_task: int | None,
 ) -> DataFrame:
     if approximate:
         return df.groupBy(*by).agg(
@@ -139,7 +139,7 @@ def metric_rollup(
     label: str,
     width: str = "1 hour",
     approximate: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Count, min, max, avg and p95 of system metrics per name, one label and time bucket."""
     rows = df.select(
@@ -165,7 +165,7 @@ def error_rate(
     df: DataFrame,
     width: str = "1 hour",
     approximate: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Share of failed requests, and median, p95 and p99 of the response time, per bucket."""
     rows = df.select(

@@ -176,39 +176,73 @@ def _cut_points(
     return {k: [first for first, _ in c[1:]] for k, c in chunks.items()}, smallest
 
 
+def _reached(cuts: str, here: Column, longest: int) -> Column:
+    """How many values of a sorted array are <= here, by halving; NULL without an array."""
+    steps = [F.lit(1 << bit) for bit in reversed(range(longest.bit_length()))] or [F.lit(0)]
+
+    def climb(at: Column, step: Column) -> Column:
+        return at + F.when(F.get(F.col(cuts), at + step - 1) <= here, step).otherwise(F.lit(0))
+
+    return F.when(F.col(cuts).isNotNull(), F.aggregate(F.array(*steps), F.lit(0), climb))
+
+
+def _place(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: dict[tuple, list[tuple]]
+) -> DataFrame:
+    """Add the chunk a row is in, NULL for keys that are not cut.
+
+    Two broadcast look-ups, the first into every n-th cut point and the second into the n that
+    follow it, so that a row passes a few hundred cut points through the join, not all.
+    """
+    longest = max(len(c) for c in cuts.values())
+    width = max(1, math.isqrt(longest))
+    points = T.ArrayType(T.StructType([df.schema[c] for c in order]))
+    key_fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
+    coarse = T.StructType([*key_fields, T.StructField(CUTS, points)])
+    fine = T.StructType(
+        [*key_fields, T.StructField(CHUNK, T.IntegerType()), T.StructField(CUTS, points)]
+    )
+    session = df.sparkSession
+    firsts = session.createDataFrame([(*k, c[::width]) for k, c in cuts.items()], coarse)
+    blocks = session.createDataFrame(
+        [
+            (*k, block + 1, c[block * width : (block + 1) * width])
+            for k, c in cuts.items()
+            for block in range(math.ceil(len(c) / width))
+        ],
+        fine,
+    )
+    here = F.struct(*order)
+    in_block = (
+        join_on(df, F.broadcast(firsts), keys, "left")
+        .withColumn(CHUNK, _reached(CUTS, here, math.ceil(longest / width)))
+        .drop(CUTS)
+    )
+    place = F.coalesce(_reached(CUTS, here, width), F.lit(0))
+    before = F.greatest(F.col(CHUNK) - 1, F.lit(0)) * width
+    return (
+        join_on(in_block, F.broadcast(blocks), [*keys, CHUNK], "left")
+        .withColumn(CHUNK, F.when(F.col(CHUNK).isNotNull(), before + place))
+        .drop(CUTS)
+    )
+
+
 def ordered(
     df: DataFrame,
     keys: str | Sequence[str],
     order: str | Sequence[str],
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> Ordered:
     """Prepare a DataFrame for windows in order within each key.
 
     `order` must be unique inside a key (end it in an id), or ties have no place to be cut.
+    Counting rows per key reads the input once more; `rows_per_task=None` leaves that out, for
+    series whose length has a bound of its own, such as one bar per day.
     """
     keys = (keys,) if isinstance(keys, str) else tuple(keys)
     order = (order,) if isinstance(order, str) else tuple(order)
-    found = hot_keys(df, keys, rows_per_task)
+    found = hot_keys(df, keys, rows_per_task) if rows_per_task else None
     if found is None:
         return Ordered(df, keys, order)
     cuts, smallest = _cut_points(df, keys, order, *found)
-    point = T.StructType([df.schema[c] for c in order])
-    schema = T.StructType(
-        [df.schema[k] for k in keys] + [T.StructField(CUTS, T.ArrayType(point))]
-    )
-    for f in schema.fields:
-        f.nullable = True
-    table = df.sparkSession.createDataFrame([(*k, c) for k, c in cuts.items()], schema)
-    placed = join_on(df, F.broadcast(table), keys, "left").withColumn(
-        CHUNK, F.when(F.col(CUTS).isNotNull(), F.lit(0))
-    )
-    # Binary search, one projection per level: how many cut points are <= this row.
-    here = F.struct(*order)
-    step = 1 << max(0, max(len(c) for c in cuts.values()).bit_length() - 1)
-    while step:
-        reached = F.get(F.col(CUTS), F.col(CHUNK) + (step - 1)) <= here
-        placed = placed.withColumn(
-            CHUNK, F.col(CHUNK) + F.when(reached, F.lit(step)).otherwise(F.lit(0))
-        )
-        step >>= 1
-    return Ordered(placed.drop(CUTS), keys, order, cut=True, smallest=smallest)
+    return Ordered(_place(df, keys, order, cuts), keys, order, cut=True, smallest=smallest)

@@ -54,7 +54,7 @@ def check_derived(
     order: str | Sequence[str],
     points: tuple[str, str, str] | None = ("close", "points_change", "percent_change"),
     interest: tuple[str, str] | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Flag rows whose stored change does not follow from the row before, in `derived_fails`.
 
