@@ -81,7 +81,7 @@ def test_requests(spark):
     assert got["r4"]["path"] == "/late"
 
 
-def test_exact_percentile_equals_builtin_in_chunks(spark):
+def test_percentiles_equal_the_builtin_in_chunks(spark):
     rows = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, "rare").otherwise("hot").alias("g"),
         ((F.col("id") * 7919) % 1013 / 8).alias("x"),
@@ -94,7 +94,7 @@ def test_exact_percentile_equals_builtin_in_chunks(spark):
         .collect()
     }
     for size in (10, 100, 10**6):
-        got = M.exact_percentile(rows, ["g"], "x", shares, rows_per_task=size).collect()
+        got = M.distribution(rows, ["g"], "x", shares, rows_per_task=size).collect()
         assert {(r["g"], round(r["p50"], 9), round(r["p99"], 9)) for r in got} == {
             (g, round(a, 9), round(b, 9)) for g, a, b in want
         }
@@ -120,3 +120,13 @@ def test_rules_too_many_to_broadcast_join_by_shuffle(spark):
     assert [r["severity"] for r in M.alerts_fired(metrics, rules).collect()] == ["warning"]
     small = M.broadcast_if_small(rules, rows=1)
     assert "broadcast" not in small._jdf.queryExecution().logical().toString().lower()
+
+
+def test_distribution_with_nulls(spark):
+    rows = spark.createDataFrame(
+        [("a", 1.0), ("a", None), ("a", 3.0), ("b", None)], "g string, x double"
+    )
+    sums = {"rows": F.count(F.lit(1))}
+    got = {r["g"]: r for r in M.distribution(rows, ["g"], "x", {"p50": 0.5}, sums).collect()}
+    assert (got["a"]["n"], got["a"]["rows"], got["a"]["p50"], got["a"]["avg_value"]) == (2, 3, 2.0, 2.0)
+    assert (got["b"]["n"], got["b"]["rows"], got["b"]["p50"], got["b"]["avg_value"]) == (0, 1, None, None)

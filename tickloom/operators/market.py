@@ -19,9 +19,10 @@ def ohlcv(
 ) -> DataFrame:
     """Open, high, low, close, volume, value and trades per group.
 
-    `order` ends in an id, so that open and close are well defined among equal times.
+    `order` ends in an id, so that open and close are well defined among equal times. Where
+    times are unique, the time alone is enough and lets Spark aggregate by hash, not by sort.
     """
-    when = F.struct(*order)
+    when = F.struct(*order) if len(order) > 1 else F.col(order[0])
     return df.groupBy(*by).agg(
         F.min_by(price, when).alias("open"),
         F.max(price).alias("high"),
@@ -86,20 +87,19 @@ def expected_instruments(
 def coverage(expected: DataFrame, seen: DataFrame, key: str, day: str = "date") -> DataFrame:
     """Observed and expected instruments per day, and their ratio.
 
-    `seen` may hold any number of rows per instrument. Both sides shrink to distinct pairs
-    before they meet.
+    `seen` may hold any number of rows per instrument. Both sides shrink to one row per
+    instrument and day in the same aggregate, so there is nothing to join.
     """
-    pairs = seen.select(day, key).distinct().withColumn("_seen", F.lit(1))
-    wanted = expected.select(day, key).distinct()
-    observed, total = F.count("_seen"), F.count(F.lit(1))
-    return (
-        wanted.join(pairs, [day, key], "left")
-        .groupBy(day)
-        .agg(
-            observed.alias("observed"),
-            total.alias("expected"),
-            (observed / total).alias("coverage"),
-        )
+    wanted = expected.select(day, key, F.lit(True).alias("_wanted"), F.lit(False).alias("_seen"))
+    there = seen.select(day, key, F.lit(False).alias("_wanted"), F.lit(True).alias("_seen"))
+    pairs = wanted.unionByName(there).groupBy(day, key).agg(
+        F.max("_wanted").alias("_wanted"), F.max("_seen").alias("_seen")
+    )
+    observed = F.count_if(F.col("_wanted") & F.col("_seen"))
+    total = F.count_if("_wanted")
+    counts = pairs.groupBy(day).agg(observed.alias("observed"), total.alias("expected"))
+    return counts.filter(F.col("expected") > 0).withColumn(
+        "coverage", F.col("observed") / F.col("expected")
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import severity as S
 from tickloom.operators.normalize import merge_extra
-from tickloom.operators.ordered import ROWS_PER_TASK, join_on, ordered
+from tickloom.operators.ordered import ROWS_PER_TASK, hot_keys, ordered
 
 HEALTH_SECONDS = 30
 BROADCAST_ROWS = 100_000
@@ -74,22 +74,37 @@ def request_metrics(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def exact_percentile(
+def distribution(
     df: DataFrame,
     by: Sequence[str],
     value: str,
     shares: dict[str, float],
+    sums: dict[str, Column] | None = None,
+    approximate: bool = False,
     rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Interpolated percentiles per group, for groups of any size.
+    """Count, min, max, avg and interpolated percentiles of a value per group, of any size.
 
-    Equal values are counted before the shuffle and the counts are summed up in value order, so no
-    task holds the distinct values of a whole group.
+    `sums` are further counts or sums over the group's rows. Rows with equal values shrink to
+    one before the shuffle, and their counts are added up in value order, so no task holds the
+    distinct values of a whole group. `approximate` takes sketches instead, in one aggregate.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
+    sums = sums or {}
+    x = F.col(value)
+    if approximate:
+        return df.groupBy(*by).agg(
+            F.count(x).alias("n"),
+            F.min(x).alias("min_value"),
+            F.max(x).alias("max_value"),
+            F.avg(x).alias("avg_value"),
+            *[F.percentile_approx(value, s, 10_000).alias(name) for name, s in shares.items()],
+            *[c.alias(name) for name, c in sums.items()],
+        )
+    # A group has no more distinct values than rows, and rows are cheaper to count.
+    if rows_per_task and hot_keys(df, by, rows_per_task) is None:
+        rows_per_task = None
+    counts = df.groupBy(*by, value).agg(
+        F.count(x).alias("_n"), *[c.alias(name) for name, c in sums.items()]
     )
     placed = (
         ordered(counts, by, value, rows_per_task)
@@ -100,38 +115,31 @@ def exact_percentile(
     for name, share in shares.items():
         place = F.lit(float(share)) * (F.col("_all") - 1)
         for end, position in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-            reached = F.when(F.col("_upto") > position, F.col(value).cast("double"))
+            reached = F.when(F.col("_upto") > position, x.cast("double"))
             picks.append(F.min(reached).alias(f"_{name}_{end}"))
         picks.append(F.max(place - F.floor(place)).alias(f"_{name}_part"))
-    found = placed.groupBy(*by).agg(*picks)
-    return found.select(
-        *by,
-        *[
-            (
-                F.col(f"_{n}_lo")
-                + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_part")
-            ).alias(n)
-            for n in shares
-        ],
-    )
 
+    def between(name: str) -> Column:
+        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        return (low + (high - low) * F.col(f"_{name}_part")).alias(name)
 
-def _percentiles(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    shares: dict[str, float],
-    summary: list[Column],
-    approximate: bool,
-    rows_per_task: int | None,
-) -> DataFrame:
-    if approximate:
-        return df.groupBy(*by).agg(
-            *summary,
-            *[F.percentile_approx(value, s, 10_000).alias(n) for n, s in shares.items()],
+    return (
+        placed.groupBy(*by)
+        .agg(
+            F.sum("_n").alias("n"),
+            F.min(x).alias("min_value"),
+            F.max(x).alias("max_value"),
+            F.try_divide(F.sum(x * F.col("_n")), F.sum("_n")).alias("avg_value"),
+            *[F.sum(name).alias(name) for name in sums],
+            *picks,
+        )
+        .select(
+            *by,
+            *["n", "min_value", "max_value", "avg_value"],
+            *[between(name) for name in shares],
+            *sums,
         )
-    exact = exact_percentile(df, by, value, shares, rows_per_task)
-    return join_on(df.groupBy(*by).agg(*summary), exact, by, "left")
+    )
 
 
 def metric_rollup(
@@ -148,16 +156,9 @@ def metric_rollup(
         F.col("labels").getItem(label).alias(label),
         F.window("timestamp", width)["start"].alias("bucket"),
     )
-    value = F.col("metric_value")
-    summary = [
-        F.count(value).alias("n"),
-        F.min(value).alias("min_value"),
-        F.max(value).alias("max_value"),
-        F.avg(value).alias("avg_value"),
-    ]
     by = ["metric_name", label, "bucket"]
-    return _percentiles(
-        rows, by, "metric_value", {"p95": 0.95}, summary, approximate, rows_per_task
+    return distribution(
+        rows, by, "metric_value", {"p95": 0.95}, None, approximate, rows_per_task
     )
 
 
@@ -171,12 +172,16 @@ def error_rate(
     rows = df.select(
         F.window("timestamp", width)["start"].alias("bucket"), "status_code", "response_time"
     )
-    failed = F.when(F.col("status_code") >= S.SERVER_ERROR, 1.0).otherwise(0.0)
-    summary = [F.count(F.lit(1)).alias("requests"), F.avg(failed).alias("error_rate")]
     shares = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    return _percentiles(
-        rows, ["bucket"], "response_time", shares, summary, approximate, rows_per_task
+    sums = {
+        "requests": F.count(F.lit(1)),
+        "_failed": F.count_if(F.col("status_code") >= S.SERVER_ERROR),
+    }
+    found = distribution(
+        rows, ["bucket"], "response_time", shares, sums, approximate, rows_per_task
     )
+    rate = (F.col("_failed") / F.col("requests")).alias("error_rate")
+    return found.select("bucket", "requests", rate, *shares)
 
 
 def records_per_hour(df: DataFrame, feed: str, timestamp: str = "timestamp") -> DataFrame:

@@ -47,19 +47,21 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) ->
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> tuple[DataFrame, int] | None:
-    """Keys with more rows than a task should hold, and the row threshold; None if there are none.
+) -> tuple[DataFrame, int, int] | None:
+    """Keys with more rows than a task should hold, their rows in all, and rows per chunk.
 
-    The threshold rises with the table, so that there are never more than MAX_CHUNKS hot keys.
+    None if there are no such keys. The key columns are read and counted once. At most MAX_CHUNKS keys come back, those with
+    the most rows; any key left out then holds less than 1 / MAX_CHUNKS of the table. The rows
+    per chunk rise with the table for the same bound on the number of chunks.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-    if largest is None or largest <= rows_per_task:
+    largest_first = counts.filter(F.col("_rows") > rows_per_task).orderBy(F.desc("_rows"))
+    hot = largest_first.limit(MAX_CHUNKS).collect()
+    if not hot:
         return None
-    threshold = max(rows_per_task, math.ceil(total / MAX_CHUNKS))
-    hot = counts.filter(F.col("_rows") > threshold)
-    rows = hot.collect()  # fewer than MAX_CHUNKS, since each holds total / MAX_CHUNKS rows
-    return (df.sparkSession.createDataFrame(rows, hot.schema), threshold) if rows else None
+    rows = sum(r["_rows"] for r in hot)
+    per_chunk = max(rows_per_task, math.ceil(rows / MAX_CHUNKS))
+    return df.sparkSession.createDataFrame(hot, counts.schema), rows, per_chunk
 
 
 @dataclass(frozen=True)
@@ -153,26 +155,29 @@ class Ordered:
 
 
 def _cut_points(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, threshold: int
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    hot: DataFrame,
+    hot_rows: int,
+    per_chunk: int,
 ) -> tuple[dict[tuple, list[tuple]], int]:
     """First order values of every chunk but the first, per hot key, and the smallest chunk."""
     narrow = join_on(df.select(*keys, *order), F.broadcast(hot.drop("_rows")), keys, "left_semi")
-    hot_rows = hot.agg(F.sum("_rows")).first()[0]
     pieces = (
-        narrow.repartitionByRange(max(2, math.ceil(2 * hot_rows / threshold)), *keys, *order)
+        narrow.repartitionByRange(max(2, math.ceil(2 * hot_rows / per_chunk)), *keys, *order)
         .groupBy(*keys, F.spark_partition_id().alias("_piece"))
         .agg(F.count(F.lit(1)).alias("_rows"), F.min(F.struct(*order)).alias("_first"))
-        .orderBy(*keys, "_piece")
         .collect()
     )
     chunks: dict[tuple, list[list]] = {}
-    for row in pieces:
+    for row in sorted(pieces, key=lambda r: r["_piece"]):
         of_key = chunks.setdefault(tuple(row[k] for k in keys), [])
-        if of_key and of_key[-1][1] < threshold // 2:
+        if of_key and of_key[-1][1] < per_chunk // 2:
             of_key[-1][1] += row["_rows"]
         else:
             of_key.append([tuple(row["_first"]), row["_rows"]])
-    smallest = min((n for c in chunks.values() for _, n in c[:-1]), default=threshold)
+    smallest = min((n for c in chunks.values() for _, n in c[:-1]), default=per_chunk)
     return {k: [first for first, _ in c[1:]] for k, c in chunks.items()}, smallest
 
 

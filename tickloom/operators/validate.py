@@ -94,7 +94,7 @@ def count_copies(
     found = hot_keys(df, keys, rows_per_task)
     if found is None:
         return df.withColumn(COPIES, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    hot, _ = found
+    hot = found[0]
     known = join_on(df, F.broadcast(hot), keys, "left").withColumn(
         "_spread", F.when(F.col("_rows").isNotNull(), F.spark_partition_id())
     )

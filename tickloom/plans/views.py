@@ -245,11 +245,12 @@ def dirty_bars(spark: SparkSession, folder: str) -> DataFrame:
     hourly = hour_bars(spark, folder).withColumn(
         "mark", F.floor(F.unix_timestamp("bar") / 3600) + F.length("symbol")
     )
-    with_prices = price_change(hourly, "symbol", "bar", "close").withColumnRenamed(
+    # One bar per symbol and hour: too few to be cut.
+    with_prices = price_change(hourly, "symbol", "bar", "close", None).withColumnRenamed(
         "change", "points"
     )
     rows = price_change(
-        with_prices.drop("prev_price", "change_pct"), "symbol", "bar", "volume"
+        with_prices.drop("prev_price", "change_pct"), "symbol", "bar", "volume", None
     ).withColumnRenamed("change", "interest")
 
     def every(n: int) -> Column:
