@@ -63,6 +63,38 @@ def test_late_rows_stay_out_of_the_recursion(spark, events, tmp_path):
     assert late.count() > 0 and late.filter("ema is not null").count() == 0
 
 
+@pytest.mark.parametrize("size", [10**6, 150])
+def test_running_ema_over_batches(spark, events, tmp_path, size):
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    n = events.count()
+    # The last part repeats the time of the first: all of it is late.
+    land(events, landing, thirds(events))
+    land(events, landing, [(0, n // 10)])
+    ticks = V.as_ticks(feeds.feed(spark, landing, events.schema, "parquet", files_per_batch=1))
+    handle = sinks.running_ema(out, n=3, rows_per_task=size)
+    sinks.each_batch(ticks, handle, str(tmp_path / "cp")).awaitTermination()
+    rows = spark.read.parquet(f"{out}/rows")
+    assert rows.groupBy("batch").count().count() == 4
+    late = rows.filter("is_late")
+    assert late.filter("batch = 3").count() == late.count() == n // 10
+    assert late.filter("ema is not null").count() == 0
+    want = I.ema(V.as_ticks(events), "symbol", ["ts", "trade_id"], n=3)
+    both = rows.filter("not is_late").join(
+        want.select("trade_id", F.col("ema").alias("want")), "trade_id"
+    )
+    assert both.count() == n
+    assert both.filter(F.abs(F.col("ema") - F.col("want")) > 1e-9).count() == 0
+
+
+def test_messages(spark):
+    sent = spark.createDataFrame([(bytearray(b'{"symbol": "A", "open": 1.5}'),), (bytearray(b"{bad"),)], "value binary")
+    rows = feeds.read_messages(sent, RAW_EQUITY).collect()
+    assert [(r["symbol"], r["open"], r["_corrupt"]) for r in rows] == [
+        ("A", 1.5, None),
+        (None, None, "{bad"),
+    ]
+
+
 def test_bars_over_batches(spark, events, tmp_path):
     landing, out = str(tmp_path / "in"), str(tmp_path / "out")
     land(events, landing, thirds(events))

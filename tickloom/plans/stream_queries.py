@@ -145,6 +145,18 @@ SELECT trade_id, symbol, round(ema, 6) AS ema, false AS is_late FROM chain""",
 
 @query(_EMA_SQL)
 def stream_ema(spark: SparkSession, folder: str) -> DataFrame:
+    out, checkpoint = new_folder(spark, "ema"), new_folder(spark, "progress")
+    stream = V.as_ticks(_events(spark, folder))
+    sinks.each_batch(stream, sinks.running_ema(out), checkpoint).awaitTermination()
+    done = spark.read.schema(
+        f"trade_id bigint, symbol string, ema double, {sinks.LATE} boolean"
+    ).parquet(f"{out}/rows")
+    return done.select("trade_id", "symbol", F.round("ema", 6).alias("ema"), sinks.LATE)
+
+
+@query(_EMA_SQL)
+def stream_ema_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The same figure from a stateful operator."""
     done = _collected(spark, state.stream_ema(V.as_ticks(_events(spark, folder))), "ema")
     return done.select("trade_id", "symbol", F.round("ema", 6).alias("ema"), state.LATE)
 

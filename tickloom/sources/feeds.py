@@ -1,36 +1,72 @@
 """Streams over landed feed files.
 
-A feed client writes files into a landing folder (or a Kafka topic feeds one); reading them is
-what is built here. A batch is bounded by files, since the file source cannot count rows.
+A feed client writes files into a landing folder or messages into a Kafka topic; reading them
+is what is built here. A batch of the file source is bounded by files, since it cannot count rows;
+one of the Kafka source is bounded by rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tickloom.sources.tables import MONTH, apply_defaults, conform, month_column, table_path
 from tickloom.schemas import TABLES
+from tickloom.sources.files import CORRUPT
+from tickloom.sources.tables import MONTH, apply_defaults, conform, month_column, table_path
 
 # Seconds between two polls of each feed.
 POLL_SECONDS = {"equity": 1, "derivatives": 1, "indices": 5}
 
+# Bounds of one micro-batch, so that a backlog is worked off in pieces.
+FILES_PER_BATCH = 1_000
+ROWS_PER_BATCH = 50_000_000
+
 
 def feed(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     file_format: str = "json",
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
     **options: str,
 ) -> DataFrame:
     """Stream of the records in the files of a folder, as they arrive."""
-    reader = spark.readStream.schema(schema).format(file_format).options(**options)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return (
+        spark.readStream.schema(schema)
+        .format(file_format)
+        .options(maxFilesPerTrigger=files_per_batch, **options)
+        .load(path)
+    )
+
+
+def topic(
+    spark: SparkSession,
+    servers: str,
+    name: str,
+    schema: T.StructType,
+    rows_per_batch: int = ROWS_PER_BATCH,
+) -> DataFrame:
+    """Stream of the JSON records in a Kafka topic; needs Spark's Kafka connector on the class path."""
+    messages = (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", name)
+        .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", rows_per_batch)
+        .load()
+    )
+    return read_messages(messages, schema)
+
+
+def read_messages(messages: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+    """Records from JSON messages; one that cannot be read keeps its text in `_corrupt`."""
+    wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json(F.col(column).cast("string"), wanted, options)
+    return messages.select(parsed.alias("_record")).select("_record.*")
 
 
 def paced(writer: DataStreamWriter, seconds: int | None) -> DataStreamWriter:

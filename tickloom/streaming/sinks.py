@@ -1,4 +1,4 @@
-"""Sinks that handle a whole micro-batch: late rows, quarantine, latest table.
+"""Sinks that handle a whole micro-batch: late rows, quarantine, latest table, running EMA.
 
 Each batch writes to a place named after its number and overwrites it, so a batch that is
 run again after a failure leaves the same result as one that ran once.
@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickloom.operators.indicators import ema
 from tickloom.operators.market import latest
+from tickloom.operators.monitor import broadcast_if_small
+from tickloom.operators.ordered import ROWS_PER_TASK, join_on
 from tickloom.operators.validate import split_valid, validate
 from tickloom.sources.feeds import paced
 from tickloom.workspace import delete_folder, is_complete, subfolders
@@ -113,6 +116,63 @@ def keep_latest(
     return handle
 
 
+LATE = "is_late"
+
+
+def running_ema(
+    path: str,
+    n: int = 12,
+    keys: Sequence[str] = ("symbol",),
+    timestamp: str = "ts",
+    trade_id: str = "trade_id",
+    price: str = "price",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> Callable[[DataFrame, int], None]:
+    """Continue the EMA of every key over all batches, for keys of any size.
+
+    The last value of each key is a row in a state table. In the next batch it stands before
+    the key's rows, and since an EMA starts at its first value, it goes on from there. So a
+    batch is an ordinary `ema`, which cuts a key with more rows than a task should hold. Rows that are
+    not after their key's state are marked late and get no value. Rows go to `path`/rows.
+    """
+    order = [timestamp, trade_id]
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        state = f"{path}/state"
+        known = [v for v in _versions(spark, state) if v < number]
+        rows = batch.select(*keys, *order, F.col(price).cast("double").alias("_x"))
+        shape = rows.schema
+        if known:
+            before = spark.read.schema(shape).parquet(f"{state}/{VERSION}={known[-1]}")
+            last = before.select(*keys, F.struct(*order).alias("_last"))
+            placed = join_on(rows, broadcast_if_small(last), keys, "left")
+            late = F.coalesce(F.struct(*order) <= F.col("_last"), F.lit(False))
+            rows = placed.withColumn(LATE, late).drop("_last")
+        else:
+            before = spark.createDataFrame([], shape)
+            rows = rows.withColumn(LATE, F.lit(False))
+        go_on = before.withColumn("_state", F.lit(True)).unionByName(
+            rows.filter(~F.col(LATE)).drop(LATE).withColumn("_state", F.lit(False))
+        )
+        smooth = ema(go_on, keys, order, "_x", n, rows_per_task).filter(~F.col("_state"))
+        done = smooth.select(*keys, *order, "ema", F.lit(False).alias(LATE)).unionByName(
+            rows.filter(LATE).select(
+                *keys, *order, F.lit(None).cast("double").alias("ema"), F.lit(True).alias(LATE)
+            )
+        )
+        _put(done, f"{path}/rows", number)
+        written = spark.read.schema(done.schema).parquet(f"{path}/rows/{BATCH}={number}")
+        on_time = written.filter(~F.col(LATE)).select(*keys, *order, F.col("ema").alias("_x"))
+        _put(
+            latest(before.unionByName(on_time), keys, timestamp, [trade_id]), state, number, VERSION
+        )
+        for old in known[:-1]:
+            delete_folder(spark, f"{state}/{VERSION}={old}")
+
+    return handle
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     names = [
         n

@@ -26,7 +26,8 @@ def stream_ema(
     The state is one number and the last place in time. Rows of one batch are put in order
     before they are folded; a row older than the state cannot enter a recursion any more and
     comes out marked late, without a value. What a symbol needs in memory is its rows of one
-    micro-batch, so bound the batch at the source.
+    micro-batch: use it for small batches that must be quick, and `sinks.running_ema`, which
+    splits a symbol over tasks, for everything else.
     """
     alpha = ema_alpha(n)
     columns = {f.name: f.dataType.simpleString() for f in ticks.schema.fields}
