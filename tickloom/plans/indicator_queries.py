@@ -53,7 +53,7 @@ _CHANGE_SQL = sql(
 SELECT trade_id, symbol, lag(price) OVER w AS prev_price,
        CAST(price - lag(price) OVER w AS DECIMAL(19,4)) AS change,
        round(CAST(price - lag(price) OVER w AS DOUBLE) * 100
-             / CAST(lag(price) OVER w AS DOUBLE), 6) AS change_pct
+             / nullif(CAST(lag(price) OVER w AS DOUBLE), 0), 6) AS change_pct
 FROM ticks {TICK_WINDOW}""",
     "ticks",
 )
@@ -67,9 +67,9 @@ def price_change(spark: SparkSession, folder: str) -> DataFrame:
 _RETURNS_SQL = sql(
     f"""
 SELECT trade_id, symbol,
-       round((p - lag(p) OVER w) / lag(p) OVER w, 6) AS simple_return,
-       round(ln(p / lag(p) OVER w), 6) AS log_return,
-       round((p - lag(p, 10) OVER w) * 100 / lag(p, 10) OVER w, 6) AS rate_of_change
+       round((p - lag(p) OVER w) / nullif(lag(p) OVER w, 0), 6) AS simple_return,
+       round(ln(nullif(p, 0) / nullif(lag(p) OVER w, 0)), 6) AS log_return,
+       round((p - lag(p, 10) OVER w) * 100 / nullif(lag(p, 10) OVER w, 0), 6) AS rate_of_change
 FROM (SELECT *, CAST(price AS DOUBLE) AS p FROM ticks) {TICK_WINDOW}""",
     "ticks",
 )
@@ -127,7 +127,8 @@ _VOLATILITY_SQL = sql(
     """
 WITH steps AS (
   SELECT trade_id, symbol, ts,
-         ln(CAST(price AS DOUBLE) / CAST(lag(price) OVER w AS DOUBLE)) AS step
+         ln(nullif(CAST(price AS DOUBLE), 0) / nullif(CAST(lag(price) OVER w AS DOUBLE), 0))
+           AS step
   FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY ts, trade_id))
 SELECT trade_id, symbol,
        CASE WHEN count(step) OVER f = 20 THEN round(stddev_samp(step) OVER f, 6) END AS volatility
