@@ -102,6 +102,25 @@ def test_metrics_month_is_exchange_month(spark, tmp_path):
     assert os.path.isdir(tmp_path / "system_metrics" / "month=202402")
     back = tables.read_table(spark, str(tmp_path), "system_metrics", "2024-02-01", "2024-02-01")
     assert back.first()["labels"] == {"a": "b"}
+    assert "timestamp" in plan(back).split("PushedFilters:")[1].split("]")[0]
+    assert tables.read_table(spark, str(tmp_path), "system_metrics", "2024-02-02").count() == 0
+    assert tables.read_table(spark, str(tmp_path), "system_metrics", end="2024-01-31").count() == 0
+
+
+def test_scan_and_retention_reach_the_files(spark, base):
+    rows = tables.read_table(spark, base, "equity")
+    found = tables.scan(rows, "equity", "A", "2024-01-31 09:01:00", "2024-02-01 09:01:00")
+    assert [r["timestamp"].minute for r in found.collect()] == [1, 2, 0]
+    pushed = plan(found).split("PushedFilters:")[1].split("]")[0]
+    assert "symbol" in pushed and "timestamp" in pushed
+    kept = tables.retain(rows, "equity", "2024-03-10")
+    assert kept.count() == 6
+    assert "GreaterThanOrEqual(date" in plan(kept)
+    pruned = tables.read_kept(spark, base, "equity", "2024-03-10")
+    assert pruned.count() == 6
+    assert "month" in plan(pruned).split("PartitionFilters:")[1].split("]")[0]
+    assert tables.read_kept(spark, base, "equity", "2025-02-01", override_days=365).count() == 0
+    assert tables.read_kept(spark, base, "equity", "2025-01-30", override_days=365).count() == 3
 
 
 def test_snapshots(spark, tmp_path):
@@ -111,7 +130,7 @@ def test_snapshots(spark, tmp_path):
         files.write_snapshot(rows, path, day)
     assert files.read_snapshots(spark, path, rows.schema).count() == 6
     assert files.read_snapshots(spark, path, rows.schema, "2024-01-31").count() == 3
-    assert files.expire_snapshots(spark, path, "2024-01-31") == ["snapshot=2024-01-01"]
+    assert files.expire_snapshots(spark, path, "2024-01-31") == ["snapshot=202401010000"]
 
 
 def test_bulk_json_keeps_bad_rows(spark, tmp_path):

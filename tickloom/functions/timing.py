@@ -19,6 +19,14 @@ def exchange_day(instant: Column) -> Column:
     return F.to_date(exchange_clock(instant))
 
 
+def exchange_midnight(day: Column) -> Column:
+    """The instant at which a day begins at the exchange."""
+    clock = F.convert_timezone(
+        F.lit(EXCHANGE_ZONE), F.current_timezone(), day.cast("timestamp_ntz")
+    )
+    return clock.cast("timestamp")
+
+
 def month_number(day_or_clock: Column) -> Column:
     """Year and month as one integer, such as 202309."""
     return F.year(day_or_clock) * 100 + F.month(day_or_clock)

@@ -287,9 +287,10 @@ def bulk_load_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     sql(
         """
-SELECT DATE '2024-01-02' AS snapshot, symbol, count(*) AS n FROM ticks GROUP BY symbol
+SELECT TIMESTAMP '2024-01-01 18:00:00' AS snapshot, symbol, count(*) AS n
+FROM ticks GROUP BY symbol
 UNION ALL
-SELECT DATE '2024-01-31', symbol, count(*) FROM ticks GROUP BY symbol""",
+SELECT TIMESTAMP '2024-01-31 12:00:00', symbol, count(*) FROM ticks GROUP BY symbol""",
         "ticks",
     )
 )
@@ -297,11 +298,13 @@ def snapshot_expiry(spark: SparkSession, folder: str) -> DataFrame:
     """Of three snapshots the one that is exactly 30 days old is gone."""
     path = new_folder(spark, "snapshots")
     rows = V.ticks(spark, folder)
-    for day in ("2024-01-01", "2024-01-02", "2024-01-31"):
-        files.write_snapshot(rows, path, day)
-    files.expire_snapshots(spark, path, "2024-01-31")
-    kept = files.read_snapshots(spark, path, rows.schema, "2024-01-31")
-    return kept.groupBy("snapshot", "symbol").agg(F.count(F.lit(1)).alias("n"))
+    now = "2024-01-31 12:00:00"
+    for moment in ("2024-01-01 12:00:00", "2024-01-01 18:00:00", now):
+        files.write_snapshot(rows, path, moment)
+    files.expire_snapshots(spark, path, now)
+    kept = files.read_snapshots(spark, path, rows.schema, now)
+    counts = kept.groupBy("snapshot", "symbol").agg(F.count(F.lit(1)).alias("n"))
+    return _plain_times(counts)
 
 
 @query(

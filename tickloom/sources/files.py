@@ -33,37 +33,51 @@ def bulk_load(
     )
 
 
-def write_snapshot(df: DataFrame, path: str, as_of: str | dt.date) -> None:
-    """A full copy under its date; taking the same snapshot again replaces it."""
-    day = str(as_of)[:10]
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{SNAPSHOT}={day}")
+def _stamp(as_of: str | dt.date | dt.datetime) -> dt.datetime:
+    text = str(as_of)
+    return dt.datetime.fromisoformat(text if len(text) > 10 else f"{text} 00:00:00")
+
+
+def _number(moment: dt.datetime) -> int:
+    """Name of a snapshot: its minute as a number, which sorts and compares as time does."""
+    return int(moment.strftime("%Y%m%d%H%M"))
+
+
+def write_snapshot(df: DataFrame, path: str, as_of: str | dt.date | dt.datetime) -> None:
+    """A full copy under its minute; taking the same snapshot again replaces it."""
+    folder = f"{path.rstrip('/')}/{SNAPSHOT}={_number(_stamp(as_of))}"
+    df.write.mode("overwrite").parquet(folder)
 
 
 def read_snapshots(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    as_of: str | dt.date | None = None,
+    as_of: str | dt.date | dt.datetime | None = None,
     keep_days: int = SNAPSHOT_DAYS,
 ) -> DataFrame:
     """All snapshots, or only those not expired on `as_of`; the others are not read at all."""
-    stored = T.StructType([*schema.fields, T.StructField(SNAPSHOT, T.DateType())])
+    stored = T.StructType([*schema.fields, T.StructField(SNAPSHOT, T.LongType())])
     rows = spark.read.schema(stored).parquet(path)
-    if as_of is None:
-        return rows
-    return rows.filter(F.col(SNAPSHOT) > F.date_sub(F.lit(as_of).cast("date"), keep_days))
+    if as_of is not None:
+        border = _number(_stamp(as_of) - dt.timedelta(days=keep_days))
+        rows = rows.filter(F.col(SNAPSHOT) > border)
+    taken = F.to_timestamp(F.col(SNAPSHOT).cast("string"), "yyyyMMddHHmm")
+    return rows.withColumn(SNAPSHOT, taken)
 
 
 def expire_snapshots(
-    spark: SparkSession, path: str, as_of: str | dt.date, keep_days: int = SNAPSHOT_DAYS
+    spark: SparkSession,
+    path: str,
+    as_of: str | dt.date | dt.datetime,
+    keep_days: int = SNAPSHOT_DAYS,
 ) -> list[str]:
     """Delete snapshots that are `keep_days` old or older."""
-    border = dt.date.fromisoformat(str(as_of)[:10]) - dt.timedelta(days=keep_days)
+    border = _number(_stamp(as_of) - dt.timedelta(days=keep_days))
     expired = [
         name
         for name in subfolders(spark, path)
-        if name.startswith(f"{SNAPSHOT}=")
-        and dt.date.fromisoformat(name.split("=")[1]) <= border
+        if name.startswith(f"{SNAPSHOT}=") and int(name.split("=")[1]) <= border
     ]
     for name in expired:
         delete_folder(spark, f"{path.rstrip('/')}/{name}")

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.timing import exchange_clock, exchange_day, month_number, to_millis, to_seconds
+from tickloom.functions.timing import (
+    exchange_clock,
+    exchange_day,
+    exchange_midnight,
+    month_number,
+    to_millis,
+    to_seconds,
+)
 from tickloom.schemas import TABLES, TableSpec
 from tickloom.workspace import delete_folder, subfolders
 
@@ -89,8 +96,8 @@ def read_table(
     spark: SparkSession,
     base: str,
     table: str,
-    start: str | dt.date | None = None,
-    end: str | dt.date | None = None,
+    start: str | dt.date | Column | None = None,
+    end: str | dt.date | Column | None = None,
 ) -> DataFrame:
     """Rows whose exchange day is in [start, end].
 
@@ -99,15 +106,18 @@ def read_table(
     spec = TABLES[table]
     stored = T.StructType([*spec.schema.fields, T.StructField(MONTH, T.IntegerType())])
     rows = spark.read.schema(stored).parquet(table_path(base, table))
-    day = F.col(spec.month_of)
-    if isinstance(spec.type_of(spec.month_of), T.TimestampType):
-        day = exchange_day(day)
+    column = F.col(spec.month_of)
+    by_instant = isinstance(spec.type_of(spec.month_of), T.TimestampType)
+    # Compared as stored, not as a day computed from it, so that file statistics can be used.
     if start is not None:
         first = F.lit(start).cast("date")
-        rows = rows.filter((F.col(MONTH) >= month_number(first)) & (day >= first))
+        from_here = column >= (exchange_midnight(first) if by_instant else first)
+        rows = rows.filter((F.col(MONTH) >= month_number(first)) & from_here)
     if end is not None:
         last = F.lit(end).cast("date")
-        rows = rows.filter((F.col(MONTH) <= month_number(last)) & (day <= last))
+        beyond = F.date_add(last, 1)
+        up_to = column < (exchange_midnight(beyond) if by_instant else beyond)
+        rows = rows.filter((F.col(MONTH) <= month_number(last)) & up_to)
     return rows.select(*spec.columns)
 
 
@@ -146,6 +156,20 @@ def retain(
     return df.filter((base >= moment - keep) & (base + keep > moment))
 
 
+def read_kept(
+    spark: SparkSession,
+    base: str,
+    table: str,
+    as_of: str | dt.date | dt.datetime,
+    override_days: int | None = None,
+) -> DataFrame:
+    """The rows of a table that `retain` keeps, without opening months that hold none."""
+    moment = exchange_clock(F.lit(as_of).cast("timestamp"))
+    oldest = (moment - _keep(TABLES[table], override_days)).cast("date")
+    rows = read_table(spark, base, table, start=F.date_sub(oldest, 1))
+    return retain(rows, table, as_of, override_days)
+
+
 def expire_months(
     spark: SparkSession,
     base: str,
