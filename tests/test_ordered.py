@@ -141,3 +141,13 @@ def test_series_longer_than_a_batch(spark):
         value += alpha * (i % 13 - value)
         if i % 5000 == 0 or i == n - 1:
             assert got[i] == pytest.approx(value, abs=1e-9)
+
+
+@pytest.mark.parametrize("kind", ["decimal(18,4)", "double", "bigint"])
+def test_moving_average_of_any_type(spark, kind):
+    given = [3, None, 5, 7, 9, 11, None, 2, 4, 6]
+    rows = spark.createDataFrame(
+        [("A", i, x) for i, x in enumerate(given)], "symbol string, t int, x int"
+    ).withColumn("x", F.col("x").cast(kind))
+    done = I.sma(rows, "symbol", "t", "x", n=3).orderBy("t").collect()
+    assert [r["sma"] for r in done] == [None, None, None, None, 7.0, 9.0, None, None, None, 4.0]

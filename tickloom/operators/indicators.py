@@ -30,9 +30,27 @@ def _full(value: Column, over: Column, w: WindowSpec, n: int) -> Column:
     return F.when(F.count(over).over(_last(w, n)) == n, value)
 
 
-def _mean(price: Column, w: WindowSpec, n: int) -> Column:
-    """Mean of the last n rows; decimals are summed as such, so the order of adding is no matter."""
-    return F.sum(price).over(_last(w, n)).cast("double") / F.lit(float(n))
+def _with_mean(frame: DataFrame, w: WindowSpec, price: str, n: int, out: str) -> DataFrame:
+    """Add the mean of the last n prices, NULL until there are n.
+
+    Exact types are added up once and the sum of n rows ago is taken off, which costs the same
+    for any n. Doubles would drift that way and are summed per frame.
+    """
+    if not isinstance(frame.schema[price].dataType, (T.DecimalType, T.IntegralType)):
+        mean = F.avg(price).over(_last(w, n))
+        return frame.withColumn(out, _full(mean, F.col(price), w, n))
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def in_frame(column: str) -> Column:
+        return F.col(column) - F.coalesce(F.lag(column, n).over(w), F.lit(0))
+
+    added = frame.withColumns(
+        {"_total": F.sum(price).over(so_far), "_prices": F.count(price).over(so_far)}
+    ).withColumns({"_sum": in_frame("_total"), "_count": in_frame("_prices")})
+    mean = F.col("_sum").cast("double") / F.lit(float(n))
+    return added.withColumn(out, F.when(F.col("_count") == n, mean)).drop(
+        "_total", "_prices", "_sum", "_count"
+    )
 
 
 def price_change(
@@ -90,7 +108,7 @@ def sma(
     """Simple moving average over n rows."""
 
     def build(frame: DataFrame, w: WindowSpec) -> DataFrame:
-        return frame.withColumn("sma", _full(_mean(F.col(price), w, n), F.col(price), w, n))
+        return _with_mean(frame, w, price, n, "sma")
 
     return ordered(df, keys, order, rows_per_task).rows_back(n - 1, build).result()
 
@@ -108,16 +126,13 @@ def bollinger(
 
     def build(frame: DataFrame, w: WindowSpec) -> DataFrame:
         spread = F.stddev_pop(F.col(price).cast("double")).over(_last(w, n))
-        return frame.withColumns(
-            {
-                "middle": _full(_mean(F.col(price), w, n), F.col(price), w, n),
-                "_spread": _full(spread, F.col(price), w, n),
-            }
-        ).select(
-            "*",
-            (F.col("middle") + F.lit(k) * F.col("_spread")).alias("upper"),
-            (F.col("middle") - F.lit(k) * F.col("_spread")).alias("lower"),
-        ).drop("_spread")
+        band = F.lit(k) * F.col("_spread")
+        return (
+            _with_mean(frame, w, price, n, "middle")
+            .withColumn("_spread", _full(spread, F.col(price), w, n))
+            .withColumns({"upper": F.col("middle") + band, "lower": F.col("middle") - band})
+            .drop("_spread")
+        )
 
     return ordered(df, keys, order, rows_per_task).rows_back(n - 1, build).result()
 
