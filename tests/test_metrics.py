@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import monitor as M
 
+# Cases and what must come out.
 BATCHES = [
     # operation, records, seconds, rate, extra, records/s, severity
     ("equity_data_ingestion", 1000, 2.5, 1.0, {"batch_id": "batch-123"}, 400.0, "info"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import normalize as N
 from tickloom.schemas import RAW_DERIVATIVES, RAW_EQUITY
 
+# One record of each feed.
 EQUITY = {
     "symbol": "RELIANCE", "series": "EQ", "open": 2500.0, "high": 2550.0, "low": 2480.0,
     "close": 2520.0, "last": 2520.0, "prevClose": 2510.0, "tottrdqty": 1000000,
