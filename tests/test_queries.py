@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, differences
+from tickloom.plans import catalog
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,5 +24,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
