@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import packing
+from tickloom.llm import line_dedup, packing, token_files
+from tickloom.workspace import new_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -31,3 +32,37 @@ def tokenizer_file(name: str) -> str:
 @query
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0)
+
+
+@query
+def op7_rans_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    token_files.write_ids(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), path, end_id=1)
+    return token_files.read_documents(spark, path)
+
+
+@query
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op10_line_dedup"] = """
+WITH cut AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), numbered AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM cut
+), keyed AS (
+  SELECT *, translate(
+      trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM numbered
+), repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.keeper AS lost FROM keyed k LEFT JOIN repeated r USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
