@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import line_dedup, packing, token_files
+from tickloom.llm import decontaminate, line_dedup, packing, token_files
 from tickloom.workspace import new_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,47 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT lost), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+@query
+def op6_suffix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_matches(docs, table(spark, folder, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.n_hit(F.col("spans")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_FOLDED}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+ORACLES["op6_suffix_decontamination"] = f"""
+WITH item AS (
+  SELECT item_id, {_WORDS} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, list_aggregate(w[k : k + least(10, len(w)) - 1], 'string_agg', ' ') AS win, least(10, len(w)) AS size
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM item WHERE len(w) > 0)
+), doc AS (
+  SELECT doc_id, {_WORDS} AS w FROM documents
+), sizes AS (
+  SELECT DISTINCT size FROM windows
+), spot AS (
+  SELECT doc_id, k, size, list_aggregate(w[k : k + size - 1], 'string_agg', ' ') AS win
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM doc, sizes WHERE len(w) >= size)
+), found AS (
+  SELECT doc_id, k, s.size, item_id FROM spot s JOIN windows USING (win, size)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM found) GROUP BY doc_id
+), owned AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN owned USING (doc_id)
+"""
