@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontaminate, line_dedup, packing, token_files
+from tickloom.llm import decontaminate, line_dedup, packing, simhash, token_files
 from tickloom.workspace import new_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,8 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN owned USING (doc_id)
 """
+
+
+@query
+def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
