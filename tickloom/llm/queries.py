@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontaminate, line_dedup, packing, simhash, token_files
+from tickloom.llm import decontaminate, language, line_dedup, packing, quality, simhash, token_files
+from tickloom.llm.sampling import remainder
 from tickloom.workspace import new_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +116,24 @@ FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN owned USING (doc_id)
 @query
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def _is(doc_id: Column, divisor: int, value: int) -> Column:
+    return F.coalesce(remainder(doc_id, divisor) == value, F.lit(False))
+
+
+@query
+def op1_byte_cnn_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = _is(F.col("doc_id"), 5, 0)
+    net = quality.learn(docs, table(spark, folder, "labels"), ~held_out & F.col("doc_id").isNotNull())
+    scored = quality.score(docs, net)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op3_rank_order_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = _is(F.col("doc_id"), 4, 2)
+    profiles = language.learn(docs, ~held_out & F.col("doc_id").isNotNull())
+    return language.identify(docs.select("doc_id", "text"), profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
