@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontaminate, language, line_dedup, packing, quality, simhash, token_files
+from tickloom.llm import decontaminate, language, line_dedup, neighbours, packing, quality, simhash, token_files
 from tickloom.llm.sampling import remainder
 from tickloom.workspace import new_folder
 
@@ -137,3 +137,9 @@ def op3_rank_order_language(spark: SparkSession, folder: str) -> DataFrame:
     held_out = _is(F.col("doc_id"), 4, 2)
     profiles = language.learn(docs, ~held_out & F.col("doc_id").isNotNull())
     return language.identify(docs.select("doc_id", "text"), profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_multi_index_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors.where("vec_id % 20 = 0"), vectors, k=20)
