@@ -14,9 +14,11 @@ import struct
 
 #: Marks after a word that no rule joins with letters. The apostrophe is left out: "'s" is a word.
 MARKS = '.,!?&%$#*|;:)]}"'
-#: Letters below are letters in every version of Unicode's tables.
-KNOWN_LETTERS = "԰"
-MEMORY = 400_000
+#: Letters below are letters in every version of Unicode's tables ...
+KNOWN_LETTERS = "\u0530"
+#: ... and of these, those below stand for themselves in NFC and have one lower case wherever they are.
+SIMPLE_LETTERS = "\u0370"
+MEMORY = 250_000
 
 
 def _byte_alphabet() -> list[str]:
@@ -34,21 +36,29 @@ class _NotApart(Exception):
 
 
 class _Memory(dict):
-    """Piece to ids as bytes; forgets all when it is full, so its size is bounded."""
+    """Piece to ids as bytes. When it is full, pieces not met again until it is full once more are
+    forgotten, so its size is bounded and common words stay."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.older = make, limit, {}
 
     def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            found = self.make(piece)
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        found = self[piece] = self.make(piece)
+        self[piece] = found
         return found
 
 
+_PACKS = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACKS[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class WordEncoder:
@@ -66,6 +76,7 @@ class WordEncoder:
         self.plain = _Memory(self._plain, memory)
         self.spaced = _Memory(self._spaced, memory)
         self.tails = _Memory(self._whole, memory)
+        self.words = _Memory(self._letters, memory)
 
     @staticmethod
     def _style(spec: dict) -> str:
@@ -91,19 +102,25 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _letters(self, word: str, before: str) -> bytes:
-        spelled = before + word.encode().decode("latin-1").translate(self.alphabet)
+    def _letters(self, word: str) -> bytes:
+        """Ids of letters alone, or with the space before them."""
+        if word.isascii():
+            spelled = "Ġ" + word[1:] if word[0] == " " else word
+        else:
+            spelled = word.encode().decode("latin-1").translate(self.alphabet)
         return _packed([t.id for t in self.model.tokenize(spelled)])
 
     def _parts(self, piece: str, space: str) -> bytes:
         """Letters with marks behind them are two words of the tokenizer; all else is left to it."""
         word = piece.rstrip(MARKS)
-        if word.isalpha() and max(word) < KNOWN_LETTERS:
+        n = len(word)
+        if word.isalpha() and (word.isascii() or max(word) < KNOWN_LETTERS):
             if self.style == "words":
-                word = word.lower() if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
-            if word.isalpha():
-                tail = piece[len(piece.rstrip(MARKS)) :]
-                return self._letters(word, "Ġ" if space else "") + (self.tails[tail] if tail else b"")
+                word = word.lower() if word.isascii() or max(word) < SIMPLE_LETTERS else self.tokenizer.normalizer.normalize_str(word)
+                if not word.isalpha():
+                    return self._whole(piece)
+            ids = self.words[space + word if space else word]
+            return ids if n == len(piece) else ids + self.tails[piece[n:]]
         return self._whole(space + piece)
 
     def _plain(self, piece: str) -> bytes:
@@ -129,6 +146,8 @@ class WordEncoder:
         if not text:
             return b""
         if self.style == "words":
+            if "<|" not in text:  # else lower case may spell a special token
+                text = text.encode().lower().decode()
             return b"".join(map(self.plain.__getitem__, text.replace("\n", " ").split(" ")))
         if self.style == "whole":
             return self._whole(text)
