@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontaminate, language, line_dedup, neighbours, packing, quality, simhash, token_files
+from tickloom.llm import decontaminate, language, licences, line_dedup, main_text, neighbours, packing, quality, simhash, token_files
 from tickloom.llm.sampling import remainder
 from tickloom.workspace import new_folder
 
@@ -143,3 +143,51 @@ def op3_rank_order_language(spark: SparkSession, folder: str) -> DataFrame:
 def op8_multi_index_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return neighbours.nearest(vectors.where("vec_id % 20 = 0"), vectors, k=20)
+
+
+@query
+def op2_boosted_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op9_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    names = F.array_join(F.array_sort(F.array_distinct("notices.license")), ",")
+    return found.select("doc_id", "license", "dice", F.size("notices").cast("long").alias("n_notices"), names.alias("licenses"))
+
+
+def _bag(source: str) -> str:
+    """Bigrams of `words` with their counts, by the keys of a source (key, words)."""
+    return f"SELECT key, words[k] || ' ' || words[k + 1] AS pair, count(*) AS n FROM (SELECT key, words, unnest(range(1, len(words))) AS k FROM {source}) GROUP BY ALL"
+
+
+def _licence_sql() -> str:
+    quoted = ", ".join(f"""({k}, '{name}', '{text.replace("'", "''")}')""" for k, (name, text) in enumerate(licences.TEMPLATES))
+    return f"""
+WITH template AS (
+  SELECT key, license, {_WORDS} AS words FROM (VALUES {quoted}) t(key, license, text)
+), part AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM documents
+  UNION ALL
+  SELECT * FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\n[ \t\r]*\n')) AS text FROM documents) WHERE contains(text, chr(10))
+), segment AS (
+  SELECT row_number() OVER () AS key, doc_id, {_WORDS} AS words FROM part
+), common AS (
+  SELECT s.key, t.key AS template, sum(least(s.n, t.n)) AS c FROM ({_bag("segment")}) s JOIN ({_bag("template")}) t USING (pair) GROUP BY ALL
+), judged AS (
+  SELECT s.doc_id, s.key, t.license, 2.0::DOUBLE * c / (len(s.words) - 1 + len(t.words) - 1) AS dice
+  FROM common JOIN segment s USING (key) JOIN template t ON t.key = template
+), notice AS (
+  SELECT * FROM judged WHERE dice >= {licences.THRESHOLD}::DOUBLE QUALIFY row_number() OVER (PARTITION BY key ORDER BY dice DESC, license) = 1
+), best AS (
+  SELECT doc_id, license, dice FROM notice QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, license) = 1
+), total AS (
+  SELECT doc_id, count(*) AS n_notices, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM notice GROUP BY doc_id
+)
+SELECT doc_id, coalesce(license, '') AS license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(n_notices, 0) AS n_notices, coalesce(licenses, '') AS licenses
+FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN total USING (doc_id)
+"""
+
+
+ORACLES["op9_licence_scan"] = _licence_sql()
