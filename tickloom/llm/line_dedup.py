@@ -140,7 +140,8 @@ def lines_to_drop(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     found = keep(suspects(docs, size, seen_twice(docs, size, min_chars), min_chars), "suspects")
     held = found.groupBy("line", "doc_id").agg(F.lit(1).alias("one"))
     repeated = held.groupBy("line").agg(F.sum("one").alias("n_docs"), F.max("doc_id").alias("keeper")).where(F.col("n_docs") >= min_docs)
-    lost = found.join(repeated, "line").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    # written, so that both sides of the join are shuffled and Spark may split a line that many hold
+    lost = found.join(keep(repeated, "repeated"), "line").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return lost.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
 
 
