@@ -58,6 +58,11 @@ def test_suffixes_are_sorted():
     assert got == sorted(got) and all(len(s) >= 3 for s in got) and len(got) > 50
 
 
+def test_runs_that_are_all_too_short():
+    bench = dc.Benchmark([(1, "a b c d")], 4)
+    assert digest(dc.find_in_shard(["a b c", "x a y", None], bench)) == [(3, 0, [], 0), (3, 0, [], 0), (0, 0, [], 0)]
+
+
 def test_equal_hashes_of_other_words_do_not_match(monkeypatch):
     plain = dc.Words.__init__
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tickloom.workspace import new_folder
@@ -28,6 +28,16 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def set_aside(df: DataFrame, names: set[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The table with columns of these names under other ones, and what puts its own columns back."""
+    moved = {c: free_name(df, f"_own_{c}") for c in df.columns if c.lower() in names}
+
+    def back(result: DataFrame) -> DataFrame:
+        return result.select(*[F.col(f"`{moved.get(c, c)}`").alias(c) for c in df.columns])
+
+    return df.withColumnsRenamed(moved), back
+
+
 def small_batches(batches: Iterable[pa.RecordBatch], size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `size` bytes; one row may be longer."""
     for batch in batches:

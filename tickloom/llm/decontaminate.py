@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.batches import with_columns
+from tickloom.llm.batches import set_aside, with_columns
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -136,7 +136,7 @@ class SuffixArray:
         rank, step, n = words.astype(np.int64), 1, len(words)
         alive = np.flatnonzero(words)
         order = np.argsort(rank[alive], kind="stable")
-        while step < longest:
+        while step < longest and len(alive):
             ahead = np.where(alive + step < n, rank[np.minimum(alive + step, n - 1)], 0)
             pair = rank[alive] * (int(rank.max()) + 1) + ahead
             order = np.argsort(pair, kind="stable")
@@ -332,7 +332,5 @@ def n_hit(spans: Column) -> Column:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with their own columns."""
-    taken = {c.lower() for c in docs.columns} & {"n_words", "spans", "items", "longest"}
-    names = {c: f"_own_{c}" if c.lower() in taken else c for c in docs.columns}
-    found = find_matches(docs.withColumnsRenamed(names), benchmark, window)
-    return found.where(F.size("spans") == 0).select(*[F.col(f"`{n}`").alias(c) for c, n in names.items()])
+    mine, back = set_aside(docs, {"n_words", "spans", "items", "longest"})
+    return back(find_matches(mine, benchmark, window).where(F.size("spans") == 0))
