@@ -97,9 +97,69 @@ def test_totals_over_cut_keys(ticks):
     assert got == want
 
 
-def test_look_back_longer_than_chunks_is_refused(ticks):
-    with pytest.raises(ValueError, match="rows_per_task"):
-        I.sma(ticks, "symbol", ORDER, n=500, rows_per_task=100)
+@pytest.mark.parametrize("n, rows", [(500, 100), (30, 5)])
+def test_look_back_longer_than_chunks(ticks, n, rows):
+    """Rows come from as many chunks as it takes."""
+    for run in (I.sma, I.volatility):
+        whole = run(ticks, "symbol", ORDER, n=n, rows_per_task=None)
+        cut = run(ticks, "symbol", ORDER, n=n, rows_per_task=rows)
+        added = [c for c in whole.columns if c not in ticks.columns]
+        assert values(cut, added) == values(whole, added)
+
+
+@pytest.fixture(scope="module")
+def gaps(ticks):
+    """Prices with gaps of 600 in each 1,000 rows of a key, and others that stand still as long."""
+    nth = F.col("trade_id") % 3000
+    gone = (nth % 1000) < 600
+    return ticks.withColumns(
+        {
+            "gap": F.when(~gone, F.col("price")),
+            "flat": F.when(gone, F.lit(7).cast("decimal(18,4)")).otherwise(F.col("price")),
+        }
+    ).cache()
+
+
+RECURSIVE = {
+    "ema": (I.ema, {"n": 12}, "price"),
+    "ema_long": (I.ema, {"n": 200}, "price"),
+    "macd": (I.macd, {}, "price"),
+    "rsi": (I.rsi, {}, "price"),
+    "atr": (I.atr, {}, "close"),
+}
+
+
+@pytest.mark.parametrize("name", RECURSIVE)
+@pytest.mark.parametrize("source, rows", [("gap", 40), ("flat", 150)])
+def test_recursive_cut_equals_uncut(gaps, name, source, rows):
+    run, how, column = RECURSIVE[name]
+    data = gaps.withColumn(column, F.col(source)).filter("symbol = 'HOT' OR symbol = 'S7' OR symbol IS NULL")
+    whole = run(data, "symbol", ORDER, rows_per_task=None, **how)
+    cut = run(data, "symbol", ORDER, rows_per_task=rows, **how)
+    assert cut.schema == whole.schema
+    added = [c for c in whole.columns if c not in data.columns]
+    assert values(cut, added) == values(whole, added)
+
+
+def test_rsi_of_a_series_that_stands_still(spark):
+    rows = [("A", t, float(p)) for t, p in enumerate([5, 6, 5, 7] + [7] * 30_000)]
+    flat = spark.createDataFrame(rows, "symbol string, t int, price double")
+    for size in (None, 1000):
+        got = {r.t: r.rsi for r in I.rsi(flat, "symbol", "t", rows_per_task=size, n=3).collect()}
+        assert got[2] is None and 50 < got[3] < 100 and got[40] == pytest.approx(got[3]) and got[29_000] == 50.0
+    still = I.rsi(flat.withColumn("price", F.lit(3.0)), "symbol", "t", n=3)
+    assert {r[0] for r in still.select("rsi").distinct().collect()} == {None, 50.0}
+
+
+def test_vwap_keeps_small_prices(spark):
+    rows = spark.createDataFrame([("A", 1, 0.00000123, 10), ("A", 2, 0.00000321, 30)], "s string, t int, price double, qty int")
+    got = I.vwap(rows, "s", "s", "t").orderBy("t").collect()
+    assert [r.vwap for r in got] == pytest.approx([0.00000123, 0.000002715])
+
+
+def test_long_sums_do_not_overflow(spark):
+    rows = spark.createDataFrame([("A", t, 2**62) for t in range(6)], "s string, t int, price long")
+    assert [r.sma for r in I.sma(rows, "s", "t", n=2).orderBy("t").collect()][1:] == [float(2**62)] * 5
 
 
 def test_small_keys_leave_the_plan_alone(ticks):

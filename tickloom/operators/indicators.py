@@ -6,8 +6,8 @@ Every function takes the key columns of a series and an order that ends in a uni
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.ordered import ROWS_PER_TASK, Ordered, ordered
+from tickloom.operators.ordered import CHUNK, ROWS_PER_TASK, Ordered, join_on, ordered
 
 Keys = str | Sequence[str]
 
@@ -40,12 +40,15 @@ def _with_mean(frame: DataFrame, w: WindowSpec, price: str, n: int, out: str) ->
         mean = F.avg(price).over(_last(w, n))
         return frame.withColumn(out, _full(mean, F.col(price), w, n))
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    exact = F.col(price)
+    if isinstance(frame.schema[price].dataType, T.IntegralType):
+        exact = exact.cast("decimal(38,0)")  # sums over a whole key may outgrow a long
 
     def in_frame(column: str) -> Column:
         return F.col(column) - F.coalesce(F.lag(column, n).over(w), F.lit(0))
 
     added = frame.withColumns(
-        {"_total": F.sum(price).over(so_far), "_prices": F.count(price).over(so_far)}
+        {"_total": F.sum(exact).over(so_far), "_prices": F.count(price).over(so_far)}
     ).withColumns({"_sum": in_frame("_total"), "_count": in_frame("_prices")})
     mean = F.col("_sum").cast("double") / F.lit(float(n))
     return added.withColumn(out, F.when(F.col("_count") == n, mean)).drop(
@@ -182,6 +185,18 @@ def stochastic(
     return ordered(df, keys, order, rows_per_task).rows_back(n + smooth - 2, build).result()
 
 
+def _exact(df: DataFrame, column: str, room: int, digits: int) -> tuple[Column, int, int]:
+    """A column as a decimal with its precision and scale.
+
+    Decimals stay as they are; others get `room` digits at most, and doubles `digits` behind the point.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType):
+        return F.col(column), kind.precision, kind.scale
+    size, scale = (min(19, room), 0) if isinstance(kind, T.IntegralType) else (room, digits)
+    return F.col(column).cast(f"decimal({size},{scale})"), size, scale
+
+
 def vwap(
     df: DataFrame,
     keys: Keys,
@@ -191,12 +206,17 @@ def vwap(
     quantity: str = "qty",
     rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Volume-weighted average price since the start of the day."""
+    """Volume-weighted average price since the start of the day.
+
+    Products keep all digits of a decimal price; of doubles, prices are taken to 12 decimals and
+    quantities to 4, so that sums over chunks are exact.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    sums = {
-        "_value": (F.col(price) * F.col(quantity)).cast("decimal(28,4)"),
-        "_quantity": F.col(quantity),
-    }
+    value, size, value_scale = _exact(df, price, 22, 12)
+    # a product of more than 38 digits would lose some behind the point
+    traded, _, traded_scale = _exact(df, quantity, max(10, 37 - size), 4)
+    digits = min(18, value_scale + traded_scale)
+    sums = {"_value": (value * traded).cast(f"decimal(38,{digits})"), "_quantity": traded}
     summed = ordered(df, [*keys, day], order, rows_per_task).running(sums).result()
     ratio = F.try_divide(F.col("_value").cast("double"), F.col("_quantity").cast("double"))
     return summed.withColumn("vwap", ratio).drop("_value", "_quantity")
@@ -234,55 +254,61 @@ def obv(
 # columns become numpy arrays; all others pass through.
 
 FIRST = "_first"
+ENTER = "_enter"
 
-# Weight the rows before a chunk's look-back would still have: below double precision.
-_NEGLIGIBLE = 1e-20
 
+def ema_alpha(n: int) -> float:
+    return 2.0 / (n + 1)
 
-def memory_rows(alpha: float) -> int:
-    """Rows after which a start value has no weight left."""
-    return 1 if alpha >= 1 else math.ceil(math.log(_NEGLIGIBLE) / math.log(1 - alpha))
 
+Steps = Sequence[tuple[str, float, tuple[str, ...]]]
+
+
+def _exponential(x: np.ndarray, groups: np.ndarray, alpha: float) -> np.ndarray:
+    """y += alpha * (x - y) in each group from its first value on; missing values change nothing."""
+    grouped = pd.Series(x).groupby(groups, sort=False)
+    return grouped.ewm(alpha=alpha, adjust=False, ignore_na=True).mean().to_numpy()
 
-def ema_alpha(n: int) -> float:
-    return 2.0 / (n + 1)
 
+def _inputs(batch: pa.RecordBatch, steps: Steps) -> dict[str, np.ndarray]:
+    names = {n for _, _, inputs in steps for n in inputs} & set(batch.schema.names)
+    return {n: batch.column(n).to_numpy(zero_copy_only=False).astype(float) for n in names}
 
-def _smooth_partition(steps: Sequence[tuple[str, float, tuple[str, ...]]]):
+
+def _of(values: dict[str, np.ndarray], inputs: tuple[str, ...]) -> np.ndarray:
+    return values[inputs[0]] if len(inputs) == 1 else values[inputs[0]] - values[inputs[1]]
+
+
+def _smooth_partition(steps: Steps, entered: bool):
     """Arrow function that adds a smoothed column per step (output, alpha, inputs).
 
     With two inputs the difference of the first and the second is smoothed; an input may be the
-    output of an earlier step. All it needs is inside it, so workers need not have this package.
+    output of an earlier step. If `entered`, the first row of a group holds the values that the
+    smoothing goes on from, or NULLs.
     """
 
-    def smooth(
-        x: np.ndarray, first: np.ndarray, alpha: float, state: float | None
-    ) -> tuple[np.ndarray, float | None]:
-        groups = np.cumsum(first)
-        carried = state is not None and groups[0] == 0
-        if carried:
-            x, groups = np.concatenate([[state], x]), np.concatenate([[0], groups])
-        grouped = pd.Series(x).groupby(groups, sort=False)
-        y = grouped.ewm(alpha=alpha, adjust=False, ignore_na=True).mean().to_numpy()
-        y = y[1:] if carried else y
-        return y, None if np.isnan(y[-1]) else float(y[-1])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states: list[float | None] = [None] * len(steps)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             first = batch.column(FIRST).to_numpy(zero_copy_only=False).astype(bool)
-            values = {}
+            groups = np.cumsum(first)
+            values = _inputs(batch, steps)
             for i, (out, alpha, inputs) in enumerate(steps):
-                for name in inputs:
-                    if name not in values:
-                        column = batch.column(name).to_numpy(zero_copy_only=False)
-                        values[name] = column.astype(float)
-                x = values[inputs[0]]
-                if len(inputs) == 2:
-                    x = x - values[inputs[1]]
-                values[out], states[i] = smooth(x, first, alpha, states[i])
+                # a value to go on from stands before the rows it is for
+                enter = np.full(len(first), np.nan)
+                if entered:
+                    given = batch.column(f"{ENTER}{i}").to_numpy(zero_copy_only=False).astype(float)
+                    enter[first] = given[first]
+                if states[i] is not None and groups[0] == 0:
+                    enter[0] = states[i]
+                at = np.flatnonzero(~np.isnan(enter))
+                x = np.insert(_of(values, inputs), at, enter[at])
+                y = _exponential(x, np.insert(groups, at, groups[at]), alpha)
+                values[out] = np.delete(y, at + np.arange(len(at)))
+                last = values[out][-1]
+                states[i] = None if np.isnan(last) else float(last)
             new = [pa.array(values[out], from_pandas=True) for out, _, _ in steps]
             names = [*batch.schema.names, *[out for out, _, _ in steps]]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names)
@@ -290,21 +316,120 @@ def _smooth_partition(steps: Sequence[tuple[str, float, tuple[str, ...]]]):
     return run
 
 
-def _smooth(
-    series: Ordered, rows: int, prepare, steps: Sequence[tuple[str, float, tuple[str, ...]]]
-) -> Ordered:
-    """Prepare inputs with windows looking back `rows` rows, then smooth them."""
-    warm_up = sum(sorted(memory_rows(alpha) for _, alpha, _ in steps)[-2:])
+def _ends(values: dict[str, np.ndarray], steps: Steps, start: np.ndarray | None) -> np.ndarray:
+    """States behind some consecutive rows, from the states before them or from none."""
+    n = len(next(iter(values.values())))
+    values, ends = dict(values), np.full(len(steps), np.nan)
+    for i, (out, alpha, inputs) in enumerate(steps):
+        x = _of(values, inputs)
+        if start is not None:
+            x = np.insert(x, 0, start[i])
+        y = _exponential(x, np.zeros(len(x), int), alpha)
+        values[out], ends[i] = y[len(y) - n :], y[-1]
+    return ends
 
-    def build(frame: DataFrame, w: WindowSpec) -> DataFrame:
-        ready = prepare(frame, w).withColumn(FIRST, F.row_number().over(w) == 1)
-        # The window left the rows in this order, so the sort is dropped from the plan.
-        ready = ready.sortWithinPartitions(*series.group, *series.order)
-        outputs = [T.StructField(out, T.DoubleType()) for out, _, _ in steps]
-        schema = T.StructType([*ready.schema.fields, *outputs])
-        return ready.mapInArrow(_smooth_partition(steps), schema).drop(FIRST)
 
-    return series.rows_back(rows + warm_up, build)
+def _passage(steps: Steps, key: Sequence[str]):
+    """Arrow function that sums up each chunk as what it does to the states that enter it.
+
+    Smoothing is linear: states s leave as map s + offset. `fresh` are the states that leave if
+    none enter, NULL if the chunk has no value. Chunks may come in several batches.
+    """
+    size = len(steps)
+
+    def of(values: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        nothing = {n: x * 0.0 for n, x in values.items()}  # missing values stay missing
+        columns = [_ends(nothing, steps, unit) for unit in np.eye(size)]
+        return np.stack(columns, axis=1), _ends(values, steps, np.zeros(size)), _ends(values, steps, None)
+
+    def row(names: list, passed: tuple) -> pa.RecordBatch:
+        scale, offset, fresh = passed
+        known = None if np.isnan(fresh).any() else fresh.tolist()
+        columns = [*names, pa.array([scale.ravel().tolist()]), pa.array([offset.tolist()])]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array([known], pa.list_(pa.float64()))], [*key, "scale", "offset", "fresh"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, held = None, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            first = np.flatnonzero(batch.column(FIRST).to_numpy(zero_copy_only=False).astype(bool))
+            values = _inputs(batch, steps)
+            cuts = [*([] if len(first) and first[0] == 0 else [0]), *first.tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                scale, offset, fresh = of({n: x[a:b] for n, x in values.items()})
+                if held is not None and not (len(first) and a in first):
+                    begun = ~np.isnan(held[2]).any()
+                    fresh = scale @ held[2] + offset if begun else fresh
+                    scale, offset = scale @ held[0], scale @ held[1] + offset
+                elif held is not None:
+                    yield row(names, held)
+                names = [batch.column(k).slice(a, 1) for k in key]
+                held = scale, offset, fresh
+        if held is not None:
+            yield row(names, held)
+
+    return run
+
+
+def _entering(steps: Steps, keys: Sequence[str], chunk: str):
+    """States that enter each chunk of a key, from the chunks' passages in order."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(chunk)
+        size, state, enter = len(steps), None, []
+        for scale, offset, fresh in zip(*(table.column(c).to_pylist() for c in ("scale", "offset", "fresh"))):
+            enter.append(state)
+            if state is not None:
+                state = np.reshape(scale, (size, size)) @ state + offset
+            elif fresh is not None:
+                state = np.array(fresh)
+        columns = [
+            pa.array([None if s is None else float(s[i]) for s in enter], pa.float64())
+            for i in range(size)
+        ]
+        return pa.table(
+            [*(table.column(k) for k in keys), table.column(chunk), *columns],
+            [*keys, chunk, *[f"{ENTER}{i}" for i in range(size)]],
+        )
+
+    return run
+
+
+def _smooth(series: Ordered, rows: int, prepare, steps: Steps) -> Ordered:
+    """Prepare inputs with windows looking back `rows` rows, then smooth them.
+
+    A cut key is smoothed from chunk to chunk: what each chunk does to the states is summed up in
+    one row, a key's rows are gone through in order, and every chunk then starts from its exact states.
+    """
+    made = series.rows_back(rows, prepare)
+    number = F.row_number().over(made.window) == 1
+    ready = made.df.withColumn(FIRST, number)
+    outputs = [T.StructField(out, T.DoubleType()) for out, _, _ in steps]
+    if made.cut:
+        keys = [made.df.schema[k] for k in made.keys]
+        chunk = T.StructField(CHUNK, T.IntegerType())
+        numbers = T.ArrayType(T.DoubleType())
+        sums = [T.StructField(n, numbers) for n in ("scale", "offset", "fresh")]
+        enter = [T.StructField(f"{ENTER}{i}", T.DoubleType()) for i in range(len(steps))]
+        given = sorted({n for _, _, inputs in steps for n in inputs} & set(ready.columns))
+        cut = ready.filter(F.col(CHUNK).isNotNull()).withColumn(CHUNK, F.col(CHUNK).cast("int"))
+        passages = (
+            cut.sortWithinPartitions(*made.group, *made.order)
+            .select(*made.group, FIRST, *given)
+            .mapInArrow(_passage(steps, made.group), T.StructType([*keys, chunk, *sums]))
+        )
+        states = passages.groupBy(*made.keys).applyInArrow(
+            _entering(steps, made.keys, CHUNK), T.StructType([*keys, chunk, *enter])
+        )
+        ready = join_on(ready, F.broadcast(states), made.group, "left")
+    # The window left the rows in this order, so the sort is dropped from the plan.
+    ready = ready.sortWithinPartitions(*made.group, *made.order)
+    schema = T.StructType([*ready.schema.fields, *outputs])
+    done = ready.mapInArrow(_smooth_partition(steps, made.cut), schema).drop(FIRST)
+    return replace(made, df=done.drop(*[f"{ENTER}{i}" for i in range(len(steps))]))
 
 
 def ema(
@@ -352,16 +477,22 @@ def macd(
     ).drop("_x", "_fast", "_slow")
 
 
-def _seeded(series: Ordered, x: Column, w: WindowSpec, n: int, first_row: int) -> Column:
-    """Wilder's input: nothing until n values are there, then their mean, then each value."""
-    place = F.row_number().over(w)
+def _seeded(x: Column, w: WindowSpec, n: int, first_row: int) -> Column:
+    """Wilder's input: nothing until n values are there, then their mean, then each value.
+
+    `_place` is the row's number in its whole key.
+    """
     seed_at = first_row + n - 1
-    start = (
-        F.when(place < seed_at, F.lit(None).cast("double"))
-        .when(place == seed_at, F.avg(x).over(_last(w, n)))
+    return (
+        F.when(F.col(PLACE) < seed_at, F.lit(None).cast("double"))
+        .when(F.col(PLACE) == seed_at, F.avg(x).over(_last(w, n)))
         .otherwise(x)
     )
-    return F.when(series.later_chunk, x).otherwise(start)
+
+
+PLACE = "_place"
+#: Mean gain and loss below this are no movement at all.
+FLAT = 1e-12
 
 
 def rsi(
@@ -372,8 +503,11 @@ def rsi(
     n: int = 14,
     rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Relative strength by Wilder's smoothing; NULL for the first n rows, 100 without losses."""
-    series = ordered(df, keys, order, rows_per_task)
+    """Relative strength by Wilder's smoothing; NULL for the first n rows.
+
+    100 without losses, and 50 where mean gain and mean loss are both below FLAT: nothing moves.
+    """
+    series = ordered(df, keys, order, rows_per_task).running({PLACE: F.lit(1)})
 
     def prepare(frame: DataFrame, w: WindowSpec) -> DataFrame:
         change = (F.col(price) - F.lag(price).over(w)).cast("double")
@@ -385,17 +519,21 @@ def rsi(
         )
         return moved.withColumns(
             {
-                "_gain_in": _seeded(series, F.col("_gain"), w, n, 2),
-                "_loss_in": _seeded(series, F.col("_loss"), w, n, 2),
+                "_gain_in": _seeded(F.col("_gain"), w, n, 2),
+                "_loss_in": _seeded(F.col("_loss"), w, n, 2),
             }
         ).drop("_change", "_gain", "_loss")
 
     steps = [("_up", 1.0 / n, ("_gain_in",)), ("_down", 1.0 / n, ("_loss_in",))]
     smoothed = _smooth(series, n, prepare, steps).result()
     up, down = F.col("_up"), F.col("_down")
-    strength = F.when(down == 0, 100.0).otherwise(100.0 - 100.0 / (1.0 + F.try_divide(up, down)))
+    strength = (
+        F.when((up < FLAT) & (down < FLAT), 50.0)
+        .when(down == 0, 100.0)
+        .otherwise(100.0 - 100.0 / (1.0 + F.try_divide(up, down)))
+    )
     return smoothed.withColumn("rsi", F.when(up.isNotNull(), strength)).drop(
-        "_gain_in", "_loss_in", "_up", "_down"
+        "_gain_in", "_loss_in", "_up", "_down", PLACE
     )
 
 
@@ -403,7 +541,7 @@ def atr(
     df: DataFrame, keys: Keys, order: Keys, n: int = 14, rows_per_task: int | None = ROWS_PER_TASK
 ) -> DataFrame:
     """Average true range of bars by Wilder's smoothing; NULL for the first n - 1 rows."""
-    series = ordered(df, keys, order, rows_per_task)
+    series = ordered(df, keys, order, rows_per_task).running({PLACE: F.lit(1)})
 
     def prepare(frame: DataFrame, w: WindowSpec) -> DataFrame:
         before = F.lag("close").over(w)
@@ -415,9 +553,9 @@ def atr(
         )
         return (
             frame.withColumn("_range", true_range.cast("double"))
-            .withColumn("_range_in", _seeded(series, F.col("_range"), w, n, 1))
+            .withColumn("_range_in", _seeded(F.col("_range"), w, n, 1))
             .drop("_range")
         )
 
     steps = [("atr", 1.0 / n, ("_range_in",))]
-    return _smooth(series, n, prepare, steps).result().drop("_range_in")
+    return _smooth(series, n, prepare, steps).result().drop("_range_in", PLACE)

@@ -6,12 +6,12 @@ rows per key first. While every key fits a task it adds nothing to the plan. A l
 is cut into chunks of consecutive rows, and windows run per chunk:
 
 * frames that look back a bounded number of rows get a copy of the last rows of the
-  preceding chunk (`rows_back`), so results equal those of the uncut window;
+  preceding chunks (`rows_back`), so results equal those of the uncut window;
 * running sums get the totals of all preceding chunks (`running`).
 
-Cut points come from a range partitioning of the hot keys' key and order columns. There are
-at most MAX_CHUNKS of them whatever the data size, so holding them on the driver and
-broadcasting them is bounded. They are plain values in the plan: a recomputed task
+Cut points come from a range partitioning of the hot keys' key and order columns. Every key with
+more than `rows_per_task` rows is cut. Chunks grow once there would be more than MAX_CHUNKS, so there are
+about two for each of these and two for each hot key, which is what the driver holds and broadcasts. They are plain values in the plan: a recomputed task
 places a row in the same chunk as the first attempt did.
 """
 
@@ -19,15 +19,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_TASK = 2_000_000
-MAX_CHUNKS = 50_000
+MAX_CHUNKS = 200_000
 
 CHUNK = "_chunk"
 CUTS = "_cuts"
@@ -50,13 +51,11 @@ def hot_keys(
 ) -> tuple[DataFrame, int, int] | None:
     """Keys with more rows than a task should hold, their rows in all, and rows per chunk.
 
-    None if there are no such keys. The key columns are read and counted once. At most MAX_CHUNKS keys come back, those with
-    the most rows; any key left out then holds less than 1 / MAX_CHUNKS of the table. The rows
-    per chunk rise with the table for the same bound on the number of chunks.
+    None if there are no such keys. The key columns are read and counted once. No hot key is
+    left out; there are fewer than rows of the table / `rows_per_task`.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    largest_first = counts.filter(F.col("_rows") > rows_per_task).orderBy(F.desc("_rows"))
-    hot = largest_first.limit(MAX_CHUNKS).collect()
+    hot = counts.filter(F.col("_rows") > rows_per_task).collect()
     if not hot:
         return None
     rows = sum(r["_rows"] for r in hot)
@@ -72,8 +71,8 @@ class Ordered:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     cut: bool = False
-    smallest: int = 0
-    """Rows in the smallest chunk that another chunk follows."""
+    starts: dict[tuple, list[int]] = field(default_factory=dict)
+    """Rows of a cut key before each of its chunks."""
 
     @property
     def group(self) -> list[str]:
@@ -92,25 +91,35 @@ class Ordered:
         self, rows: int, build: Callable[[DataFrame, WindowSpec], DataFrame]
     ) -> "Ordered":
         """Apply `build`, whose windows look back at most `rows` rows of the same key."""
-        if not self.cut:
+        if not self.cut or rows == 0:
             return replace(self, df=build(self.df, self.window))
-        if rows > self.smallest:
-            raise ValueError(
-                f"a look-back of {rows} rows needs chunks of as many; raise rows_per_task"
-            )
-        newest_first = Window.partitionBy(*self.group).orderBy(
-            *[F.col(c).desc() for c in self.order]
+        both = self.df.withColumn(HALO, F.lit(False)).unionByName(self._tails(rows))
+        built = build(both, self.window).filter(~F.col(HALO)).drop(HALO)
+        return replace(self, df=built)
+
+    def _tails(self, rows: int) -> DataFrame:
+        """The last `rows` rows before each chunk, marked and placed in it, from as many chunks as it takes."""
+        sizes = [b - a for starts in self.starts.values() for a, b in zip(starts, starts[1:])]
+        reach = math.ceil(rows / max(1, min(sizes, default=1))) + 1
+        keys = [T.StructField(k, self.df.schema[k].dataType) for k in self.keys]
+        shape = T.StructType([*keys, T.StructField("_starts", T.ArrayType(T.LongType()))])
+        known = self.df.sparkSession.createDataFrame(
+            [(*k, starts) for k, starts in self.starts.items()], shape
         )
-        tails = (
+        numbered = (
             self.df.filter(F.col(CHUNK).isNotNull())
-            .withColumn("_back", F.row_number().over(newest_first))
-            .filter(F.col("_back") <= rows)
-            .drop("_back")
-            .withColumns({CHUNK: F.col(CHUNK) + 1, HALO: F.lit(True)})
+            .withColumn("_nth", F.row_number().over(self.window))
+        )
+        placed = join_on(numbered, F.broadcast(known), self.keys, "inner")
+        at = F.get(F.col("_starts"), F.col(CHUNK)) + F.col("_nth") - 1
+        last = F.least(F.size("_starts") - 1, F.col(CHUNK) + reach)
+        later = F.when(last > F.col(CHUNK), F.sequence(F.col(CHUNK) + 1, last))
+        into = F.filter(later, lambda c: F.get(F.col("_starts"), c) - rows <= at)
+        return (
+            placed.withColumn(CHUNK, F.explode(into))
+            .withColumn(HALO, F.lit(True))
+            .drop("_nth", "_starts")
         )
-        both = self.df.withColumn(HALO, F.lit(False)).unionByName(tails)
-        built = build(both, self.window).filter(~F.col(HALO)).drop(HALO)
-        return replace(self, df=built)
 
     def running(
         self, sums: dict[str, Column], totals: dict[str, Column] | None = None
@@ -154,6 +163,12 @@ class Ordered:
         return self.df.drop(CHUNK) if self.cut else self.df
 
 
+def _places(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """The order columns as values that can travel: instants as microseconds, whatever zone the driver is in."""
+    instant = {c for c in order if isinstance(df.schema[c].dataType, T.TimestampType)}
+    return [(F.unix_micros(c) if c in instant else F.col(c)).alias(c) for c in order]
+
+
 def _cut_points(
     df: DataFrame,
     keys: Sequence[str],
@@ -161,9 +176,11 @@ def _cut_points(
     hot: DataFrame,
     hot_rows: int,
     per_chunk: int,
-) -> tuple[dict[tuple, list[tuple]], int]:
-    """First order values of every chunk but the first, per hot key, and the smallest chunk."""
-    narrow = join_on(df.select(*keys, *order), F.broadcast(hot.drop("_rows")), keys, "left_semi")
+) -> tuple[dict[tuple, list[tuple]], dict[tuple, list[int]]]:
+    """First order values of every chunk but the first, and rows before every chunk, per hot key."""
+    narrow = join_on(
+        df.select(*keys, *_places(df, order)), F.broadcast(hot.drop("_rows")), keys, "left_semi"
+    )
     pieces = (
         narrow.repartitionByRange(max(2, math.ceil(2 * hot_rows / per_chunk)), *keys, *order)
         .groupBy(*keys, F.spark_partition_id().alias("_piece"))
@@ -177,8 +194,9 @@ def _cut_points(
             of_key[-1][1] += row["_rows"]
         else:
             of_key.append([tuple(row["_first"]), row["_rows"]])
-    smallest = min((n for c in chunks.values() for _, n in c[:-1]), default=per_chunk)
-    return {k: [first for first, _ in c[1:]] for k, c in chunks.items()}, smallest
+    firsts = {k: [first for first, _ in c[1:]] for k, c in chunks.items()}
+    starts = {k: [0, *accumulate(n for _, n in c[:-1])] for k, c in chunks.items()}
+    return firsts, starts
 
 
 def _reached(cuts: str, here: Column, longest: int) -> Column:
@@ -201,7 +219,7 @@ def _place(
     """
     longest = max(len(c) for c in cuts.values())
     width = max(1, math.isqrt(longest))
-    points = T.ArrayType(T.StructType([df.schema[c] for c in order]))
+    points = T.ArrayType(df.select(*_places(df, order)).schema)
     key_fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
     coarse = T.StructType([*key_fields, T.StructField(CUTS, points)])
     fine = T.StructType(
@@ -217,7 +235,7 @@ def _place(
         ],
         fine,
     )
-    here = F.struct(*order)
+    here = F.struct(*_places(df, order))
     in_block = (
         join_on(df, F.broadcast(firsts), keys, "left")
         .withColumn(CHUNK, _reached(CUTS, here, math.ceil(longest / width)))
@@ -249,5 +267,5 @@ def ordered(
     found = hot_keys(df, keys, rows_per_task) if rows_per_task else None
     if found is None:
         return Ordered(df, keys, order)
-    cuts, smallest = _cut_points(df, keys, order, *found)
-    return Ordered(_place(df, keys, order, cuts), keys, order, cut=True, smallest=smallest)
+    cuts, starts = _cut_points(df, keys, order, *found)
+    return Ordered(_place(df, keys, order, cuts), keys, order, cut=True, starts=starts)

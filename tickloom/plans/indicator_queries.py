@@ -16,8 +16,10 @@ from tickloom.plans.views import sql
 TICK_ORDER = ["ts", "trade_id"]
 TICK_WINDOW = "WINDOW w AS (PARTITION BY symbol ORDER BY ts, trade_id)"
 BAR_WINDOW = "WINDOW w AS (PARTITION BY symbol ORDER BY bar)"
-HOT_ROWS = 1_300
-"""Rows per task that make every symbol of the smaller test tables a hot one."""
+HOT_ROWS = 80
+"""Rows per task that make every symbol of every test table a hot one."""
+HOT_BARS = 40
+HOT_DAY = 4
 
 
 def _on_ticks(
@@ -43,11 +45,6 @@ def _digits(df: DataFrame, column: str):
     return F.col(column)
 
 
-def _hot_rows(spark: SparkSession, folder: str) -> int:
-    """A task size that cuts each symbol into a few chunks at any scale."""
-    return max(HOT_ROWS, V.table(spark, folder, "events").count() // 20)
-
-
 _CHANGE_SQL = sql(
     f"""
 SELECT trade_id, symbol, lag(price) OVER w AS prev_price,
@@ -100,7 +97,7 @@ def sma(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_SMA_SQL)
 def sma_hot(spark: SparkSession, folder: str) -> DataFrame:
-    return _on_ticks(spark, folder, I.sma, "sma", rows_per_task=_hot_rows(spark, folder))
+    return _on_ticks(spark, folder, I.sma, "sma", rows_per_task=HOT_ROWS)
 
 
 @query(
@@ -146,7 +143,7 @@ def volatility(spark: SparkSession, folder: str) -> DataFrame:
 @query(_VOLATILITY_SQL)
 def volatility_hot(spark: SparkSession, folder: str) -> DataFrame:
     return _on_ticks(
-        spark, folder, I.volatility, "volatility", rows_per_task=_hot_rows(spark, folder)
+        spark, folder, I.volatility, "volatility", rows_per_task=HOT_ROWS
     )
 
 
@@ -195,7 +192,7 @@ def vwap(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_VWAP_SQL)
 def vwap_hot(spark: SparkSession, folder: str) -> DataFrame:
-    return _vwap(spark, folder, rows_per_task=_hot_rows(spark, folder) // 50)
+    return _vwap(spark, folder, rows_per_task=HOT_DAY)
 
 
 _OBV_SQL = sql(
@@ -219,7 +216,7 @@ def obv(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_OBV_SQL)
 def obv_hot(spark: SparkSession, folder: str) -> DataFrame:
-    return _on_bars(spark, folder, I.obv, "obv", rows_per_task=200)
+    return _on_bars(spark, folder, I.obv, "obv", rows_per_task=HOT_BARS)
 
 
 _EMA_SQL = sql(
@@ -246,7 +243,7 @@ def ema(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_EMA_SQL)
 def ema_hot(spark: SparkSession, folder: str) -> DataFrame:
-    return _on_ticks(spark, folder, I.ema, "ema", rows_per_task=_hot_rows(spark, folder))
+    return _on_ticks(spark, folder, I.ema, "ema", rows_per_task=HOT_ROWS)
 
 
 _MACD_SQL = sql(
@@ -280,11 +277,42 @@ def macd(spark: SparkSession, folder: str) -> DataFrame:
     return _on_ticks(spark, folder, I.macd, "macd", "macd_signal", "macd_histogram")
 
 
-_RSI_SQL = sql(
-    """
+@query(_MACD_SQL)
+def macd_hot(spark: SparkSession, folder: str) -> DataFrame:
+    outputs = ("macd", "macd_signal", "macd_histogram")
+    return _on_ticks(spark, folder, I.macd, *outputs, rows_per_task=HOT_ROWS)
+
+
+@query(
+    sql(
+        """
+WITH numbered AS (
+  SELECT trade_id, symbol, CASE WHEN extract(hour FROM ts) % 3 = 0 THEN CAST(price AS DOUBLE) END AS p,
+         row_number() OVER (PARTITION BY symbol ORDER BY ts, trade_id) AS place
+  FROM ticks),
+chain AS (
+  SELECT trade_id, symbol, place, p AS ema FROM numbered WHERE place = 1
+  UNION ALL
+  SELECT t.trade_id, t.symbol, t.place,
+         CASE WHEN t.p IS NULL THEN c.ema WHEN c.ema IS NULL THEN t.p
+              ELSE c.ema + (2::DOUBLE / 13) * (t.p - c.ema) END
+  FROM chain c JOIN numbered t ON t.symbol = c.symbol AND t.place = c.place + 1)
+SELECT trade_id, symbol, round(ema, 6) AS ema FROM chain""",
+        "ticks",
+        recursive=True,
+    )
+)
+def ema_gaps_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Two hours of three have no price."""
+    rows = V.ticks(spark, folder).withColumn("price", F.when(F.hour("ts") % 3 == 0, F.col("price")))
+    done = I.ema(rows, "symbol", TICK_ORDER, rows_per_task=HOT_ROWS)
+    return done.select("trade_id", "symbol", _digits(done, "ema"))
+
+
+_RSI_SQL = """
 WITH moves AS (
   SELECT trade_id, symbol, row_number() OVER w AS place,
-         CAST(price - lag(price) OVER w AS DOUBLE) AS move
+         CAST({price} - lag({price}) OVER w AS DOUBLE) AS move
   FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY ts, trade_id)),
 means AS (
   SELECT *, greatest(move, 0) AS gain, greatest(-move, 0) AS loss,
@@ -297,18 +325,33 @@ chain AS (
   SELECT t.trade_id, t.symbol, t.place, (c.up * 13 + t.gain) / 14, (c.down * 13 + t.loss) / 14
   FROM chain c JOIN means t ON t.symbol = c.symbol AND t.place = c.place + 1)
 SELECT m.trade_id, m.symbol,
-       round(CASE WHEN c.down = 0 THEN 100 ELSE 100 - 100 / (1 + c.up / c.down) END, 6) AS rsi
-FROM moves m LEFT JOIN chain c ON m.trade_id = c.trade_id""",
-    "ticks",
-    recursive=True,
-)
+       round(CASE WHEN c.up < 1e-12 AND c.down < 1e-12 THEN 50 WHEN c.down = 0 THEN 100
+                  ELSE 100 - 100 / (1 + c.up / c.down) END, 6) AS rsi
+FROM moves m LEFT JOIN chain c ON m.trade_id = c.trade_id"""
 
 
-@query(_RSI_SQL)
+@query(sql(_RSI_SQL.format(price="price"), "ticks", recursive=True))
 def rsi(spark: SparkSession, folder: str) -> DataFrame:
     return _on_ticks(spark, folder, I.rsi, "rsi")
 
 
+@query(sql(_RSI_SQL.format(price="price"), "ticks", recursive=True))
+def rsi_hot(spark: SparkSession, folder: str) -> DataFrame:
+    return _on_ticks(spark, folder, I.rsi, "rsi", rows_per_task=HOT_ROWS)
+
+
+_HALTED = "CAST(CASE WHEN extract(day FROM ts) % 2 = 0 THEN price ELSE 10 END AS DECIMAL(18,4))"
+
+
+@query(sql(_RSI_SQL.format(price=_HALTED), "ticks", recursive=True))
+def rsi_flat_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Every other day the price stands still."""
+    still = F.when(F.dayofmonth("ts") % 2 == 0, F.col("price")).otherwise(F.lit(10))
+    rows = V.ticks(spark, folder).withColumn("price", still.cast("decimal(18,4)"))
+    done = I.rsi(rows, "symbol", TICK_ORDER, rows_per_task=HOT_ROWS)
+    return done.select("trade_id", "symbol", _digits(done, "rsi"))
+
+
 _ATR_SQL = sql(
     """
 WITH ranges AS (
@@ -334,3 +377,8 @@ FROM ranges r LEFT JOIN chain c ON r.symbol = c.symbol AND r.bar = c.bar""",
 @query(_ATR_SQL)
 def atr(spark: SparkSession, folder: str) -> DataFrame:
     return _on_bars(spark, folder, I.atr, "atr")
+
+
+@query(_ATR_SQL)
+def atr_hot(spark: SparkSession, folder: str) -> DataFrame:
+    return _on_bars(spark, folder, I.atr, "atr", rows_per_task=HOT_BARS)
