@@ -5,13 +5,14 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tickloom.operators import indicators, market, validate
+from tickloom.plans import catalog
 from tickloom.plans import views as V
 from tickloom.plans.chain import run_steps
 from tickloom.workspace import new_folder, shared_folder
 
 LAZY = [
     name
-    for name in entry.queries()
+    for name in catalog.queries()
     if not name.startswith("stream_")
     and "roundtrip" not in name
     and name not in ("append_keeps_duplicates", "key_range_scan", "bulk_load_counts", "snapshot_expiry")
@@ -99,3 +100,17 @@ def test_a_cluster_must_name_its_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Cluster())
+
+
+def test_day_summary_is_a_hash_aggregate(spark, sf_dir):
+    days = market.ohlcv_daily(V.ticks(spark, sf_dir))
+    assert "SortAggregate" not in days._jdf.queryExecution().executedPlan().toString()
+
+
+def test_order_key_sorts_as_the_columns_do(spark):
+    rows = [(t, i) for t in (None, -5, 0, 1_700_000_000_000_000) for i in (None, -(2**63), -1, 0, 7, 2**63 - 1)]
+    df = spark.createDataFrame(rows, "us long, id long").select(F.timestamp_micros("us").alias("ts"), "id")
+    keyed = df.select("*", market.order_key(df, ["ts", "id"]).alias("k"))
+    plain = [tuple(r) for r in keyed.orderBy("ts", "id").select("ts", "id").collect()]
+    assert [tuple(r) for r in keyed.orderBy("k").select("ts", "id").collect()] == plain
+    assert keyed.select("k").distinct().count() == len(rows)

@@ -72,7 +72,7 @@ def test_copies_are_spread_and_kept(spark, tmp_path):
 def test_rows_per_file(spark, tmp_path):
     rows = equity(spark, [dt.date(2024, 2, 1)])
     tables.write_table(rows, str(tmp_path), "equity", LOADED, files=1, rows_per_file=1)
-    parts = [f for f in os.listdir(tmp_path / "equity" / "month=202402") if f.endswith(".parquet")]
+    parts = list((tmp_path / "equity" / "month=202402").glob("load=*/*.parquet"))
     assert len(parts) == 3
 
 
@@ -141,3 +141,16 @@ def test_bulk_json_keeps_bad_rows(spark, tmp_path):
         ("", '{"symbol": broken'),
         ("A", ""),
     ]
+
+
+def test_a_load_replaces_itself_and_months_are_compacted(spark, tmp_path):
+    base, rows = str(tmp_path), equity(spark, [dt.date(2024, 2, 1), dt.date(2024, 3, 1)])
+    tables.write_table(rows, base, "equity", LOADED)
+    for _ in range(2):
+        tables.write_load(rows, base, "equity", LOADED, "stream-0")
+    n = rows.count()
+    assert tables.read_table(spark, base, "equity").count() == 2 * n
+    for month in (202402, 202403):
+        tables.compact_month(spark, base, "equity", month)
+        assert len(list((tmp_path / "equity" / f"month={month}").glob("load=*"))) == 1
+    assert tables.read_table(spark, base, "equity").count() == 2 * n

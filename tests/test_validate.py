@@ -6,7 +6,9 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tickloom.operators import validate as C
-from tickloom.schemas import DERIVATIVES, EQUITY
+from tickloom.operators.normalize import normalize_equity
+from tickloom.schemas import DERIVATIVES, EQUITY, RAW_EQUITY
+from tickloom.sources.files import bulk_load
 
 T0 = dt.datetime(2024, 1, 2, 4)
 
@@ -92,3 +94,18 @@ def test_dedup_is_idempotent_and_takes_newest(spark):
         C.dedup_latest(once, ["k"], ["t"]).collect(), key=str
     )
     assert {tuple(r) for r in once.collect()} == {("a", 2, 3), ("b", 1, None), (None, 1, 1)}
+
+
+def test_latest_of_rows_with_maps(spark):
+    rows = [("m", 1, {"a": "1"}), ("m", 2, {"b": "2", "a": "0"}), ("m", 2, {"a": "0", "b": "1"}), ("n", 1, None)]
+    df = spark.createDataFrame(rows, "metric_name string, t int, labels map<string,string>")
+    got = {r.metric_name: (r.t, r.labels) for r in C.dedup_latest(df, ["metric_name"], ["t"]).collect()}
+    assert got == {"m": (2, {"a": "0", "b": "2"}), "n": (1, None)}
+
+
+def test_feed_rules_name_what_could_not_be_read(spark, tmp_path):
+    (tmp_path / "f.json").write_text('{"symbol": "A", "timestamp": "2024-01-02T10:00:00+05:30", "open": "abc", "high": 1, "low": 1, "close": 1, "tottrdqty": "many"}\n{"symbol": \n')
+    rows = C.validate(normalize_equity(bulk_load(spark, str(tmp_path), "json", RAW_EQUITY)), C.feed_rules("equity")).collect()
+    assert sorted((r.symbol or "", r.type_errors, r.reasons) for r in rows) == [
+        ("", ["_corrupt"], ["required", "unreadable"]), ("A", ["open", "total_traded_quantity"], ["required", "unreadable"]),
+    ]

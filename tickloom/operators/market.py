@@ -5,11 +5,32 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.timing import exchange_day
 
 
+def order_key(df: DataFrame, order: Sequence[str]) -> Column:
+    """One value that sorts as the order columns do, NULLs first.
+
+    An instant and a whole number, the usual order, become one decimal: aggregates by a struct
+    sort all their input, those by a decimal hash it. Microseconds take 18 digits and any long,
+    moved above 0, takes 20.
+    """
+    kinds = [df.schema[c].dataType for c in order]
+    if len(order) == 1:
+        return F.col(order[0])
+    if len(order) != 2 or not (isinstance(kinds[0], T.TimestampType) and isinstance(kinds[1], T.IntegralType)):
+        return F.struct(*order)
+    wide = "decimal(38,0)"
+    moved = F.col(order[1]).cast("decimal(20,0)") + F.lit("9223372036854775809").cast("decimal(20,0)")
+    micros = F.coalesce(F.unix_micros(order[0]), F.lit(-(10**17))).cast("decimal(18,0)")
+    scaled = (micros * F.lit("100000000000000000000").cast("decimal(21,0)")).cast(wide)
+    return (scaled + F.coalesce(moved, F.lit(0)).cast(wide)).cast(wide)
+
+
 def ohlcv(
     df: DataFrame,
     by: Sequence[str | Column],
@@ -19,10 +40,9 @@ def ohlcv(
 ) -> DataFrame:
     """Open, high, low, close, volume, value and trades per group.
 
-    `order` ends in an id, so that open and close are well defined among equal times. Where
-    times are unique, the time alone is enough and lets Spark aggregate by hash, not by sort.
+    `order` ends in an id, so that open and close are well defined among equal times.
     """
-    when = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    when = order_key(df, order)
     return df.groupBy(*by).agg(
         F.min_by(price, when).alias("open"),
         F.max(price).alias("high"),
@@ -118,3 +138,54 @@ def missing_instruments(
 ) -> DataFrame:
     """Expected instruments that were not seen on a day."""
     return expected.join(seen.select(day, key).distinct(), [day, key], "left_anti")
+
+
+def _within(seen: DataFrame, listed: DataFrame, key: str, day: str) -> DataFrame:
+    """Distinct (instrument, period) of `seen` inside the instrument's listed span, with the span."""
+    pairs = seen.select(F.col(key).alias("_key"), day).distinct()
+    spans = listed.groupBy(key).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return pairs.join(spans, pairs["_key"] == spans[key]).where(F.col(day).between(F.col("first"), F.col("last"))).drop("_key")
+
+
+def coverage_by_span(
+    listed: DataFrame, seen: DataFrame, key: str, day: str = "date", step: str = "INTERVAL 1 DAY"
+) -> DataFrame:
+    """As `coverage`, from spans: `listed` has one row per instrument with its `first` and `last` period.
+
+    What is expected is counted by entries and exits, added up over the calendar, so no row is made
+    for an instrument and period. Several rows of an instrument are one span.
+    """
+    spans = listed.groupBy(key).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    after = (F.col("last") + F.expr(step)).cast("date")
+    moves = spans.select(F.col("first").cast("date").alias(day), F.lit(1).alias("n")).union(
+        spans.select(after, F.lit(-1))
+    )
+    moves = moves.groupBy(day).agg(F.sum("n").alias("n"))
+    border = moves.agg(F.min(day).alias("a"), F.max(day).alias("b")).where("a IS NOT NULL")
+    calendar = border.select(F.explode(F.sequence("a", "b", F.expr(step))).alias(day))
+    # one row per period of the calendar
+    so_far = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = calendar.join(moves, day, "left").select(day, F.sum("n").over(so_far).alias("expected"))
+    there = _within(seen, listed, key, day).groupBy(day).agg(F.count(F.lit(1)).alias("observed"))
+    return (
+        counts.where("expected > 0")
+        .join(there, day, "left")
+        .select(day, F.coalesce("observed", F.lit(0)).alias("observed"), "expected")
+        .withColumn("coverage", F.col("observed") / F.col("expected"))
+    )
+
+
+def missing_ranges(
+    listed: DataFrame, seen: DataFrame, key: str, day: str = "date", step: str = "INTERVAL 1 DAY"
+) -> DataFrame:
+    """Gaps of each instrument inside its listed span: the first and the last missing period.
+
+    Gaps lie between neighbouring seen periods, so the output grows with the gaps, not their length.
+    """
+    one = F.expr(step)
+    spans = listed.groupBy(key).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    borders = spans.select(key, F.explode(F.array((F.col("first") - one).cast("date"), (F.col("last") + one).cast("date"))).alias(day))
+    known = _within(seen, listed, key, day).select(key, F.col(day).cast("date").alias(day)).unionByName(borders)
+    after = F.lead(day).over(Window.partitionBy(key).orderBy(day))
+    found = known.select(key, (F.col(day) + one).cast("date").alias("missing_from"), (after - one).cast("date").alias("missing_to"))
+    return found.where("missing_from <= missing_to")

@@ -74,6 +74,33 @@ def request_metrics(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
+def metrics_to_logs(metrics: DataFrame, component: str, at: str = "timestamp") -> DataFrame:
+    """Rows of processing_logs from batch or request metrics with `fields`, one each.
+
+    The level is the severity in capitals, and the fields are the record's extra.
+    """
+    return metrics.select(
+        F.upper("severity").alias("log_level"),
+        F.lit(component).alias("component"),
+        "message",
+        F.col("fields").alias("extra"),
+        F.col(at).alias("timestamp"),
+    )
+
+
+def metrics_to_rows(
+    metrics: DataFrame, values: Sequence[str], labels: Sequence[str], at: str = "timestamp"
+) -> DataFrame:
+    """Rows of system_metrics: one for each named figure, labelled by the named columns."""
+    named = F.array(
+        *[F.struct(F.lit(v).alias("name"), F.col(v).cast("double").alias("value")) for v in values]
+    )
+    rows = metrics.select(F.explode(named).alias("_m"), _text_map({c: F.col(c) for c in labels}).alias("labels"), F.col(at).alias("timestamp"))
+    return rows.select(
+        F.col("_m.name").alias("metric_name"), F.col("_m.value").alias("metric_value"), "labels", "timestamp"
+    ).filter(F.col("metric_value").isNotNull())
+
+
 def distribution(
     df: DataFrame,
     by: Sequence[str],

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.timing import exchange_day, parse_instant
-from tickloom.schemas import DERIVATIVES, EQUITY, TABLES, TableSpec
+from tickloom.schemas import CORRUPT, DERIVATIVES, EQUITY, INDICES, TABLES, TableSpec
 
 TYPE_ERRORS = "type_errors"
 
@@ -28,6 +28,13 @@ DERIVATIVES_NAMES = {
     "change_in_oi": "changeInOI",
 }
 
+INDICES_NAMES = {
+    "index_name": "indexName",
+    "points_change": "pointsChange",
+    "percent_change": "percentChange",
+    "div_yield": "divYield",
+}
+
 # Log levels, least severe first.
 LEVELS = ("DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL")
 
@@ -63,11 +70,17 @@ def _normalize(df: DataFrame, spec: TableSpec, names: dict[str, str]) -> DataFra
         return F.col(raw) if raw in df.columns else F.lit(None)
 
     from_feed = [c for c in spec.columns if c not in ("date", "created_at")]
-    renamed = df.select(*[source(c).alias(c) for c in from_feed])
+    unread = [CORRUPT] if CORRUPT in df.columns else []
+    renamed = df.select(*[source(c).alias(c) for c in from_feed], *unread)
     typed = apply_types(renamed, spec.name)
+    if unread:
+        broken = F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT))
+        typed = typed.withColumn(
+            TYPE_ERRORS, F.array_compact(F.concat(TYPE_ERRORS, F.array(broken)))
+        )
     day = exchange_day(F.col("timestamp"))
     return typed.withColumn("date", day).select(
-        *[c for c in spec.columns if c != "created_at"], TYPE_ERRORS
+        *[c for c in spec.columns if c != "created_at"], TYPE_ERRORS, *unread
     )
 
 
@@ -81,6 +94,18 @@ def normalize_derivatives(df: DataFrame) -> DataFrame:
     return _normalize(df, DERIVATIVES, DERIVATIVES_NAMES)
 
 
+def normalize_indices(df: DataFrame) -> DataFrame:
+    """Feed records to index rows; the trading day comes from the time stamp."""
+    return _normalize(df, INDICES, INDICES_NAMES)
+
+
+NORMALIZE = {
+    "equity": normalize_equity,
+    "derivatives": normalize_derivatives,
+    "indices": normalize_indices,
+}
+
+
 def parse_event_time(df: DataFrame, text: str) -> DataFrame:
     """`timestamp` in milliseconds and the `date` it has at the exchange, from ISO text."""
     instant = parse_instant(F.col(text))

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions import rules as R
 from tickloom.operators.ordered import ROWS_PER_TASK, hot_keys, join_on, ordered
+from tickloom.operators.normalize import TYPE_ERRORS
 from tickloom.schemas import TABLES
 
 REASONS = "reasons"
@@ -40,6 +42,13 @@ def table_rules(table: str) -> dict[str, Column]:
     return found
 
 
+def feed_rules(table: str) -> dict[str, Column]:
+    """Rules over records straight from a feed: `table_rules`, prices are there, all was readable."""
+    found = table_rules(table)
+    found["required"] = found["required"] | R.missing("open", "high", "low", "close")
+    return {**found, "unreadable": F.size(TYPE_ERRORS) > 0}
+
+
 def validate(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Name every rule a row fails in `reasons`, after those already there."""
     named = F.array_compact(F.array(*[F.when(fails, F.lit(n)) for n, fails in rules.items()]))
@@ -116,11 +125,15 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -
     size costs its task one row per input partition.
     """
     rest = [c for c in df.columns if c not in keys and c not in newest_by]
-    best = F.max(F.struct(*newest_by, *rest)).alias("_best")
+    maps = [c for c in rest if isinstance(df.schema[c].dataType, T.MapType)]
+    plain = [c for c in rest if c not in maps]
+    # maps have no order of their own: their sorted entries stand for them
+    entries = [F.sort_array(F.map_entries(c)).alias(f"_of_{c}") for c in maps]
+    best = F.max(F.struct(*newest_by, *plain, *entries)).alias("_best")
     grouped = df.groupBy(*keys).agg(best)
-    return grouped.select(
-        *[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns]
-    )
+    shown = {c: F.col(f"_best.{c}") for c in [*newest_by, *plain]}
+    shown |= {c: F.map_from_entries(f"_best._of_{c}") for c in maps}
+    return grouped.select(*[F.col(c) if c in keys else shown[c].alias(c) for c in df.columns])
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -300,6 +300,25 @@ def dedup_latest(spark: SparkSession, folder: str) -> DataFrame:
     return C.dedup_latest(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
+@query(
+    sql(
+        """
+SELECT metric_name, max(date_trunc('milliseconds', timestamp)) AS timestamp, count(*) > 0 AS has_labels
+FROM metric_rows GROUP BY metric_name""",
+        "metric_rows",
+    )
+)
+def dedup_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest figure of each metric, labels and all, from a table that holds each twice."""
+    rows = V.metric_rows(spark, folder)
+    newest = C.dedup_latest(rows.unionByName(rows), ["metric_name"], ["timestamp"])
+    return newest.select(
+        "metric_name",
+        plain(F.date_trunc("millisecond", "timestamp")).alias("timestamp"),
+        (F.size("labels") > 0).alias("has_labels"),
+    )
+
+
 def checked(spark: SparkSession, folder: str) -> DataFrame:
     """All rules, the two that look at other rows included."""
     rows = _with_derived(V.typed_bars(spark, folder))

@@ -12,6 +12,8 @@ from tickloom.operators.ordered import ordered
 from tickloom.plans import views as V
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
+from tickloom.sources import logs, tables
+from tickloom.workspace import new_folder
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -103,6 +105,72 @@ def request_metrics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    sql(
+        """
+SELECT request_id, CAST(round(response_time, 2) AS DECIMAL(18,2)) AS time_field, 'http' AS type_field,
+       CASE WHEN status_code >= 500 THEN 'failed' ELSE path END AS path_field, CAST(status_code AS VARCHAR) AS status_field
+FROM requests""",
+        "requests",
+    )
+)
+def request_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Request fields with an extra that renames the path of failures."""
+    failed = F.col("status_code") >= 500
+    rows = V.requests(spark, folder).withColumn(
+        "extra", F.when(failed, F.create_map(F.lit("path"), F.lit("failed")))
+    )
+    fields = F.col("fields")
+    return M.request_metrics(rows).select(
+        "request_id",
+        fields["response_time_ms"].cast("decimal(18,2)").alias("time_field"),
+        fields["request_type"].alias("type_field"),
+        fields["path"].alias("path_field"),
+        fields["status_code"].alias("status_field"),
+    )
+
+
+@query(
+    sql(
+        """
+SELECT CASE WHEN status_code >= 500 THEN 'ERROR' WHEN status_code >= 400 THEN 'WARNING'
+            WHEN response_time > 1000 THEN 'WARNING' ELSE 'INFO' END AS log_level,
+       'api' AS component, CAST(request_id AS VARCHAR) AS request_id, path AS path_field, count(*) AS n
+FROM requests GROUP BY ALL""",
+        "requests",
+    )
+)
+def metrics_to_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """Request metrics written to the table of logs and read back."""
+    rows = V.requests(spark, folder).withColumn("extra", F.lit(None).cast("map<string,string>"))
+    base = new_folder(spark, "processing_logs")
+    logs_ = M.metrics_to_logs(M.request_metrics(rows), "api")
+    tables.write_table(logs_, base, "processing_logs", V.LOADED)
+    stored = tables.read_table(spark, base, "processing_logs")
+    shown = stored.select("log_level", "component", F.col("extra")["request_id"].alias("request_id"), F.col("extra")["path"].alias("path_field"))
+    return shown.groupBy(*shown.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    sql(
+        """
+SELECT doc_id, 'INFO' AS log_level, source AS component, text AS message, CAST(n_chars AS VARCHAR) AS line, TRUE AS readable
+FROM documents"""
+    )
+)
+def format_json_line(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as log messages, written as lines and parsed again: nothing is lost."""
+    docs = V.table(spark, folder, "documents")
+    line = logs.format_json_line(
+        timestamp=F.to_timestamp(F.lit(V.LOADED)), level=F.lit("INFO"), service=F.lit("loader"), version=F.lit("1"),
+        environment=F.lit("test"), module=F.col("source"), function=F.lit("load"), line=F.col("n_chars"), message=F.col("text"),
+    )
+    parsed = logs.parse_json_logs(docs.select("doc_id", line.alias("line")), "line", "doc_id")
+    return parsed.select(
+        "doc_id", "log_level", "component", "message", F.col("extra")["line"].alias("line"), F.col(logs.CORRUPT).isNull().alias("readable")
+    )
+
+
 @query(
     sql(
         """
@@ -164,8 +232,7 @@ def error_rate(spark: SparkSession, folder: str) -> DataFrame:
 @query(_ERRORS_SQL.replace("date_trunc('hour', timestamp)", "date_trunc('day', timestamp)"))
 def error_rate_hot(spark: SparkSession, folder: str) -> DataFrame:
     """Daily latencies with groups cut into chunks, as for groups larger than a task."""
-    rows = V.table(spark, folder, "events").count()
-    return _errors(spark, folder, "1 day", rows_per_task=rows // 60)
+    return _errors(spark, folder, "1 day", rows_per_task=12)
 
 
 @query(
@@ -212,12 +279,30 @@ GROUP BY e.date""",
     )
 )
 def coverage(spark: SparkSession, folder: str) -> DataFrame:
-    found = K.coverage(
-        V.expected_by_month(spark, folder), V.seen_by_month(spark, folder), "instrument"
+    found = K.coverage_by_span(
+        V.listed_by_month(spark, folder), V.seen_by_month(spark, folder), "instrument", step="INTERVAL 1 MONTH"
     )
     return _rounded(found, "coverage")
 
 
+@query(
+    sql(
+        """
+WITH missing AS (
+  SELECT instrument, date FROM expected_by_month EXCEPT SELECT instrument, date FROM seen_by_month),
+islands AS (
+  SELECT *, CAST(date AS TIMESTAMP) - to_months(CAST(row_number() OVER (PARTITION BY instrument ORDER BY date) AS INTEGER)) AS island
+  FROM missing)
+SELECT instrument, min(date) AS missing_from, max(date) AS missing_to FROM islands GROUP BY instrument, island""",
+        "expected_by_month",
+    )
+)
+def missing_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    return K.missing_ranges(
+        V.listed_by_month(spark, folder), V.seen_by_month(spark, folder), "instrument", step="INTERVAL 1 MONTH"
+    )
+
+
 @query(
     sql(
         """

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.timing import plain
 from tickloom.operators.market import latest
-from tickloom.operators.normalize import normalize_equity
+from tickloom.operators.normalize import normalize_equity, normalize_indices as normalize_index_rows
+from tickloom.operators.validate import feed_rules, validate
 from tickloom.plans import views as V
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
-from tickloom.schemas import EQUITY, RAW_EQUITY
+from tickloom.schemas import CORRUPT, EQUITY, RAW_EQUITY
 from tickloom.sources import feeds, files, logs, tables
-from tickloom.workspace import new_folder
+from tickloom.workspace import new_folder, subfolders
 
 EXCHANGE_DATE = "CAST(bar + INTERVAL 330 MINUTE AS DATE)"
 
@@ -245,12 +246,137 @@ def append_keeps_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     landing, base, state = (new_folder(spark, n) for n in ("landing", "equity", "progress"))
-    V.raw_equity(spark, folder).repartition(4, "symbol").write.json(landing)
-    records = feeds.feed(spark, landing, RAW_EQUITY, files_per_batch=2)
-    feeds.ingest(normalize_equity(records), base, "equity", state, V.LOADED).awaitTermination()
+    _land(V.raw_equity(spark, folder), landing)
+    _take_in(spark, landing, base, "equity", state, files_per_batch=2)
     return _plain_times(tables.read_table(spark, base, "equity"))
 
 
+def _land(rows: DataFrame, landing: str) -> None:
+    """Records as JSON files, in several writes."""
+    for part in (0, 1, 2):
+        turn = F.pmod(F.xxhash64("timestamp"), F.lit(3)) == part
+        rows.filter(turn).write.mode("append").json(landing)
+
+
+def _take_in(spark: SparkSession, landing: str, base: str, table: str, state: str, **bounds: int) -> None:
+    how = {"cadenced": False, **bounds}
+    feeds.ingest_feed(spark, landing, base, table, state, V.LOADED, **how).awaitTermination()
+
+
+@query(
+    sql(
+        f"""
+SELECT symbol, {EXCHANGE_DATE} + 30 - CASE WHEN CAST(bar AS DATE) < {EXCHANGE_DATE} THEN 1 ELSE 0 END AS expiry_date,
+       'FUTIDX' AS instrument_type, CAST(0 AS DECIMAL(18,4)) AS strike_price, '' AS option_type,
+       {EXCHANGE_DATE} AS date, bar AS timestamp, open, high, low, close, close AS last, open AS prev_close,
+       volume, CAST(value AS DECIMAL(18,2)) AS value, volume * 10 AS open_interest, volume - 50 AS change_in_oi,
+       TIMESTAMP '{V.LOADED}' AS created_at
+FROM hour_bars""",
+        "hour_bars",
+    )
+)
+def stream_ingest_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    landing, base, state = (new_folder(spark, n) for n in ("landing", "derivatives", "progress"))
+    _land(V.raw_derivatives(spark, folder), landing)
+    _take_in(spark, landing, base, "derivatives", state)
+    return _plain_times(tables.read_table(spark, base, "derivatives"))
+
+
+_INDEX_SQL = f"""
+SELECT upper(symbol) AS index_name, {EXCHANGE_DATE} AS date, bar AS timestamp,
+       open, high, low, close, CAST(close - open AS DECIMAL(18,4)) AS points_change,
+       CAST(trades AS DECIMAL(18,4)) AS percent_change, volume,
+       CAST(value AS DECIMAL(18,2)) AS turnover, high AS pe, low AS pb,
+       CAST(NULL AS DECIMAL(18,4)) AS div_yield"""
+
+
+@query(sql(f"{_INDEX_SQL}, TIMESTAMP '{V.LOADED}' AS created_at FROM hour_bars", "hour_bars"))
+def stream_ingest_indices(spark: SparkSession, folder: str) -> DataFrame:
+    landing, base, state = (new_folder(spark, n) for n in ("landing", "indices", "progress"))
+    _land(V.raw_indices(spark, folder), landing)
+    _take_in(spark, landing, base, "indices", state)
+    return _plain_times(tables.read_table(spark, base, "indices"))
+
+
+@query(sql(f"{_INDEX_SQL}, '' AS type_errors FROM hour_bars", "hour_bars"))
+def normalize_indices(spark: SparkSession, folder: str) -> DataFrame:
+    done = normalize_index_rows(V.raw_indices(spark, folder))
+    return _plain_times(done.withColumn("type_errors", F.array_join("type_errors", ",")))
+
+
+@query(
+    sql(
+        """
+SELECT symbol, count(*) * 3 AS rows, CAST(sum(volume) * 3 AS BIGINT) AS volume FROM hour_bars GROUP BY symbol""",
+        "hour_bars",
+    )
+)
+def ingest_then_append(spark: SparkSession, folder: str) -> DataFrame:
+    """A table that holds a stream's rows and those of two batch writes, with its months compacted."""
+    landing, base, state = (new_folder(spark, n) for n in ("landing", "equity", "progress"))
+    _land(V.raw_equity(spark, folder), landing)
+    tables.write_table(V.equity_rows(spark, folder), base, "equity", V.LOADED)
+    _take_in(spark, landing, base, "equity", state)
+    tables.write_table(V.equity_rows(spark, folder), base, "equity", V.LOADED)
+    for name in subfolders(spark, tables.table_path(base, "equity")):
+        tables.compact_month(spark, base, "equity", int(name.split("=")[1]))
+    found = tables.read_table(spark, base, "equity").groupBy("symbol")
+    return found.agg(F.count(F.lit(1)).alias("rows"), F.sum("total_traded_quantity").alias("volume"))
+
+
+@query(
+    sql(
+        f"""
+WITH dated AS (SELECT symbol, {EXCHANGE_DATE} AS date, volume FROM hour_bars)
+SELECT symbol, count(*) AS rows, CAST(sum(volume) AS BIGINT) AS volume FROM dated
+WHERE date + INTERVAL 365 DAY > DATE '2025-01-15' GROUP BY symbol""",
+        "hour_bars",
+    )
+)
+def retention_on_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A streamed table read on after its expired months are deleted and more rows came in."""
+    landing, base, state = (new_folder(spark, n) for n in ("landing", "equity", "progress"))
+    rows, early = V.raw_equity(spark, folder), F.pmod(F.xxhash64("symbol"), F.lit(2)) == 0
+    rows.filter(early).write.json(landing)
+    _take_in(spark, landing, base, "equity", state)
+    tables.expire_months(spark, base, "equity", "2025-01-15", override_days=365)
+    rows.filter(~early).write.mode("append").json(landing)
+    _take_in(spark, landing, base, "equity", state)
+    kept = tables.read_kept(spark, base, "equity", "2025-01-15", override_days=365).groupBy("symbol")
+    return kept.agg(F.count(F.lit(1)).alias("rows"), F.sum("total_traded_quantity").alias("volume"))
+
+
+@query(
+    sql(
+        """
+SELECT trade_id, trade_id % 10 <> 7 AS readable,
+       CASE WHEN trade_id % 10 IN (3, 7) THEN 'required,unreadable' WHEN price < 0 THEN 'range' ELSE '' END AS reasons,
+       CASE WHEN trade_id % 10 = 3 THEN 'open' WHEN trade_id % 10 = 7 THEN '_corrupt' ELSE '' END AS unread
+FROM ticks""",
+        "ticks",
+    )
+)
+def feed_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Records from JSON files: some have a word for a price, others break off."""
+    landing = new_folder(spark, "landing")
+    p, k = F.col("price").cast("string"), F.col("trade_id")
+    opened = F.when(k % 10 == 3, F.lit('"abc"')).otherwise(p)
+    line = F.concat(
+        F.lit('{"symbol": "S'), k.cast("string"), F.lit('", "series": "EQ", "open": '), opened,
+        *[x for c in ("high", "low", "close", "last", "prevClose") for x in (F.lit(f', "{c}": '), p)],
+        F.lit(', "tottrdqty": 0, "tottrdval": 0, "timestamp": "2024-01-02T10:00:00+05:30", "totaltrades": 1}'),
+    )
+    broken = F.concat(F.lit('{"series": "EQ", "symbol": "S'), k.cast("string"))
+    V.ticks(spark, folder).select(F.when(k % 10 == 7, broken).otherwise(line).alias("value")).write.text(landing)
+    records = files.bulk_load(spark, landing, "json", RAW_EQUITY)
+    rows = validate(normalize_equity(records), feed_rules("equity"))
+    number = F.coalesce(F.col("symbol"), F.regexp_extract(CORRUPT, '"(S[0-9]+)$', 1))
+    return rows.select(
+        F.substring(number, 2, 20).cast("bigint").alias("trade_id"), F.col(CORRUPT).isNull().alias("readable"),
+        F.array_join("reasons", ",").alias("reasons"), F.array_join("type_errors", ",").alias("unread"),
+    )
+
+
 @query(
     sql(
         """

@@ -6,7 +6,9 @@ there are: every one of them keeps a state store.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import rules as R
@@ -16,7 +18,7 @@ from tickloom.plans import views as V
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
 from tickloom.sources.feeds import feed, paced
-from tickloom.streaming import sinks, state, windows
+from tickloom.streaming import partials, sinks, state
 from tickloom.workspace import new_folder
 
 
@@ -29,9 +31,9 @@ def _stream_session(spark: SparkSession) -> SparkSession:
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
+    """The table as a stream, be it one file or a folder of files."""
     schema = V.table(spark, folder, "events").schema
-    session = _stream_session(spark)
-    return feed(session, folder, schema, "parquet", pathGlobFilter="events.parquet")
+    return feed(_stream_session(spark), f"{folder}/events.parquet*", schema, "parquet")
 
 
 def _collected(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -47,22 +49,41 @@ def _collected(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def _in_turns(
+    spark: SparkSession, folder: str, turns: list[Column], handle: Callable[[DataFrame, int], None], change
+) -> None:
+    """Land the events of each condition after those of the one before, each turn one batch."""
+    landing, checkpoint = new_folder(spark, "landing"), new_folder(spark, "progress")
+    events = V.table(spark, folder, "events")
+    for turn in turns:
+        events.filter(turn).write.mode("append").parquet(landing)
+        stream = change(feed(_stream_session(spark), landing, events.schema, "parquet"))
+        sinks.each_batch(stream, handle, checkpoint).awaitTermination()
+
+
+#: Newest events first, then parts that overlap in time: most rows are late by any watermark.
+def _out_of_order() -> list[Column]:
+    k = F.col("event_id")
+    return [k % 4 == 3, (k % 4 != 3) & (k % 3 == 0), (k % 4 < 2) & (k % 3 != 0), (k % 4 == 2) & (k % 3 != 0)]
+
+
 @query(
     sql(
         """
 SELECT symbol, bar, open, high, low, close, volume, CAST(value AS DECIMAL(28,4)) AS value, trades
-FROM hour_bars
-WHERE bar + INTERVAL 1 HOUR <= (SELECT max(ts) FROM ticks) - INTERVAL 1 HOUR""",
+FROM hour_bars""",
         "hour_bars",
     )
 )
 def stream_bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Bars that can change no more."""
-    stream = windows.stream_bars(V.as_ticks(_events(spark, folder)))
-    done = _collected(spark, stream, "bars")
-    return done.withColumns(
-        {"bar": plain(F.col("bar")), "value": F.col("value").cast("decimal(28,4)")}
-    )
+    """All bars of events that arrive in four batches out of order."""
+    out = new_folder(spark, "bars")
+    _in_turns(spark, folder, _out_of_order(), partials.windows_to(out), V.as_ticks)
+    done = partials.read_windows(spark, out)
+    return done.select(
+        "symbol", plain(F.col("window_start")).alias("bar"), "open", "high", "low", "close", "volume",
+        F.col("value").cast("decimal(28,4)").alias("value"), "trades",
+    )
 
 
 @query(
@@ -76,32 +97,60 @@ SELECT symbol, window_start, window_start + INTERVAL 1 HOUR AS window_end, count
        CAST(sum(qty) AS BIGINT) AS volume,
        round(CAST(sum(price) AS DOUBLE) / count(*), 6) AS avg_price
 FROM placed
-WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM ticks) - INTERVAL 1 HOUR
 GROUP BY symbol, window_start""",
         "ticks",
     )
 )
 def stream_sliding(spark: SparkSession, folder: str) -> DataFrame:
-    stream = windows.stream_sliding(V.as_ticks(_events(spark, folder)))
-    done = _collected(spark, stream, "sliding")
-    return done.withColumns(
-        {
-            "window_start": plain(F.col("window_start")),
-            "window_end": plain(F.col("window_end")),
-            "avg_price": F.round("avg_price", 6),
-        }
-    )
+    """Sliding figures of events that arrive out of order, after a compaction in between."""
+    out = new_folder(spark, "sliding")
+    _in_turns(spark, folder, _out_of_order(), partials.windows_to(out, "1 hour", "15 minutes"), V.as_ticks)
+    partials.compact(spark, out)
+    done = partials.read_windows(spark, out)
+    average = F.col("price_sum").cast("double") / F.col("trades")
+    return done.select(
+        "symbol", plain(F.col("window_start")).alias("window_start"), plain(F.col("window_end")).alias("window_end"),
+        "trades", "volume", F.round(average, 6).alias("avg_price"),
+    )
 
 
-@query(sql("SELECT symbol, ts, price, qty, trade_id, user_id FROM ticks", "ticks"))
-def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every event is sent twice and arrives once."""
-    events = _events(spark, folder)
-    twice = events.withColumn("_sent", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_sent")
-    done = _collected(spark, windows.stream_dedup(V.as_ticks(twice)), "dedup")
+_TWICE_SQL = "SELECT symbol, ts, price, qty, trade_id, user_id FROM ticks"
+
+
+def _sent_twice(spark: SparkSession, folder: str, part: str) -> DataFrame:
+    """Every event comes twice, within a batch and in batches out of order; some come a third time."""
+    out = new_folder(spark, "dedup")
+    turns = _out_of_order()
+
+    def change(events: DataFrame) -> DataFrame:
+        twice = events.withColumn("_sent", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_sent")
+        return V.as_ticks(twice)
+
+    _in_turns(spark, folder, [*turns, turns[1]], partials.first_seen_to(out), change)
+    schema = V.ticks(spark, folder).schema
+    done = spark.read.schema(schema).parquet(f"{out}/{part}").select(*schema.names)
     return done.withColumn("ts", plain(F.col("ts")))
 
 
+@query(sql(_TWICE_SQL, "ticks"))
+def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return _sent_twice(spark, folder, "first")
+
+
+@query(
+    sql(
+        f"""
+{_TWICE_SQL}
+UNION ALL SELECT symbol, ts, price, qty, trade_id, user_id FROM ticks WHERE trade_id % 4 <> 3 AND trade_id % 3 = 0
+UNION ALL SELECT symbol, ts, price, qty, trade_id, user_id FROM ticks WHERE trade_id % 4 <> 3 AND trade_id % 3 = 0""",
+        "ticks",
+    )
+)
+def stream_dedup_again(spark: SparkSession, folder: str) -> DataFrame:
+    """The copies: with the first ones they are all that came."""
+    return _sent_twice(spark, folder, "again")
+
+
 @query(
     """
 WITH parts AS (SELECT ts, CAST(user_id % 2 AS BIGINT) AS batch FROM events),
@@ -112,16 +161,9 @@ FROM parts, newest GROUP BY batch"""
 )
 def stream_late(spark: SparkSession, folder: str) -> DataFrame:
     """Users with even numbers arrive first; most rows of the others are late by then."""
-    landing, out, checkpoint = (new_folder(spark, n) for n in ("landing", "late", "progress"))
-    events = V.table(spark, folder, "events")
-    for part in (0, 1):
-        rows = events.filter(F.col("user_id") % 2 == part)
-        rows.coalesce(1).write.mode("append").parquet(landing)
-    stream = V.as_ticks(
-        feed(_stream_session(spark), landing, events.schema, "parquet", files_per_batch=1)
-    )
-    handle = sinks.split_late(out, "1 HOUR")
-    sinks.each_batch(stream, handle, checkpoint).awaitTermination()
+    out = new_folder(spark, "late")
+    turns = [F.col("user_id") % 2 == part for part in (0, 1)]
+    _in_turns(spark, folder, turns, sinks.split_late(out, "1 HOUR"), V.as_ticks)
     schema = "symbol string, ts timestamp, trade_id bigint"
     return sinks.late_counts(spark, out, schema)
 
@@ -196,13 +238,10 @@ FROM ticks GROUP BY user_id""",
 )
 def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
     """The newest trade per user, from events that arrive in four batches out of order."""
-    landing, out, checkpoint = (new_folder(spark, n) for n in ("landing", "latest", "progress"))
-    events = V.table(spark, folder, "events")
-    events.repartition(4, "event_id").write.parquet(landing)
-    stream = V.as_ticks(
-        feed(_stream_session(spark), landing, events.schema, "parquet", files_per_batch=1)
-    ).select("user_id", "ts", "trade_id", "price")
+    out = new_folder(spark, "latest")
+    columns = ["user_id", "ts", "trade_id", "price"]
+    turns = [F.col("event_id") % 4 == k for k in (2, 0, 3, 1)]
     handle = sinks.keep_latest(out, ["user_id"], "ts", ["trade_id"])
-    sinks.each_batch(stream, handle, checkpoint).awaitTermination()
-    newest = sinks.read_latest(spark, out, stream.schema)
+    _in_turns(spark, folder, turns, handle, lambda rows: V.as_ticks(rows).select(*columns))
+    newest = sinks.read_latest(spark, out, V.ticks(spark, folder).select(*columns).schema)
     return newest.withColumn("ts", plain(F.col("ts")))

@@ -201,6 +201,22 @@ def raw_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_indices(spark: SparkSession, folder: str) -> DataFrame:
+    """Hour bars as an index feed would send them."""
+    local = F.col("bar") + F.expr("INTERVAL '05:30' HOUR TO MINUTE")
+    return hour_bars(spark, folder).select(
+        F.upper("symbol").alias("indexName"),
+        *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
+        (F.col("close") - F.col("open")).alias("pointsChange"),
+        F.col("trades").alias("percentChange"),
+        "volume",
+        F.col("value").cast("decimal(28,4)").alias("turnover"),
+        F.col("high").alias("pe"),
+        F.col("low").alias("pb"),
+        F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss'+05:30'").alias("timestamp"),
+    )
+
+
 def json_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Log lines whose message is a document, pasted in unescaped."""
     return table(spark, folder, "documents").select(
@@ -308,13 +324,14 @@ def seen_by_month(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def expected_by_month(spark: SparkSession, folder: str) -> DataFrame:
+def listed_by_month(spark: SparkSession, folder: str) -> DataFrame:
     """Every part is expected in each month from its first to its last order line."""
-    listed = (
-        seen_by_month(spark, folder)
-        .groupBy("instrument")
-        .agg(F.min("date").alias("first"), F.max("date").alias("last"))
-    )
+    seen = seen_by_month(spark, folder).groupBy("instrument")
+    return seen.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+
+
+def expected_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    listed = listed_by_month(spark, folder)
     return expected_instruments(listed, "instrument", "first", "last", "INTERVAL 1 MONTH")
 
 

@@ -14,6 +14,9 @@ EXCHANGE_ZONE = "Asia/Kolkata"
 
 UINT32_MAX = 2**32 - 1
 
+CORRUPT = "_corrupt"
+"""Text of a record that could not be read."""
+
 
 _TYPES = {
     "string": T.StringType(),
@@ -62,6 +65,7 @@ class TableSpec:
         return self.schema[column].dataType
 
 
+# Columns, types, keys, layout and retention of the five tables.
 EQUITY = TableSpec(
     name="equity",
     schema=_struct(
@@ -148,16 +152,24 @@ TABLES = {
     spec.name: spec for spec in (EQUITY, DERIVATIVES, INDICES, SYSTEM_METRICS, PROCESSING_LOGS)
 }
 
-# Raw records as the feeds deliver them: camelCase names, floats, ISO time as text.
+# Names of raw records as the feeds deliver them. Everything is text here: a reader
+# that is told of a number makes NULL of what is none, and the reason would be lost.
 RAW_EQUITY = _struct(
-    """symbol string, series string, open double, high double, low double, close double,
-    last double, prevClose double, tottrdqty bigint, tottrdval double, timestamp string,
-    totaltrades bigint, isin string"""
+    """symbol string, series string, open string, high string, low string, close string,
+    last string, prevClose string, tottrdqty string, tottrdval string, timestamp string,
+    totaltrades string, isin string"""
 )
 
 RAW_DERIVATIVES = _struct(
-    """symbol string, expiryDate string, instrumentType string, strikePrice double,
-    optionType string, open double, high double, low double, close double, last double,
-    prevClose double, volume bigint, value double, openInterest bigint, changeInOI bigint,
+    """symbol string, expiryDate string, instrumentType string, strikePrice string,
+    optionType string, open string, high string, low string, close string, last string,
+    prevClose string, volume string, value string, openInterest string, changeInOI string,
     timestamp string"""
 )
+
+# Ours: the index feed has a table and a cadence, but no record of it is shown anywhere.
+RAW_INDICES = _struct(
+    """indexName string, open string, high string, low string, close string,
+    pointsChange string, percentChange string, volume string, turnover string,
+    pe string, pb string, divYield string, timestamp string"""
+)

@@ -1,27 +1,29 @@
 """Streams over landed feed files.
 
 A feed client writes files into a landing folder or messages into a Kafka topic; reading them
-is what is built here. A batch of the file source is bounded by files, since it cannot count rows;
-one of the Kafka source is bounded by rows.
+is what is built here. A batch of the file source is bounded by bytes (or by files, if asked), since
+it cannot count rows; one of the Kafka source is bounded by rows.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tickloom.schemas import TABLES
-from tickloom.sources.files import CORRUPT
-from tickloom.sources.tables import MONTH, apply_defaults, conform, month_column, table_path
+from tickloom.operators.normalize import NORMALIZE
+from tickloom.schemas import CORRUPT, RAW_DERIVATIVES, RAW_EQUITY, RAW_INDICES
+from tickloom.sources.tables import write_load
 
 # Seconds between two polls of each feed.
 POLL_SECONDS = {"equity": 1, "derivatives": 1, "indices": 5}
 
 # Bounds of one micro-batch, so that a backlog is worked off in pieces.
-FILES_PER_BATCH = 1_000
+BYTES_PER_BATCH = 64 << 30
 ROWS_PER_BATCH = 50_000_000
 
 
@@ -30,16 +32,23 @@ def feed(
     path: str,
     schema: T.StructType,
     file_format: str = "json",
-    files_per_batch: int = FILES_PER_BATCH,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int = BYTES_PER_BATCH,
     **options: str,
 ) -> DataFrame:
-    """Stream of the records in the files of a folder, as they arrive."""
-    return (
-        spark.readStream.schema(schema)
-        .format(file_format)
-        .options(maxFilesPerTrigger=files_per_batch, **options)
-        .load(path)
+    """Stream of the records in the files of a folder or glob, as they arrive.
+
+    A JSON or CSV record that cannot be read keeps its text in `_corrupt`.
+    """
+    bound = (
+        {"maxFilesPerTrigger": files_per_batch}
+        if files_per_batch
+        else {"maxBytesPerTrigger": bytes_per_batch}
     )
+    if file_format in ("json", "csv"):
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
+    return spark.readStream.schema(schema).format(file_format).options(**bound, **options).load(path)
 
 
 def topic(
@@ -84,17 +93,35 @@ def ingest(
     as_of: str,
     seconds: int | None = None,
 ) -> StreamingQuery:
-    """Append a stream of typed rows to a table.
+    """Append a stream of typed rows to a table, laid out as a batch write lays them out.
 
-    The file sink commits each batch once, so a restart from the checkpoint adds no row twice.
+    Each micro-batch is a load of its own, named after the checkpoint and the batch, and a batch
+    that is repeated overwrites its load. So streams and batch writes share a table, and a
+    restart adds no row twice.
     """
-    ready = conform(apply_defaults(rows, table, as_of), table).withColumn(
-        MONTH, month_column(TABLES[table])
-    )
-    writer = (
-        ready.writeStream.format("parquet")
-        .option("path", table_path(base, table))
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(MONTH)
-    )
+    source = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+    def append(batch: DataFrame, number: int) -> None:
+        write_load(batch, base, table, as_of, f"{source}-{number}")
+
+    writer = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return paced(writer, seconds).start()
+
+
+RAW = {"equity": RAW_EQUITY, "derivatives": RAW_DERIVATIVES, "indices": RAW_INDICES}
+
+
+def ingest_feed(
+    spark: SparkSession,
+    landing: str,
+    base: str,
+    table: str,
+    checkpoint: str,
+    as_of: str,
+    cadenced: bool = True,
+    **bounds: int,
+) -> StreamingQuery:
+    """Land one of the three feeds in its table, at its cadence; without it, take in what is there."""
+    records = feed(spark, landing, RAW[table], **bounds)
+    rows = NORMALIZE[table](records)
+    return ingest(rows, base, table, checkpoint, as_of, POLL_SECONDS[table] if cadenced else None)

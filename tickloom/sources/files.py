@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.schemas import CORRUPT
 from tickloom.workspace import delete_folder, subfolders
 
-CORRUPT = "_corrupt"
 SNAPSHOT = "snapshot"
 SNAPSHOT_DAYS = 30
 

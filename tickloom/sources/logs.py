@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CORRUPT = "_corrupt"
+from tickloom.schemas import CORRUPT
 
 # Keys of a JSON log line, and the clock format of both line forms.
 LINE_SCHEMA = (
@@ -88,3 +88,24 @@ def read_json_logs(spark: SparkSession, path: str) -> DataFrame:
 
 def read_text_logs(spark: SparkSession, path: str) -> DataFrame:
     return parse_text_logs(spark.read.text(path), "value")
+
+
+# Keys of a JSON line in their order, and the colours of a text line.
+LINE_KEYS = ("timestamp", "level", "service", "version", "environment", "module", "function", "line", "message")
+
+
+def format_json_line(**fields: Column) -> Column:
+    """A JSON line from a Column for each of LINE_KEYS; messages are escaped, so any text reads back.
+
+    `timestamp` is an instant, shown in the session's zone; missing fields are left out.
+    """
+    shown = {**fields, "timestamp": F.date_format(fields["timestamp"], CLOCK)}
+    return F.to_json(F.struct(*[shown[k].alias(k) for k in LINE_KEYS if k in shown]))
+
+
+def format_text_line(**fields: Column) -> Column:
+    """A text line without colours; line breaks in a message are written as \\n, so a record stays one line."""
+    one_line = F.replace(F.replace(fields["message"], F.lit("\r"), F.lit("\\r")), F.lit("\n"), F.lit("\\n"))
+    place = F.concat_ws(":", fields["module"], fields["function"], fields["line"].cast("string"))
+    level = F.when(F.length(fields["level"]) < 8, F.rpad(fields["level"], 8, " ")).otherwise(fields["level"])
+    return F.concat_ws(" | ", F.date_format(fields["timestamp"], CLOCK), level, fields["service"], place, one_line)

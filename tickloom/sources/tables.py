@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from tickloom.schemas import TABLES, TableSpec
 from tickloom.workspace import delete_folder, subfolders
 
 MONTH = "month"
+LOAD = "load"
+"""Second folder level: one per write, so that a repeated one can replace itself."""
 
 
 def table_path(base: str, table: str) -> str:
@@ -86,10 +89,36 @@ def write_table(
     rows_per_file: int | None = None,
 ) -> None:
     """Append to a table. Equal rows stay: the tables have no key that removes duplicates."""
-    writer = arrange(apply_defaults(df, table, as_of), table, files).write.mode(mode)
+    writer = arrange(apply_defaults(df, table, as_of), table, files)
+    writer = writer.withColumn(LOAD, F.lit(uuid.uuid4().hex)).write.mode(mode)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
-    writer.partitionBy(MONTH).parquet(table_path(base, table))
+    writer.partitionBy(MONTH, LOAD).parquet(table_path(base, table))
+
+
+def write_load(df: DataFrame, base: str, table: str, as_of: str | dt.datetime, load: str) -> None:
+    """Append rows as a named load; writing the same load again replaces it, in the months it has."""
+    rows = arrange(apply_defaults(df, table, as_of), table).withColumn(LOAD, F.lit(load))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(MONTH, LOAD).parquet(table_path(base, table))
+
+
+def compact_month(spark: SparkSession, base: str, table: str, month: int) -> None:
+    """Rewrite the loads of a month as one: a stream leaves small files with each batch.
+
+    For months that no stream writes to any more. Readers that list files between the write and
+    the deletes see rows twice, so run it while none does.
+    """
+    folder = f"{table_path(base, table)}/{MONTH}={month}"
+    old = [n for n in subfolders(spark, folder) if n.startswith(f"{LOAD}=")]
+    if len(old) < 2:
+        return
+    spec = TABLES[table]
+    rows = spark.read.schema(spec.schema).parquet(*[f"{folder}/{n}" for n in old])
+    ranged = rows.repartitionByRange(*spec.layout).sortWithinPartitions(*spec.layout)
+    ranged.write.mode("overwrite").parquet(f"{folder}/{LOAD}={uuid.uuid4().hex}")
+    for name in old:
+        delete_folder(spark, f"{folder}/{name}")
 
 
 def read_table(

@@ -18,9 +18,9 @@ from tickloom.operators.monitor import broadcast_if_small
 from tickloom.operators.ordered import ROWS_PER_TASK, join_on
 from tickloom.operators.validate import split_valid, validate
 from tickloom.sources.feeds import paced
+from tickloom.streaming.partials import BATCH, put as _put
 from tickloom.workspace import delete_folder, is_complete, subfolders
 
-BATCH = "batch"
 VERSION = "version"
 
 
@@ -34,10 +34,6 @@ def each_batch(
     return paced(writer, seconds).start()
 
 
-def _put(df: DataFrame, path: str, number: int, name: str = BATCH) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/{name}={number}")
-
-
 def split_late(
     path: str, lateness: str, timestamp: str = "ts"
 ) -> Callable[[DataFrame, int], None]:
@@ -99,8 +95,11 @@ def keep_latest(
     """Maintain a table of the newest row per key.
 
     Batch n reads the newest version before n and writes version n. Older versions than the last
-    `keep` are deleted, so readers of the current one are left in peace.
+    `keep` are deleted, so readers of the current one are left in peace; a batch that is repeated
+    needs the version before it, so two are the least.
     """
+    if keep < 2:
+        raise ValueError("keep two versions or more: a repeated batch needs the one before it")
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -183,6 +182,8 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The current version of a latest table."""
-    current = _versions(spark, path)[-1]
+    """The current version of a latest table; without rows before the first batch."""
+    if not (known := _versions(spark, path)):
+        return spark.createDataFrame([], schema)
+    current = known[-1]
     return spark.read.schema(schema).parquet(f"{path}/{VERSION}={current}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -44,17 +45,18 @@ def stream_ema(
         micros = rows[timestamp].to_numpy().astype("datetime64[us]").astype("int64")
         ids = rows[trade_id].to_numpy()
         prices = rows[price].astype(float)
-        if value is None:
+        if last_us is None:
             late = pd.Series(False, index=rows.index)
-            smooth = prices.ewm(alpha=alpha, adjust=False).mean()
+            smooth = prices.ewm(alpha=alpha, adjust=False, ignore_na=True).mean()
         else:
             late = pd.Series((micros < last_us) | ((micros == last_us) & (ids <= last_id)))
-            chain = pd.concat([pd.Series([value]), prices[~late]])
-            smooth = chain.ewm(alpha=alpha, adjust=False).mean().iloc[1:]
+            chain = pd.concat([pd.Series([value], dtype=float), prices[~late]])
+            smooth = chain.ewm(alpha=alpha, adjust=False, ignore_na=True).mean().iloc[1:]
         on_time = rows.index[~late]
         if len(on_time):
             end = on_time[-1]
-            state.update((float(smooth.iloc[-1]), int(micros[end]), int(ids[end])))
+            reached = float(smooth.iloc[-1])  # NULL prices change nothing, as in the batch indicator
+            state.update((None if np.isnan(reached) else reached, int(micros[end]), int(ids[end])))
         yield pd.DataFrame(
             {
                 key: group[0],

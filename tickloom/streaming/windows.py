@@ -1,4 +1,8 @@
-"""Windowed streams: bars, sliding figures, duplicates."""
+"""Windowed streams with a watermark: bars, sliding figures, duplicates.
+
+State is bounded by the watermark, and rows behind it are left out. Put `sinks.split_late` in front
+to set them aside, or use `partials`, which has no watermark and loses none.
+"""
 
 from __future__ import annotations
 
