@@ -211,3 +211,26 @@ def test_moving_average_of_any_type(spark, kind):
     ).withColumn("x", F.col("x").cast(kind))
     done = I.sma(rows, "symbol", "t", "x", n=3).orderBy("t").collect()
     assert [r["sma"] for r in done] == [None, None, None, None, 7.0, 9.0, None, None, None, 4.0]
+
+
+def jobs(spark, name, work):
+    """What `work` returns and how many jobs it ran."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        done = work()
+        return done, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_profile_is_made_once(spark, ticks):
+    known, n = jobs(spark, "profile", lambda: O.profile(ticks, "symbol", ORDER, 100))
+    assert known.cuts and n >= 2
+    for name in ("ema", "sma", "rsi"):
+        run, how = CASES[name]
+        built, n = jobs(spark, f"build-{name}", lambda: run(ticks, "symbol", ORDER, rows_per_task=known, **how))
+        assert n == 0
+        added = [c for c in built.columns if c not in ticks.columns]
+        assert values(built, added) == values(run(ticks, "symbol", ORDER, rows_per_task=None, **how), added)
+    with pytest.raises(ValueError, match="profile"):
+        I.ema(ticks, "symbol", ["trade_id"], rows_per_task=known)

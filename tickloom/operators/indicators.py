@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.ordered import CHUNK, ROWS_PER_TASK, Ordered, join_on, ordered
+from tickloom.operators.ordered import CHUNK, ROWS_PER_TASK, Ordered, Profile, join_on, ordered
 
 Keys = str | Sequence[str]
 
@@ -57,7 +57,7 @@ def _with_mean(frame: DataFrame, w: WindowSpec, price: str, n: int, out: str) ->
 
 
 def price_change(
-    df: DataFrame, keys: Keys, order: Keys, price: str = "price", rows_per_task: int | None = ROWS_PER_TASK
+    df: DataFrame, keys: Keys, order: Keys, price: str = "price", rows_per_task: int | Profile | None = ROWS_PER_TASK
 ) -> DataFrame:
     """Previous price, difference, and difference in percent of the previous price."""
 
@@ -81,7 +81,7 @@ def returns(
     order: Keys,
     price: str = "price",
     n: int = 10,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Simple and log return over one row, and rate of change over n rows."""
     now = F.col(price).cast("double")
@@ -106,7 +106,7 @@ def sma(
     order: Keys,
     price: str = "price",
     n: int = 20,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Simple moving average over n rows."""
 
@@ -123,7 +123,7 @@ def bollinger(
     price: str = "price",
     n: int = 20,
     k: float = 2.0,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Moving average and the bands k population standard deviations around it."""
 
@@ -146,7 +146,7 @@ def volatility(
     order: Keys,
     price: str = "price",
     n: int = 20,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Sample standard deviation of the last n log returns."""
 
@@ -169,7 +169,7 @@ def stochastic(
     order: Keys,
     n: int = 14,
     smooth: int = 3,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """%K and %D over bars with high, low and close; NULL where the range is flat."""
 
@@ -204,7 +204,7 @@ def vwap(
     order: Keys,
     price: str = "price",
     quantity: str = "qty",
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Volume-weighted average price since the start of the day.
 
@@ -228,7 +228,7 @@ def obv(
     order: Keys,
     price: str = "close",
     quantity: str = "volume",
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """On-balance volume: quantity added when the price rises and taken off when it falls."""
 
@@ -438,7 +438,7 @@ def ema(
     order: Keys,
     price: str = "price",
     n: int = 12,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Exponential moving average with alpha 2 / (n + 1), starting at the first price."""
     series = ordered(df, keys, order, rows_per_task)
@@ -457,7 +457,7 @@ def macd(
     fast: int = 12,
     slow: int = 26,
     signal: int = 9,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Difference of a fast and a slow EMA, the EMA of that, and what is between the two."""
     series = ordered(df, keys, order, rows_per_task)
@@ -501,7 +501,7 @@ def rsi(
     order: Keys,
     price: str = "price",
     n: int = 14,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Relative strength by Wilder's smoothing; NULL for the first n rows.
 
@@ -538,7 +538,7 @@ def rsi(
 
 
 def atr(
-    df: DataFrame, keys: Keys, order: Keys, n: int = 14, rows_per_task: int | None = ROWS_PER_TASK
+    df: DataFrame, keys: Keys, order: Keys, n: int = 14, rows_per_task: int | Profile | None = ROWS_PER_TASK
 ) -> DataFrame:
     """Average true range of bars by Wilder's smoothing; NULL for the first n - 1 rows."""
     series = ordered(df, keys, order, rows_per_task).running({PLACE: F.lit(1)})

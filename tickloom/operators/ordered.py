@@ -250,22 +250,61 @@ def _place(
     )
 
 
+@dataclass(frozen=True)
+class Profile:
+    """Where the hot keys of a series are cut. Plain values: made once, used by any indicator.
+
+    It is of the rows it was made from: rows before each chunk are counted in it.
+    """
+
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    cuts: dict[tuple, list[tuple]] = field(default_factory=dict)
+    starts: dict[tuple, list[int]] = field(default_factory=dict)
+
+
+def _names(columns: str | Sequence[str]) -> tuple[str, ...]:
+    return (columns,) if isinstance(columns, str) else tuple(columns)
+
+
+def profile(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    order: str | Sequence[str],
+    rows_per_task: int = ROWS_PER_TASK,
+) -> Profile:
+    """Count rows per key and find where hot keys are cut: up to two passes over key and order columns.
+
+    Give it to indicators over the same rows in place of `rows_per_task`, and they read no row before they run.
+    """
+    keys, order = _names(keys), _names(order)
+    found = hot_keys(df, keys, rows_per_task)
+    cuts, starts = _cut_points(df, keys, order, *found) if found else ({}, {})
+    return Profile(keys, order, cuts, starts)
+
+
 def ordered(
     df: DataFrame,
     keys: str | Sequence[str],
     order: str | Sequence[str],
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> Ordered:
     """Prepare a DataFrame for windows in order within each key.
 
     `order` must be unique inside a key (end it in an id), or ties have no place to be cut.
-    Counting rows per key reads the input once more; `rows_per_task=None` leaves that out, for
-    series whose length has a bound of its own, such as one bar per day.
+    Counting rows per key reads the input once more; a `profile` of the same rows in place of
+    `rows_per_task` leaves that out, and so does None, for series whose length has a bound of its
+    own, such as one bar per day.
     """
-    keys = (keys,) if isinstance(keys, str) else tuple(keys)
-    order = (order,) if isinstance(order, str) else tuple(order)
-    found = hot_keys(df, keys, rows_per_task) if rows_per_task else None
-    if found is None:
+    keys, order = _names(keys), _names(order)
+    if rows_per_task is None:
+        return Ordered(df, keys, order)
+    known = rows_per_task
+    if not isinstance(known, Profile):
+        known = profile(df, keys, order, known)
+    elif (known.keys, known.order) != (keys, order):
+        raise ValueError(f"the profile is of {known.keys} by {known.order}, not {keys} by {order}")
+    if not known.cuts:
         return Ordered(df, keys, order)
-    cuts, starts = _cut_points(df, keys, order, *found)
-    return Ordered(_place(df, keys, order, cuts), keys, order, cut=True, starts=starts)
+    placed = _place(df, keys, order, known.cuts)
+    return Ordered(placed, keys, order, cut=True, starts=known.starts)

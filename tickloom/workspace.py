@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="tickloom-")
     spark.conf.set(CHECKPOINT_SETTING, folder)
