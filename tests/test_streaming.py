@@ -222,3 +222,19 @@ def test_state_and_batch_treat_missing_prices_alike(spark, events, tmp_path):
     both = spark.read.parquet(out).join(want, "trade_id")
     same = F.abs(F.col("ema") - F.col("want")) < 1e-9
     assert both.filter(same | (F.col("ema").isNull() & F.col("want").isNull())).count() == events.count()
+
+
+def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
+    path = str(tmp_path / "latest")
+    handle = sinks.keep_latest(path, ["k"], "ts", ["id"], buckets=8)
+    row = lambda k, t: (k, dt.datetime(2024, 1, 1, t), t)
+    schema = "k long, ts timestamp, id long"
+    handle(spark.createDataFrame([row(k, 1) for k in range(50)], schema), 0)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "latest").glob("version=0/bucket=*/*.parquet")}
+    for number in (1, 1, 2):  # one of them twice
+        handle(spark.createDataFrame([row(7, 1 + number), row(7, 0)], schema), number)
+    assert len(list((tmp_path / "latest" / "version=2").glob("bucket=*"))) == 1
+    left = {p: p.stat().st_mtime_ns for p in (tmp_path / "latest").glob("version=0/bucket=*/*.parquet")}
+    assert len(left) == len(before) - 1 and all(before[p] == t for p, t in left.items())
+    got = {r.k: r.id for r in sinks.read_latest(spark, path, schema).collect()}
+    assert got == {k: 3 if k == 7 else 1 for k in range(50)}

@@ -89,28 +89,72 @@ def quarantine_to(path: str, rules: dict[str, Column]) -> Callable[[DataFrame, i
     return handle
 
 
+BUCKETS = 64
+BUCKET = "bucket"
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
+
+
+def _stored(spark: SparkSession, path: str, below: int | None = None) -> dict[int, list[int]]:
+    """Versions of each bucket, oldest first, of batches written to their end."""
+    found: dict[int, list[int]] = {}
+    for v in _versions(spark, path):
+        if below is None or v < below:
+            for name in subfolders(spark, f"{path}/{VERSION}={v}"):
+                if name.startswith(f"{BUCKET}="):
+                    found.setdefault(int(name.split("=")[1]), []).append(v)
+    return found
+
+
+def _read(spark: SparkSession, path: str, schema, stored: dict[int, list[int]]) -> DataFrame:
+    """The newest version of each bucket."""
+    folders = [f"{path}/{VERSION}={v[-1]}/{BUCKET}={b}" for b, v in stored.items()]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def _touched(
+    batch: DataFrame, path: str, keys: Sequence[str], number: int, buckets: int
+) -> dict[int, list[int]]:
+    """What is stored before batch `number` of the buckets that its keys fall into."""
+    own = {r[0] for r in batch.select(_bucket(keys, buckets)).distinct().collect()}
+    known = _stored(batch.sparkSession, path, number)
+    return {b: v for b, v in known.items() if b in own}
+
+
+def _replace(
+    rows: DataFrame, path: str, keys: Sequence[str], number: int, buckets: int, stored: dict[int, list[int]], keep: int
+) -> None:
+    """Write the buckets of `rows` as version `number`, and delete those with `keep` newer ones."""
+    marked = rows.withColumn(BUCKET, _bucket(keys, buckets))
+    marked.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{VERSION}={number}")
+    for b, versions in stored.items():
+        for old in versions[: -(keep - 1) or None]:
+            delete_folder(rows.sparkSession, f"{path}/{VERSION}={old}/{BUCKET}={b}")
+
+
 def keep_latest(
-    path: str, keys: Sequence[str], timestamp: str, tiebreak: Sequence[str], keep: int = 2
+    path: str,
+    keys: Sequence[str],
+    timestamp: str,
+    tiebreak: Sequence[str],
+    keep: int = 2,
+    buckets: int = BUCKETS,
 ) -> Callable[[DataFrame, int], None]:
-    """Maintain a table of the newest row per key.
+    """Maintain a table of the newest row per key, in `buckets` by a hash of the key.
 
-    Batch n reads the newest version before n and writes version n. Older versions than the last
-    `keep` are deleted, so readers of the current one are left in peace; a batch that is repeated
-    needs the version before it, so two are the least.
+    Batch n reads the newest version before n of the buckets that its keys fall into and writes
+    those alone as version n. Of each bucket the last `keep` versions stay, so readers of the current
+    one are left in peace; a batch that is repeated needs the version before it, so two are the least.
     """
     if keep < 2:
         raise ValueError("keep two versions or more: a repeated batch needs the one before it")
 
     def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        known = [v for v in _versions(spark, path) if v < number]
-        rows = batch
-        if known:
-            before = spark.read.schema(batch.schema).parquet(f"{path}/{VERSION}={known[-1]}")
-            rows = before.unionByName(batch)
-        _put(latest(rows, keys, timestamp, tiebreak), path, number, VERSION)
-        for old in known[: -(keep - 1) or None]:
-            delete_folder(spark, f"{path}/{VERSION}={old}")
+        stored = _touched(batch, path, keys, number, buckets)
+        rows = _read(batch.sparkSession, path, batch.schema, stored).unionByName(batch)
+        _replace(latest(rows, keys, timestamp, tiebreak), path, keys, number, buckets, stored, keep)
 
     return handle
 
@@ -126,6 +170,7 @@ def running_ema(
     trade_id: str = "trade_id",
     price: str = "price",
     rows_per_task: int = ROWS_PER_TASK,
+    buckets: int = BUCKETS,
 ) -> Callable[[DataFrame, int], None]:
     """Continue the EMA of every key over all batches, for keys of any size.
 
@@ -139,18 +184,14 @@ def running_ema(
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         state = f"{path}/state"
-        known = [v for v in _versions(spark, state) if v < number]
         rows = batch.select(*keys, *order, F.col(price).cast("double").alias("_x"))
         shape = rows.schema
-        if known:
-            before = spark.read.schema(shape).parquet(f"{state}/{VERSION}={known[-1]}")
-            last = before.select(*keys, F.struct(*order).alias("_last"))
-            placed = join_on(rows, broadcast_if_small(last), keys, "left")
-            late = F.coalesce(F.struct(*order) <= F.col("_last"), F.lit(False))
-            rows = placed.withColumn(LATE, late).drop("_last")
-        else:
-            before = spark.createDataFrame([], shape)
-            rows = rows.withColumn(LATE, F.lit(False))
+        stored = _touched(rows, state, keys, number, buckets)
+        before = _read(spark, state, shape, stored)
+        last = before.select(*keys, F.struct(*order).alias("_last"))
+        placed = join_on(rows, broadcast_if_small(last), keys, "left") if stored else rows.withColumn("_last", F.lit(None).cast(last.schema["_last"].dataType))
+        late = F.coalesce(F.struct(*order) <= F.col("_last"), F.lit(False))
+        rows = placed.withColumn(LATE, late).drop("_last")
         go_on = before.withColumn("_state", F.lit(True)).unionByName(
             rows.filter(~F.col(LATE)).drop(LATE).withColumn("_state", F.lit(False))
         )
@@ -163,11 +204,8 @@ def running_ema(
         _put(done, f"{path}/rows", number)
         written = spark.read.schema(done.schema).parquet(f"{path}/rows/{BATCH}={number}")
         on_time = written.filter(~F.col(LATE)).select(*keys, *order, F.col("ema").alias("_x"))
-        _put(
-            latest(before.unionByName(on_time), keys, timestamp, [trade_id]), state, number, VERSION
-        )
-        for old in known[:-1]:
-            delete_folder(spark, f"{state}/{VERSION}={old}")
+        newest = latest(before.unionByName(on_time), keys, timestamp, [trade_id])
+        _replace(newest, state, keys, number, buckets, stored, keep=2)
 
     return handle
 
@@ -183,7 +221,4 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
     """The current version of a latest table; without rows before the first batch."""
-    if not (known := _versions(spark, path)):
-        return spark.createDataFrame([], schema)
-    current = known[-1]
-    return spark.read.schema(schema).parquet(f"{path}/{VERSION}={current}")
+    return _read(spark, path, schema, _stored(spark, path))
