@@ -154,3 +154,11 @@ def test_a_load_replaces_itself_and_months_are_compacted(spark, tmp_path):
         tables.compact_month(spark, base, "equity", month)
         assert len(list((tmp_path / "equity" / f"month={month}").glob("load=*"))) == 1
     assert tables.read_table(spark, base, "equity").count() == 2 * n
+
+
+def test_layout_by_size_keeps_all_rows(spark, tmp_path):
+    rows = equity(spark, [dt.date(2024, 2, 1), dt.date(2024, 3, 1)])
+    tables.write_table(rows, str(tmp_path), "equity", LOADED, by_size=True)
+    assert tables.read_table(spark, str(tmp_path), "equity").count() == rows.count()
+    plan = tables.arrange(tables.apply_defaults(rows, "equity", LOADED), "equity", by_size=True)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan._jdf.queryExecution().executedPlan().toString()

@@ -63,19 +63,27 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[stored(f) for f in TABLES[table].schema.fields])
 
 
-def arrange(df: DataFrame, table: str, files: int | None = None) -> DataFrame:
+def arrange(
+    df: DataFrame, table: str, files: int | None = None, by_size: bool = False
+) -> DataFrame:
     """Spread rows over tasks by month and layout order, and sort inside each task.
 
     Ranges rather than a hash of the month: a month is split over as many tasks as it
     needs, and every file covers a narrow key range. Rows with equal layout keys, copies
     included, are told apart by the partition they come from, so they can be split too.
+
+    Finding ranges samples the input, which runs what lies before it twice. `by_size` leaves that
+    out: rows of a month and leading key go together and Spark splits what is too large.
     """
     spec = TABLES[table]
     by = [MONTH, *spec.layout, "_from"]
     rows = conform(df, table).withColumns(
         {MONTH: month_column(spec), "_from": F.spark_partition_id()}
     )
-    ranged = rows.repartitionByRange(files, *by) if files else rows.repartitionByRange(*by)
+    if by_size:
+        ranged = rows.hint("rebalance", MONTH, spec.layout[0])
+    else:
+        ranged = rows.repartitionByRange(files, *by) if files else rows.repartitionByRange(*by)
     return ranged.sortWithinPartitions(MONTH, *spec.layout).drop("_from")
 
 
@@ -87,9 +95,10 @@ def write_table(
     mode: str = "append",
     files: int | None = None,
     rows_per_file: int | None = None,
+    by_size: bool = False,
 ) -> None:
     """Append to a table. Equal rows stay: the tables have no key that removes duplicates."""
-    writer = arrange(apply_defaults(df, table, as_of), table, files)
+    writer = arrange(apply_defaults(df, table, as_of), table, files, by_size)
     writer = writer.withColumn(LOAD, F.lit(uuid.uuid4().hex)).write.mode(mode)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
