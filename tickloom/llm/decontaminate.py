@@ -23,7 +23,7 @@ from tickloom.llm.batches import set_aside, with_columns
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 

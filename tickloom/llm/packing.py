@@ -45,16 +45,17 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = encoder(tokenizer), struct.pack("<I", end_id)
-        for batch in small_batches(batches):
-            rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = words.encode(text) + end
-                for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
-                    part = ids[4 * s : 4 * (s + n)]
-                    rows.append((doc, k, s, n, zlib.crc32(part), *([part] if with_ids else [])))
-            columns = list(zip(*rows)) or [()] * len(types)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+        end = struct.pack("<I", end_id)
+        with encoder(tokenizer) as words:
+            for batch in small_batches(batches):
+                rows: list[tuple] = []
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    ids = words.encode(text) + end
+                    for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
+                        part = ids[4 * s : 4 * (s + n)]
+                        rows.append((doc, k, s, n, zlib.crc32(part), *([part] if with_ids else [])))
+                columns = list(zip(*rows)) or [()] * len(types)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *([pa.binary()] if with_ids else [])]

@@ -52,16 +52,18 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, bounds: list[int]) ->
     cuts = np.array(bounds, dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = encoder(tokenizer), struct.pack("<I", end_id)
-        narrow = max(words.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16
-        for batch in small_batches(batches):
-            doc = batch.column(0)
-            ids = [words.encode(t) + end for t in batch.column(1).to_pylist()]
-            if narrow:
-                ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-            part = 1 + np.searchsorted(cuts, np.array(doc.fill_null(0)), side="right")
-            part[np.array(doc.is_null())] = 0
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), doc, pa.array([2 if narrow else 4] * len(ids), pa.int32()), pa.array(ids, pa.binary())], ["part", "doc_id", "width", "ids"])
+        end = struct.pack("<I", end_id)
+        with encoder(tokenizer) as words:
+            narrow = max(words.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16
+            for batch in small_batches(batches):
+                doc = batch.column(0)
+                ids = [words.encode(t) + end for t in batch.column(1).to_pylist()]
+                if narrow:
+                    ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
+                part = 1 + np.searchsorted(cuts, np.array(doc.fill_null(0)), side="right")
+                part[np.array(doc.is_null())] = 0
+                width = pa.array([2 if narrow else 4] * len(ids), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), doc, width, pa.array(ids, pa.binary())], ["part", "doc_id", "width", "ids"])
 
     return docs.mapInArrow(run, "part int, doc_id long, width int, ids binary")
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import os
 import struct
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 #: Marks after a word that no rule joins with letters. The apostrophe is left out: "'s" is a word.
 MARKS = '.,!?&%$#*|;:)]}"'
@@ -18,7 +20,7 @@ MARKS = '.,!?&%$#*|;:)]}"'
 KNOWN_LETTERS = "\u0530"
 #: ... and of these, those below stand for themselves in NFC and have one lower case wherever they are.
 SIMPLE_LETTERS = "\u0370"
-MEMORY = 250_000
+MEMORY = 200_000
 
 
 def _byte_alphabet() -> list[str]:
@@ -142,6 +144,11 @@ class WordEncoder:
         except _NotApart:
             return self._whole(line)
 
+    def forget(self) -> None:
+        for memory in (self.plain, self.spaced, self.tails, self.words):
+            memory.clear()
+            memory.older = {}
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
@@ -167,8 +174,12 @@ class WordEncoder:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder for each file in a Python worker, kept over its tasks."""
+@contextmanager
+def encoder(path: str) -> Iterator[WordEncoder]:
+    """The file's encoder for a task. Its words are forgotten afterwards: workers live on."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    try:
+        yield _ENCODERS[path]
+    finally:
+        _ENCODERS[path].forget()
