@@ -16,7 +16,7 @@ from tickloom.plans.views import sql
 TICK_ORDER = ["ts", "trade_id"]
 TICK_WINDOW = "WINDOW w AS (PARTITION BY symbol ORDER BY ts, trade_id)"
 BAR_WINDOW = "WINDOW w AS (PARTITION BY symbol ORDER BY bar)"
-HOT_ROWS = 80
+HOT_ROWS = 150
 """Rows per task that make every symbol of every test table a hot one."""
 HOT_BARS = 40
 HOT_DAY = 4

@@ -189,7 +189,7 @@ SELECT trade_id, symbol, round(ema, 6) AS ema, false AS is_late FROM chain""",
 def stream_ema(spark: SparkSession, folder: str) -> DataFrame:
     out, checkpoint = new_folder(spark, "ema"), new_folder(spark, "progress")
     stream = V.as_ticks(_events(spark, folder))
-    sinks.each_batch(stream, sinks.running_ema(out), checkpoint).awaitTermination()
+    sinks.each_batch(stream, sinks.running_ema(out, buckets=8), checkpoint).awaitTermination()
     done = spark.read.schema(
         f"trade_id bigint, symbol string, ema double, {sinks.LATE} boolean"
     ).parquet(f"{out}/rows")
@@ -241,7 +241,7 @@ def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
     out = new_folder(spark, "latest")
     columns = ["user_id", "ts", "trade_id", "price"]
     turns = [F.col("event_id") % 4 == k for k in (2, 0, 3, 1)]
-    handle = sinks.keep_latest(out, ["user_id"], "ts", ["trade_id"])
+    handle = sinks.keep_latest(out, ["user_id"], "ts", ["trade_id"], buckets=8)
     _in_turns(spark, folder, turns, handle, lambda rows: V.as_ticks(rows).select(*columns))
     newest = sinks.read_latest(spark, out, V.ticks(spark, folder).select(*columns).schema)
     return newest.withColumn("ts", plain(F.col("ts")))

@@ -127,7 +127,8 @@ def _replace(
     rows: DataFrame, path: str, keys: Sequence[str], number: int, buckets: int, stored: dict[int, list[int]], keep: int
 ) -> None:
     """Write the buckets of `rows` as version `number`, and delete those with `keep` newer ones."""
-    marked = rows.withColumn(BUCKET, _bucket(keys, buckets))
+    # a file or few for each bucket, not one from each task
+    marked = rows.withColumn(BUCKET, _bucket(keys, buckets)).repartition(F.col(BUCKET))
     marked.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{VERSION}={number}")
     for b, versions in stored.items():
         for old in versions[: -(keep - 1) or None]:
