@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import language
 from tickloom.llm.queries import QUERIES
+from tickloom.llm.sampling import sample_per_class
 
 
 def plain_ranks(text, top):
@@ -59,3 +60,10 @@ def test_odd_rows(spark):
     none = language.learn(docs.limit(0), F.lit(True))
     assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
     assert language.identify(docs.limit(0), none).collect() == []
+
+
+def test_samples_are_bounded_and_repeatable(spark):
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 50 == 0, "rare").otherwise("often").alias("lang"))
+    a, b = (sorted(map(tuple, sample_per_class(r, "lang", "doc_id", 150).collect())) for r in (rows, rows.repartition(7)))
+    assert a == b and sum(r[1] == "rare" for r in a) == 100 and 120 <= sum(r[1] == "often" for r in a) <= 150
+    assert sample_per_class(rows.limit(0), "lang", "doc_id", 5).collect() == []
