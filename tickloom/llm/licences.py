@@ -129,4 +129,4 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
         return {"notices": found, "license": [b["license"] for b in best], "dice": [b["dice"] for b in best]}
 
     held: dict[str, Templates] = {}
-    return with_columns(docs, "notices array<struct<license: string, dice: double, text: string>>, license string, dice double", work, [text])
+    return with_columns(docs, "notices array<struct<license: string, dice: double, text: string>>, license string, dice double", work, [text], size=2 << 20)
