@@ -79,3 +79,22 @@ def test_one_very_common_vector(spark):
     for q in want:
         if q % 3:
             assert [v for _, v in sorted(got[q])] == [i for i in range(900) if i % 3 and i != q][:20]
+
+
+@pytest.mark.parametrize("copies", ["every row twice", "one row twenty times"])
+def test_repeated_ids_take_one_place(spark, copies, monkeypatch):
+    """One group of small shards: copies meet in a shard and on merging."""
+    for name, value in (("SHARD", 100), ("BLOCK", 4)):
+        monkeypatch.setattr(nb, name, value)
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=12).tolist()) for i in range(300)]
+    rows[7] = (7, (1.2 * np.array(rows[0][1])).tolist())  # near to query 0
+    want, got = brute(rows, 20), {}
+    more = rows * 2 if copies == "every row twice" else rows + [rows[7]] * 19
+    df = spark.createDataFrame(more, "vec_id long, embedding array<double>")
+    for r in nb.nearest(df.where("vec_id % 20 = 0"), df).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert set(got) == set(want)
+    assert all([r for r, _ in g] == list(range(1, 21)) and len({v for _, v in g}) == 20 for g in got.values())
+    assert got[0][0] == (1, 7)
+    assert sum(len({v for _, v in got[q]} & {w[0] for w in want[q]}) for q in want) / (20 * len(want)) >= 0.9

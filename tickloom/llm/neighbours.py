@@ -119,21 +119,42 @@ class MultiIndex:
         return found
 
 
+def distinct(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each id once, with the best of its scores."""
+    order = np.lexsort((-scores, ids))
+    first = np.ones(len(ids), bool)
+    first[1:] = np.diff(ids[order]) != 0
+    return ids[order[first]], scores[order[first]]
+
+
 def best_in_shard(index: MultiIndex, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, codes: np.ndarray, radius: int, bits: int, k: int) -> list:
-    """For each query, ids and scores of the k best in a shard, best first, ties to the smaller id."""
+    """For each query, ids and scores of the k best ids in a shard, best first, ties to the smaller id.
+
+    Rows of one id are one candidate with the best of their scores, if one of them is found.
+    """
     out: list = [None] * len(query_ids)
     todo = np.arange(len(query_ids))
+    names, place = np.unique(ids, return_inverse=True)
+    by_name = np.argsort(place, kind="stable")
+    starts = np.searchsorted(place[by_name], np.arange(len(names)))
     while len(todo):
         found = index.within(codes[todo], radius) & (ids != query_ids[todo, None])
-        enough = (found.sum(axis=1) >= k) | (radius >= bits)
+        if len(names) < len(ids):
+            some = np.logical_or.reduceat(found[:, by_name], starts, axis=1)
+            found, count = some[:, place], some.sum(axis=1)
+        else:
+            count = found.sum(axis=1)
+        enough = (count >= k) | (radius >= bits)
         for q, own in zip(todo[enough], found[enough]):
             at = np.flatnonzero(own)
-            scores = vectors[at] @ queries[q]
-            if len(at) > 4 * k:  # none that ties with the k-th is left out
+            own_ids, scores = ids[at], vectors[at] @ queries[q]
+            if len(names) < len(ids):
+                own_ids, scores = distinct(own_ids, scores)
+            if len(own_ids) > 4 * k:  # none that ties with the k-th is left out
                 least = np.partition(scores, -k)[-k]
-                at, scores = at[scores >= least], scores[scores >= least]
-            order = np.lexsort((ids[at], -scores))[:k]
-            out[q] = ids[at[order]], scores[order]
+                own_ids, scores = own_ids[scores >= least], scores[scores >= least]
+            order = np.lexsort((own_ids, -scores))[:k]
+            out[q] = own_ids[order], scores[order]
         todo, radius = todo[~enough], radius + len(index.tables)
     return out
 
@@ -174,9 +195,10 @@ def _unpacked(ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(rows: DataFrame, k: int, sample: int = SAMPLE, recall: float = RECALL) -> Coder | None:
-    """A coder from `sample` vectors, those whose ids hash lowest; None if there are no vectors."""
+    """A coder from `sample` vectors, those whose ids hash lowest, one of each id; None if there are no vectors."""
     longest = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect() if longest else []
+    lowest = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
+    drawn = rows.join(F.broadcast(lowest), "vec_id").groupBy("vec_id").agg(F.max("v").alias("v")).orderBy(F.xxhash64("vec_id"), "vec_id").collect() if longest else []
     return Coder(np.array([r.v for r in drawn]), float(np.sqrt(longest)), k, recall) if drawn else None
 
 
@@ -185,7 +207,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, sample: int = S
 
     Both tables have vec_id and embedding; a query's rows of the same id count as its own. Score
     is the inner product in double precision. Ids that repeat in `vectors` are one candidate, the
-    best. Extra columns are not looked at; an empty table gives no rows.
+    best; ids that repeat in `queries` are one query, with the best score over its rows. Extra columns are not looked at; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     rows = keep(usable(vectors), "vectors")
@@ -195,7 +217,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, sample: int = S
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     known = spark.sparkContext.broadcast(coder)
     size = coder.rotations[0].shape[0] - 1
-    asked = asked.where(F.size("v") == size)
+    asked = asked.where(F.size("v") == size).dropDuplicates(["vec_id", "v"])
     shards, n_shards = packed(rows, SHARD)
     blocks, _ = packed(keep(asked, "queries"), BLOCK)
     groups = -(-n_shards // SHARDS_PER_GROUP)
@@ -223,7 +245,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, sample: int = S
                 best = best_in_shard(index, ids, vectors, query_ids, query_rows, coder.query_codes(query_rows), coder.radius, coder.bits, k)
                 for q, (found, scores) in zip(query_ids.tolist(), best):
                     if q in held:
-                        found, scores = np.concatenate([held[q][0], found]), np.concatenate([held[q][1], scores])
+                        found, scores = distinct(np.concatenate([held[q][0], found]), np.concatenate([held[q][1], scores]))
                         order = np.lexsort((found, -scores))[:k]
                         found, scores = found[order], scores[order]
                     held[q] = found, scores
