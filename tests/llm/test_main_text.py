@@ -122,3 +122,16 @@ def test_odd_rows(spark):
     got = main_text.extract(spark.createDataFrame(rows, "page_id long, html string, text string")).collect()
     assert [(r.page_id, r.n_chars) for r in got[:3]] == [(1, 0), (2, 0), (3, 219_999)] and got[3].text == "x\n\nSome text, here."
     assert main_text.extract(spark.createDataFrame([], "page_id long, html string")).collect() == []
+
+
+@pytest.mark.parametrize("name", ["button", "select", "video", "audio", "object", "canvas", "svg", "math"])
+@pytest.mark.parametrize("page", ["<div>{}</div><article><p>One.</p><p>Two.</p></article>", "{}<article><p>One.</p><p>Two.</p></article>", "<article>{}<p>One.</p><p>Two.</p></article>", "<article><p>One.</p>{}<p>Two.</p></article>", "<article><p>{}</p><p>One.</p><div>{}x</{name}></div><p>Two.</p></article>"])
+def test_inner_elements_left_open(name, page):
+    assert blocks(page.replace("{}", f"<{name} id=a>").replace("{name}", name)) == ["One.", "Two."]
+
+
+def test_closed_inner_elements_have_no_text():
+    for name in html_tree.MUTED:
+        assert blocks(f"<p>One <{name}><div>in <{name}2>it</div></{name}>two</p>") == ["One two"]
+    assert blocks("<p>One<object><object>a</object><p>b</p></object></p><p>Two<button>b</p><p>Three</p>") == ["One", "Two", "Three"]
+    assert blocks("<p>One<svg/>two<svg><title/><g>x</g></svg></p><script>'<button>'</script><p>Three</p>") == ["Onetwo", "Three"]

@@ -2,13 +2,15 @@
 
 Nodes are block elements and runs of inline text between them. Nothing is built for inline tags;
 a run knows how much of it is link text. Scripts, styles, forms' inner controls and the like have
-no text. Tags left open are closed where a browser would.
+no text. Tags left open are closed where a browser would; those of inner controls and media end
+at the next block, so that no text behind them is lost.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from functools import lru_cache
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>""", re.S)
@@ -17,6 +19,7 @@ _NAMES = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*
 # Elements of HTML by what they do.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 SKIPPED = frozenset("script style noscript template title textarea select button svg math iframe object canvas audio video head".split())
+MUTED = frozenset("select button svg math object canvas audio video".split())  # these do not run to the page's end when left open
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tbody", "thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
@@ -94,6 +97,49 @@ class Tree:
         return len(self.kind) - 1
 
 
+def _ends(page: str) -> dict[int, int]:
+    """Where the muted elements that are closed end, by where their start tags end.
+
+    A muted element is left open if a block around it ends before its end tag comes, or, for
+    buttons and selections, if another one begins.
+    """
+    ends: dict[int, int] = {}
+    open_: list[tuple[str, int]] = []
+    count: Counter = Counter()
+
+    def pop(name: str) -> int:
+        while True:
+            other, start = open_.pop()
+            count[other] -= 1
+            if other == name:
+                return start
+
+    at = 0
+    while m := _TAG.search(page, at):
+        at = m.end()
+        name = (m[2] or m[5] or "").lower()
+        if name not in BLOCKS and name not in SKIPPED or name in ("head", "hr"):
+            continue
+        if m[1] or m[4]:
+            if count[name]:
+                start = pop(name)
+                if name in MUTED:
+                    ends[start] = at
+            continue
+        if (m[3] or m[6] or "").endswith("/") and (name in ("svg", "math") or count["svg"] or count["math"]):
+            continue
+        if name in BLOCKS or name in MUTED:
+            if name in ("button", "select") and count[name]:
+                pop(name)
+            open_.append((name, at))
+            count[name] += 1
+        elif stop := re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at):
+            at = stop.end()
+        else:
+            break
+    return ends
+
+
 def parse(page: str | None) -> Tree:
     """The block tree of a page; a null or empty page is a root alone."""
     tree = Tree()
@@ -101,7 +147,8 @@ def parse(page: str | None) -> Tree:
     page = page or ""
     open_: list[tuple[str, int]] = [("", root)]  # all open elements, inline ones too, with their block
     pieces: list[str] = []
-    linked = anchors = tags = at = 0
+    linked = anchors = tags = at = muted = 0
+    ends: dict[int, int] | None = None
 
     def end_run() -> None:
         nonlocal linked, tags
@@ -113,18 +160,23 @@ def parse(page: str | None) -> Tree:
         linked = tags = 0
 
     def close(depth: int) -> None:
-        nonlocal anchors
+        nonlocal anchors, muted
         while len(open_) > depth:
             name, block = open_[-1]
             if name in BLOCKS:
                 end_run()
                 tree.last[block] = len(tree.kind) - 1
             anchors -= name == "a"
+            muted -= name in MUTED
             open_.pop()
 
+    def unmute() -> None:
+        if muted:
+            close(next(k for k in range(1, len(open_)) if open_[k][0] in MUTED))
+
     def say(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and not muted:
             text = html.unescape(raw) if "&" in raw else raw
             pieces.append(text)
             if anchors:
@@ -137,6 +189,8 @@ def parse(page: str | None) -> Tree:
         if not name:
             continue
         if m[1] or m[4]:
+            if name in BLOCKS:
+                unmute()
             depth = next((k for k in range(len(open_) - 1, 0, -1) if open_[k][0] == name), 0)
             if depth and (name in BLOCKS or not any(open_[k][0] in BLOCKS for k in range(depth + 1, len(open_)))):
                 if name in BLOCKS:
@@ -147,11 +201,22 @@ def parse(page: str | None) -> Tree:
             if not (m[3] or m[6] or "").endswith("/") or name not in ("svg", "math"):
                 if name == "head":
                     continue  # its text is in elements that are skipped
+                if name in MUTED:
+                    ends = _ends(page) if ends is None else ends
+                    tree.inputs[open_[-1][1]] += name in ("select", "button")
+                    if at in ends:
+                        at = ends[at]
+                    else:
+                        unmute()
+                        open_.append((name, open_[-1][1]))
+                        muted += 1
+                    continue
                 stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
                 at = stop.end() if stop else len(page)
-                tree.inputs[open_[-1][1]] += name in ("textarea", "select", "button")
+                tree.inputs[open_[-1][1]] += name == "textarea"
             continue
         if name in BLOCKS:
+            unmute()
             end_run()
             if name != "hr":
                 if name in CLOSES:
