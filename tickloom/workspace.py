@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: A session's own folder where the cluster names none; the setting above cannot be changed in a session.
+OWN_SETTING = "spark.tickloom.shared.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -17,13 +19,13 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may go without the setting and gets a temporary folder: on a
     cluster a machine-local folder would be lost with its executor.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.conf.get(OWN_SETTING, None)
     if folder:
         return folder
     if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="tickloom-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
+    spark.conf.set(OWN_SETTING, folder)
     return folder
 
 
