@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontaminate, language, licences, line_dedup, main_text, neighbours, packing, quality, simhash, token_files
+from tickloom.llm import conversations, decontaminate, language, licences, line_dedup, main_text, neighbours, packing, quality, simhash, token_files
 from tickloom.llm.sampling import remainder
 from tickloom.workspace import new_folder
 
@@ -191,3 +191,73 @@ FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN total USING (doc_id)
 
 
 ORACLES["op9_licence_scan"] = _licence_sql()
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repairs(conversations.damage(table(spark, folder, "conversations")))
+
+
+def _repair_sql() -> str:
+    """Least cost, audit and repaired text of every ending, for each state of the grammar, from the last row to the first."""
+    onward = (2, 2, 3, 2)
+
+    def way(cost: str, edit: str, q: int, line: str = "") -> str:
+        return f"{{'c': {cost} + s{q}.c, 'a': '{edit}' || s{q}.a, 't': {line + ' || ' if line else ''}s{q}.t}}"
+
+    def best(q: int) -> str:
+        added = f"chr(10) || '{'assistant' if q == 2 else 'user'}:' || text"
+        kept = {0: [("s", 1), ("u", 2)], 1: [("u", 2)], 2: [("a", 3)], 3: [("u", 2)]}[q]
+        ways = [way("2", "D", q), f"CASE WHEN NOT gone THEN {way('1 + extra', 'R', onward[q], added)} END"]
+        ways += [f"CASE WHEN NOT gone AND initial = '{i}' THEN {way('extra', 'K', to, 'chr(10) || role || chr(58) || text')} END" for i, to in kept]
+        return f"least({', '.join(ways)})"
+
+    def inserted(q: int, then: str) -> str:
+        return f"{{'c': 5 + {then}.c, 'a': 'I' || {then}.a, 't': chr(10) || '{'assistant:' if q == 2 else 'user:'}' || {then}.t}}"
+
+    return f"""
+WITH RECURSIVE one AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS step
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), hashed AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(key) + 1), lambda i: ascii(substr(key, i, 1))::BIGINT)),
+    lambda a, b: xor(a >> 8, step[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS k FROM keyed, one
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM hashed
+), placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS k FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN body = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'd'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY k) AS before FROM placed
+), marked AS (
+  SELECT *, fault IN ('b', 'd') AS gone, CASE fault WHEN 't' THEN 5 ELSE 0 END AS extra FROM judged
+), figures AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+    count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY conv_id
+), ending AS (
+  SELECT conv_id, n AS k, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0, {{'c': 10::BIGINT, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS s1,
+    {{'c': 5::BIGINT, 'a': 'I', 't': chr(10) || 'assistant:'}} AS s2, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s3 FROM figures
+  UNION ALL
+  SELECT conv_id, k - 1, least(b0, {inserted(0, 'c2')}), least(b1, {inserted(1, 'c2')}), c2, c3 FROM (
+    SELECT *, least(b2, {inserted(2, 'b3')}) AS c2, least(b3, {inserted(3, 'b2')}) AS c3 FROM (
+      SELECT m.conv_id, m.k, {best(0)} AS b0, {best(1)} AS b1, {best(2)} AS b2, {best(3)} AS b3
+      FROM ending e JOIN marked m ON m.conv_id IS NOT DISTINCT FROM e.conv_id AND m.k = e.k))
+), repaired AS (
+  SELECT conv_id, s0.c AS cost, s0.a AS audit, sha256(substr(s0.t, 2)) AS repaired_sha256 FROM ending WHERE k = 0
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+ORACLES["op13_conversation_repair"] = _repair_sql()
