@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import conversations, decontaminate, language, licences, line_dedup, main_text, neighbours, packing, quality, simhash, token_files
+from tickloom.llm import conversations, decontaminate, hard_negatives, language, licences, line_dedup, main_text, neighbours, packing, quality, simhash, token_files
 from tickloom.llm.sampling import remainder
 from tickloom.workspace import new_folder
 
@@ -261,3 +261,29 @@ LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repair
 
 
 ORACLES["op13_conversation_repair"] = _repair_sql()
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)").alias("label"), "embedding")
+    return hard_negatives.mine(hard_negatives.integer_rows(rows), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
