@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import conversations, decontaminate, hard_negatives, language, licences, line_dedup, main_text, neighbours, packing, quality, simhash, token_files
+from tickloom.llm import conversations, decontaminate, fingerprints, hard_negatives, language, licences, line_dedup, main_text, neighbours, packing, quality, simhash, token_files
 from tickloom.llm.sampling import remainder
 from tickloom.workspace import new_folder
 
@@ -198,6 +198,11 @@ def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.repairs(conversations.damage(table(spark, folder, "conversations")))
 
 
+@query
+def op11_improbable_features(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_edits(table(spark, folder, "documents"))
+
+
 def _repair_sql() -> str:
     """Least cost, audit and repaired text of every ending, for each state of the grammar, from the last row to the first."""
     onward = (2, 2, 3, 2)
