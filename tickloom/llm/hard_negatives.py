@@ -32,6 +32,8 @@ BITS = 512
 PLANES = 8
 BLOCK = 2048
 ROWS = 4096
+#: A task's first rows come in small batches, so that what must be reached is known early.
+FIRST = 256
 ANCHORS = 128
 _WORST = np.iinfo(np.int64).min
 _FOUND = "anchor int, slot int, vec_id long, score long"
@@ -117,13 +119,13 @@ class Anchors:
     def intervals(self, some: slice, rows: Coded) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest possible score of some anchors with every row."""
         shape = len(self.ids[some]), len(rows.ids)
-        common = np.zeros(shape, np.int64)
-        words = rows.codes.shape[1]
+        common = np.zeros(shape, np.int32)
+        words = np.ascontiguousarray(rows.codes.T)
         for b, plane in enumerate(self.planes):
             count = np.zeros(shape, np.uint16)
-            for k in range(words):
-                count += np.bitwise_count(plane[some, k, None] & rows.codes[None, :, k])
-            common += count.astype(np.int64) << b
+            for k, word in enumerate(words):
+                count += np.bitwise_count(plane[some, k, None] & word)
+            common += count.astype(np.int32) << b
         ones = np.bitwise_count(rows.codes).sum(axis=1, dtype=np.int64)
         y = self.low[some, None] * (2 * ones - self.bits) + self.step[some, None] * (2 * common - self.total[some, None])
         y /= self.root
@@ -162,29 +164,33 @@ class Best:
 def search(anchors: Anchors, rows: Coded, best: Best, low: np.ndarray, high: np.ndarray, same_label: bool) -> int:
     """Put rows between `low` and `high` (anchor by slot) into `best`; how many pairs were scored.
 
-    Request anchor * slots + slot wants rows of the same label, or of others.
+    Request anchor * slots + slot wants rows of the same label, or of others. A row must be able to
+    reach the k best found so far; of a request that has fewer, the k best lower ends of intervals
+    that lie wholly inside.
     """
     slots, k, scored = low.shape[1], best.k, 0
+    reached = best.least().reshape(-1, slots)
     for start in range(0, len(anchors.ids), ANCHORS):
         some = slice(start, min(start + ANCHORS, len(anchors.ids)))
         least, most = anchors.intervals(some, rows)
         fit = ((anchors.labels[some, None] == rows.labels) == same_label) & (anchors.ids[some, None] != rows.ids)
-        held = best.least().reshape(-1, slots)[some].astype(float)
-        asked = []
+        held = reached[some]
+        asked = np.zeros(fit.shape, bool)
         for s in range(slots):
             lo, hi = low[some, s, None], high[some, s, None]
-            must = np.maximum(held[:, s, None], lo)
-            if len(rows.ids) >= k:
-                sure = np.where(fit & (least >= lo) & (most <= hi), least, -np.inf)
-                must = np.maximum(must, np.partition(sure, -k, axis=1)[:, -k, None])
-            at, row = np.nonzero(fit & (most >= must) & (least <= hi))
-            asked.append((at, row, np.full(len(at), s)))
-        at, row, slot = (np.concatenate([a[j] for a in asked]) for j in range(3))
+            must = np.maximum(held[:, s, None], lo).astype(float)
+            new = np.flatnonzero(held[:, s] == _WORST)
+            if len(new) and len(rows.ids) >= k:
+                sure = np.where(fit[new] & (least[new] >= lo[new]) & (most[new] <= hi[new]), least[new], -np.inf)
+                must[new] = np.maximum(must[new], np.partition(sure, -k, axis=1)[:, -k, None])
+            asked |= (most >= must) & (least <= hi)
+        at, row = np.nonzero(asked & fit)
         for cut in range(0, len(at), 1 << 16):
-            a, r, s = (x[cut : cut + (1 << 16)] for x in (at, row, slot))
+            a, r = at[cut : cut + (1 << 16)], row[cut : cut + (1 << 16)]
             scores = np.einsum("ij,ij->i", anchors.v[some][a], rows.v[r])
-            inside = (scores >= low[some][a, s]) & (scores <= high[some][a, s])
-            best.add((start + a[inside]) * slots + s[inside], rows.ids[r[inside]], scores[inside])
+            for s in range(slots):
+                good = (scores >= np.maximum(low[some, s], held[:, s])[a]) & (scores <= high[some, s][a])
+                best.add((start + a[good]) * slots + s, rows.ids[r[good]], scores[good])
         scored += len(at)
     return scored
 
@@ -219,8 +225,10 @@ def _found(coded: DataFrame, block: Anchors, low: np.ndarray, high: np.ndarray,
         block, low, high = sent.value
         best = Best(low.size, k)
         for whole in batches:
-            for start in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(start, ROWS)
+            start, size = 0, ROWS if len(best.ids) else FIRST
+            while start < whole.num_rows:
+                batch = whole.slice(start, size)
+                start, size = start + size, min(ROWS, 4 * size)
                 v, codes = (_matrix(batch.column(j), batch.num_rows) for j in (2, 3))
                 search(block, Coded(np.asarray(batch.column(0)), np.asarray(batch.column(1)), v, codes.view(np.uint64), *(np.asarray(batch.column(j)) for j in (4, 5, 6))), best, low, high, same_label)
         anchor, slot = np.divmod(best.request, low.shape[1])
