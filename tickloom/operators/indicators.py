@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators import sliding
 from tickloom.operators.ordered import CHUNK, ROWS_PER_TASK, Ordered, Profile, join_on, ordered
 
 Keys = str | Sequence[str]
@@ -25,20 +26,23 @@ def _last(w: WindowSpec, n: int) -> WindowSpec:
     return w.rowsBetween(-(n - 1), Window.currentRow)
 
 
-def _full(value: Column, over: Column, w: WindowSpec, n: int) -> Column:
-    """The value once n rows are there, NULL before."""
-    return F.when(F.count(over).over(_last(w, n)) == n, value)
+def _with_count(frame: DataFrame, w: WindowSpec, column: str, n: int, out: str) -> DataFrame:
+    """Add how many of the last n rows have a value: a running count less that of n rows ago."""
+    so_far = F.count(column).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = frame.withColumn("_so_far", so_far)
+    return counted.withColumn(out, F.col("_so_far") - F.coalesce(F.lag("_so_far", n).over(w), F.lit(0))).drop("_so_far")
 
 
-def _with_mean(frame: DataFrame, w: WindowSpec, price: str, n: int, out: str) -> DataFrame:
-    """Add the mean of the last n prices, NULL until there are n.
+def _with_mean(frame: DataFrame, series: Ordered, price: str, n: int, out: str) -> DataFrame:
+    """Add the mean of the last n prices, NULL until there are n, at the same cost for any n.
 
-    Exact types are added up once and the sum of n rows ago is taken off, which costs the same
-    for any n. Doubles would drift that way and are summed per frame.
+    Exact types are added up once and the sum of n rows ago is taken off. Doubles would drift that
+    way and are put together from two parts of blocks.
     """
+    w = series.window
     if not isinstance(frame.schema[price].dataType, (T.DecimalType, T.IntegralType)):
-        mean = F.avg(price).over(_last(w, n))
-        return frame.withColumn(out, _full(mean, F.col(price), w, n))
+        made = sliding.moments(frame, series.group, series.order, n, price, "_m")
+        return made.withColumn(out, sliding.filled(F.col("_m_mean"), F.col("_m_n"), n)).drop("_m_n", "_m_mean", "_m_off")
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     exact = F.col(price)
     if isinstance(frame.schema[price].dataType, T.IntegralType):
@@ -110,10 +114,12 @@ def sma(
 ) -> DataFrame:
     """Simple moving average over n rows."""
 
+    series = ordered(df, keys, order, rows_per_task)
+
     def build(frame: DataFrame, w: WindowSpec) -> DataFrame:
-        return _with_mean(frame, w, price, n, "sma")
+        return _with_mean(frame, series, price, n, "sma")
 
-    return ordered(df, keys, order, rows_per_task).rows_back(n - 1, build).result()
+    return series.rows_back(n - 1, build).result()
 
 
 def bollinger(
@@ -127,17 +133,15 @@ def bollinger(
 ) -> DataFrame:
     """Moving average and the bands k population standard deviations around it."""
 
+    series = ordered(df, keys, order, rows_per_task)
+
     def build(frame: DataFrame, w: WindowSpec) -> DataFrame:
-        spread = F.stddev_pop(F.col(price).cast("double")).over(_last(w, n))
-        band = F.lit(k) * F.col("_spread")
-        return (
-            _with_mean(frame, w, price, n, "middle")
-            .withColumn("_spread", _full(spread, F.col(price), w, n))
-            .withColumns({"upper": F.col("middle") + band, "lower": F.col("middle") - band})
-            .drop("_spread")
-        )
+        band = F.lit(k) * F.sqrt(F.col("_p_off") / n)
+        made = sliding.moments(_with_mean(frame, series, price, n, "middle"), series.group, series.order, n, price, "_p")
+        full = sliding.filled(band, F.col("_p_n"), n)
+        return made.withColumns({"upper": F.col("middle") + full, "lower": F.col("middle") - full}).drop("_p_n", "_p_mean", "_p_off")
 
-    return ordered(df, keys, order, rows_per_task).rows_back(n - 1, build).result()
+    return series.rows_back(n - 1, build).result()
 
 
 def volatility(
@@ -150,17 +154,16 @@ def volatility(
 ) -> DataFrame:
     """Sample standard deviation of the last n log returns."""
 
+    series = ordered(df, keys, order, rows_per_task)
+
     def build(frame: DataFrame, w: WindowSpec) -> DataFrame:
         now = F.col(price).cast("double")
         step = F.ln(F.try_divide(now, F.lag(price).over(w).cast("double")))
-        deviation = F.stddev_samp("_step").over(_last(w, n))
-        return (
-            frame.withColumn("_step", step)
-            .withColumn("volatility", _full(deviation, F.col("_step"), w, n))
-            .drop("_step")
-        )
+        made = sliding.moments(frame.withColumn("_step", step), series.group, series.order, n, "_step", "_s")
+        deviation = F.sqrt(F.try_divide(F.col("_s_off"), F.lit(n - 1.0)))
+        return made.withColumn("volatility", sliding.filled(deviation, F.col("_s_n"), n)).drop("_step", "_s_n", "_s_mean", "_s_off")
 
-    return ordered(df, keys, order, rows_per_task).rows_back(n, build).result()
+    return series.rows_back(n, build).result()
 
 
 def stochastic(
@@ -173,16 +176,20 @@ def stochastic(
 ) -> DataFrame:
     """%K and %D over bars with high, low and close; NULL where the range is flat."""
 
+    series = ordered(df, keys, order, rows_per_task)
+
     def build(frame: DataFrame, w: WindowSpec) -> DataFrame:
-        floor = F.min("low").over(_last(w, n)).cast("double")
-        reach = F.max("high").over(_last(w, n)).cast("double") - floor
-        k = F.try_divide((F.col("close").cast("double") - floor) * 100.0, reach)
-        d = F.avg("percent_k").over(_last(w, smooth))
-        return frame.withColumn("percent_k", _full(k, F.col("close"), w, n)).withColumn(
-            "percent_d", _full(d, F.col("percent_k"), w, smooth)
-        )
+        reach = {"_floor": ("min", "low"), "_top": ("max", "high")}
+        made = sliding.extrema(frame, series.group, series.order, n, reach)
+        made = _with_count(made, w, "close", n, "_closes")
+        floor = F.col("_floor").cast("double")
+        k = F.try_divide((F.col("close").cast("double") - floor) * 100.0, F.col("_top").cast("double") - floor)
+        made = made.withColumn("percent_k", sliding.filled(k, F.col("_closes"), n)).drop("_floor", "_top", "_closes")
+        made = sliding.moments(made, series.group, series.order, smooth, "percent_k", "_k")
+        d = sliding.filled(F.col("_k_mean"), F.col("_k_n"), smooth)
+        return made.withColumn("percent_d", d).drop("_k_n", "_k_mean", "_k_off")
 
-    return ordered(df, keys, order, rows_per_task).rows_back(n + smooth - 2, build).result()
+    return series.rows_back(n + smooth - 2, build).result()
 
 
 def _exact(df: DataFrame, column: str, room: int, digits: int) -> tuple[Column, int, int]:
@@ -491,8 +498,6 @@ def _seeded(x: Column, w: WindowSpec, n: int, first_row: int) -> Column:
 
 
 PLACE = "_place"
-#: Mean gain and loss below this are no movement at all.
-FLAT = 1e-12
 
 
 def rsi(
@@ -505,19 +510,23 @@ def rsi(
 ) -> DataFrame:
     """Relative strength by Wilder's smoothing; NULL for the first n rows.
 
-    100 without losses, and 50 where mean gain and mean loss are both below FLAT: nothing moves.
+    100 where nothing has been lost so far, and 50 where nothing has moved at all. Both are told by
+    counts of rises and falls, so a series that halts keeps its value. Where it has done both and then
+    stands still until both means are zero in doubles, some ten thousand rows, it is 50 again.
     """
-    series = ordered(df, keys, order, rows_per_task).running({PLACE: F.lit(1)})
+    moved = ordered(df, keys, order, rows_per_task).rows_back(1, lambda frame, w: frame.withColumn("_change", (F.col(price) - F.lag(price).over(w)).cast("double")))
+    count = lambda which: F.when(which, 1).otherwise(0)
+    series = moved.running({PLACE: F.lit(1), "_rises": count(F.col("_change") > 0), "_falls": count(F.col("_change") < 0)})
 
     def prepare(frame: DataFrame, w: WindowSpec) -> DataFrame:
-        change = (F.col(price) - F.lag(price).over(w)).cast("double")
-        moved = frame.withColumn("_change", change).withColumns(
+        known = F.col("_change").isNotNull()
+        split = frame.withColumns(
             {
-                "_gain": F.when(F.col("_change").isNotNull(), F.greatest("_change", F.lit(0.0))),
-                "_loss": F.when(F.col("_change").isNotNull(), F.greatest(-F.col("_change"), F.lit(0.0))),
+                "_gain": F.when(known, F.greatest("_change", F.lit(0.0))),
+                "_loss": F.when(known, F.greatest(-F.col("_change"), F.lit(0.0))),
             }
         )
-        return moved.withColumns(
+        return split.withColumns(
             {
                 "_gain_in": _seeded(F.col("_gain"), w, n, 2),
                 "_loss_in": _seeded(F.col("_loss"), w, n, 2),
@@ -528,12 +537,13 @@ def rsi(
     smoothed = _smooth(series, n, prepare, steps).result()
     up, down = F.col("_up"), F.col("_down")
     strength = (
-        F.when((up < FLAT) & (down < FLAT), 50.0)
-        .when(down == 0, 100.0)
-        .otherwise(100.0 - 100.0 / (1.0 + F.try_divide(up, down)))
+        F.when((F.col("_rises") == 0) & (F.col("_falls") == 0), 50.0)
+        .when(F.col("_falls") == 0, 100.0)
+        .when(F.col("_rises") == 0, 0.0)
+        .otherwise(F.coalesce(F.try_divide(100.0 * up, up + down), F.lit(50.0)))
     )
     return smoothed.withColumn("rsi", F.when(up.isNotNull(), strength)).drop(
-        "_gain_in", "_loss_in", "_up", "_down", PLACE
+        "_gain_in", "_loss_in", "_up", "_down", PLACE, "_rises", "_falls"
     )
 
 

@@ -168,6 +168,64 @@ def stochastic(spark: SparkSession, folder: str) -> DataFrame:
     return _on_bars(spark, folder, I.stochastic, "percent_k", "percent_d")
 
 
+_WIDE = 150
+"""Rows of a wide frame: over half the trades of a symbol in the small tables."""
+
+
+@query(
+    sql(
+        f"""
+WITH stats AS (
+  SELECT trade_id, symbol, count(*) OVER f AS n,
+         CAST(sum(price) OVER f AS DOUBLE) / {_WIDE} AS middle,
+         stddev_pop(CAST(price AS DOUBLE)) OVER f AS spread
+  FROM ticks
+  WINDOW f AS (PARTITION BY symbol ORDER BY ts, trade_id ROWS {_WIDE - 1} PRECEDING))
+SELECT trade_id, symbol, CASE WHEN n = {_WIDE} THEN round(middle, 6) END AS middle,
+       CASE WHEN n = {_WIDE} THEN round(middle + 2 * spread, 6) END AS upper,
+       CASE WHEN n = {_WIDE} THEN round(middle - 2 * spread, 6) END AS lower
+FROM stats""",
+        "ticks",
+    )
+)
+def bollinger_wide(spark: SparkSession, folder: str) -> DataFrame:
+    return _on_ticks(spark, folder, I.bollinger, "middle", "upper", "lower", n=_WIDE)
+
+
+@query(_VOLATILITY_SQL.replace("= 20", f"= {_WIDE}").replace("ROWS 19", f"ROWS {_WIDE - 1}"))
+def volatility_wide_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """A frame that is as long as a chunk."""
+    return _on_ticks(spark, folder, I.volatility, "volatility", n=_WIDE, rows_per_task=HOT_ROWS)
+
+
+_STOCHASTIC_WIDE_SQL = sql(
+    f"""
+WITH ranges AS (
+  SELECT symbol, bar, count(*) OVER f AS n, CAST(close AS DOUBLE) AS c,
+         CAST(min(low) OVER f AS DOUBLE) AS lo, CAST(max(high) OVER f AS DOUBLE) AS hi
+  FROM hour_bars
+  WINDOW f AS (PARTITION BY symbol ORDER BY bar ROWS {_WIDE - 1} PRECEDING)),
+k AS (
+  SELECT symbol, bar, CASE WHEN n = {_WIDE} AND hi > lo THEN (c - lo) * 100 / (hi - lo) END AS k
+  FROM ranges)
+SELECT symbol, bar, round(k, 6) AS percent_k,
+       CASE WHEN count(k) OVER f = 3 THEN round(avg(k) OVER f, 6) END AS percent_d
+FROM k WINDOW f AS (PARTITION BY symbol ORDER BY bar ROWS 2 PRECEDING)""",
+    "hour_bars",
+)
+
+
+@query(_STOCHASTIC_WIDE_SQL)
+def stochastic_wide(spark: SparkSession, folder: str) -> DataFrame:
+    return _on_bars(spark, folder, I.stochastic, "percent_k", "percent_d", n=_WIDE)
+
+
+@query(_STOCHASTIC_WIDE_SQL)
+def stochastic_wide_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """The frame goes back over several chunks."""
+    return _on_bars(spark, folder, I.stochastic, "percent_k", "percent_d", n=_WIDE, rows_per_task=HOT_BARS)
+
+
 _VWAP_SQL = sql(
     """
 SELECT trade_id, symbol,
@@ -315,17 +373,19 @@ WITH moves AS (
          CAST({price} - lag({price}) OVER w AS DOUBLE) AS move
   FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY ts, trade_id)),
 means AS (
-  SELECT *, greatest(move, 0) AS gain, greatest(-move, 0) AS loss,
+  SELECT *, count(*) FILTER (move > 0) OVER s AS rises, count(*) FILTER (move < 0) OVER s AS falls,
+         greatest(move, 0) AS gain, greatest(-move, 0) AS loss,
          avg(greatest(move, 0)) OVER f AS gain0, avg(greatest(-move, 0)) OVER f AS loss0
   FROM moves
-  WINDOW f AS (PARTITION BY symbol ORDER BY place ROWS 13 PRECEDING)),
+  WINDOW f AS (PARTITION BY symbol ORDER BY place ROWS 13 PRECEDING),
+         s AS (PARTITION BY symbol ORDER BY place ROWS UNBOUNDED PRECEDING)),
 chain AS (
-  SELECT trade_id, symbol, place, gain0 AS up, loss0 AS down FROM means WHERE place = 15
+  SELECT trade_id, symbol, place, rises, falls, gain0 AS up, loss0 AS down FROM means WHERE place = 15
   UNION ALL
-  SELECT t.trade_id, t.symbol, t.place, (c.up * 13 + t.gain) / 14, (c.down * 13 + t.loss) / 14
+  SELECT t.trade_id, t.symbol, t.place, t.rises, t.falls, (c.up * 13 + t.gain) / 14, (c.down * 13 + t.loss) / 14
   FROM chain c JOIN means t ON t.symbol = c.symbol AND t.place = c.place + 1)
 SELECT m.trade_id, m.symbol,
-       round(CASE WHEN c.up < 1e-12 AND c.down < 1e-12 THEN 50 WHEN c.down = 0 THEN 100
+       round(CASE WHEN rises + falls = 0 THEN 50 WHEN falls = 0 THEN 100
                   ELSE 100 - 100 / (1 + c.up / c.down) END, 6) AS rsi
 FROM moves m LEFT JOIN chain c ON m.trade_id = c.trade_id"""
 
@@ -352,6 +412,26 @@ def rsi_flat_hot(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("trade_id", "symbol", _digits(done, "rsi"))
 
 
+_STEPS = "CAST(10 + least(date_diff('day', first_day, CAST(ts AS DATE)), 4) AS DECIMAL(18,4))"
+
+
+@query(
+    sql(
+        _RSI_SQL.replace("FROM ticks WINDOW", "FROM ticks, (SELECT CAST(min(ts) AS DATE) AS first_day FROM ticks) WINDOW").format(price=_STEPS),
+        "ticks",
+        recursive=True,
+    )
+)
+def rsi_halt_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """The price rises on four days and then stands still for good: never a loss."""
+    ticks = V.ticks(spark, folder)
+    first = ticks.agg(F.to_date(F.min("ts")).alias("first_day"))
+    steps = F.least(F.datediff(F.to_date("ts"), "first_day"), F.lit(4)) + 10
+    rows = ticks.crossJoin(F.broadcast(first)).withColumn("price", steps.cast("decimal(18,4)")).drop("first_day")  # one row
+    done = I.rsi(rows, "symbol", TICK_ORDER, rows_per_task=HOT_ROWS)
+    return done.select("trade_id", "symbol", _digits(done, "rsi"))
+
+
 _ATR_SQL = sql(
     """
 WITH ranges AS (
