@@ -162,3 +162,42 @@ def test_layout_by_size_keeps_all_rows(spark, tmp_path):
     assert tables.read_table(spark, str(tmp_path), "equity").count() == rows.count()
     plan = tables.arrange(tables.apply_defaults(rows, "equity", LOADED), "equity", by_size=True)
     assert "REBALANCE_PARTITIONS_BY_COL" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+class Broken(Exception):
+    pass
+
+
+@pytest.mark.parametrize("at", range(1, 12))
+def test_a_compaction_that_breaks_off_changes_no_row(spark, tmp_path, monkeypatch, at):
+    """At each write and each delete of a second compaction."""
+    base = str(tmp_path)
+    rows = spark.createDataFrame([("A", "2024-01-02 10:00:00", 1.5)], "symbol string, timestamp string, close double").withColumn("timestamp", F.to_timestamp("timestamp"))
+    for n in range(3):
+        tables.write_load(rows, base, "equity", "2024-01-03", f"batch-{n}")
+    read = lambda: tables.read_table(spark, base, "equity").count()
+    tables.compact_month(spark, base, "equity", 202401)
+    assert read() == 3
+    for n in range(3, 6):
+        tables.write_load(rows, base, "equity", "2024-01-03", f"batch-{n}")
+    calls = [0]
+    with monkeypatch.context() as m:
+        for name in ("delete_folder", "write_text"):
+            def run(*args, own=getattr(tables, name)):
+                calls[0] += 1
+                if calls[0] == at:
+                    raise Broken
+                return own(*args)
+
+            m.setattr(tables, name, run)
+        try:
+            tables.compact_month(spark, base, "equity", 202401)
+        except Broken:
+            pass
+    assert read() == 6
+    tables.compact_month(spark, base, "equity", 202401)
+    assert read() == 6
+    loads = [p.name for p in (tmp_path / "equity" / "month=202401").glob("load=*")]
+    assert len(loads) == 1 and loads[0].startswith("load=merged-")
+    tables.write_load(rows, base, "equity", "2024-01-03", "batch-9")
+    assert read() == 7

@@ -7,6 +7,7 @@ there are: every one of them keeps a state store.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     session.conf.set("spark.sql.session.timeZone", "UTC")
     cores = spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(cores))
+    state.use_state_store(session)
     return session
 
 
@@ -49,6 +51,22 @@ def _collected(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def _turned(spark: SparkSession, folder: str, turns: list[Column], change, mode: str, name: str) -> tuple[str, str]:
+    """Run a changed stream of events over the turns, each a batch; its output and its checkpoint.
+
+    Output of append mode is kept as files; in update mode what counts is the state.
+    """
+    landing, out, checkpoint = (new_folder(spark, x) for x in ("landing", name, "progress"))
+    events = V.table(spark, folder, "events")
+    for turn in turns:
+        events.filter(turn).write.mode("append").parquet(landing)
+        stream = change(feed(_stream_session(spark), landing, events.schema, "parquet"))
+        writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+        writer = writer.format("parquet").option("path", out) if mode == "append" else writer.format("noop")
+        paced(writer, None).start().awaitTermination()
+    return out, checkpoint
+
+
 def _in_turns(
     spark: SparkSession, folder: str, turns: list[Column], handle: Callable[[DataFrame, int], None], change
 ) -> None:
@@ -196,11 +214,41 @@ def stream_ema(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("trade_id", "symbol", F.round("ema", 6).alias("ema"), sinks.LATE)
 
 
-@query(_EMA_SQL)
+def _in_time() -> list[Column]:
+    """Three batches, each wholly after the one before; in no order inside."""
+    return [F.dayofmonth("ts") <= 9, F.dayofmonth("ts").between(10, 19), F.dayofmonth("ts") > 19]
+
+
+#: Buckets of an hour that end an hour or more before the last row; watermarks and timers are in milliseconds.
+_TOLD = """epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR)
+  <= (SELECT epoch_ms(max(ts)) - 3600000 FROM ticks)"""
+
+
+@query(_EMA_SQL.replace("round(ema, 6) AS ema, false AS is_late FROM chain", f"round(ema, 6) AS ema FROM chain JOIN ticks USING (trade_id, symbol) WHERE {_TOLD}"))
 def stream_ema_state(spark: SparkSession, folder: str) -> DataFrame:
-    """The same figure from a stateful operator."""
-    done = _collected(spark, state.stream_ema(V.as_ticks(_events(spark, folder))), "ema")
-    return done.select("trade_id", "symbol", F.round("ema", 6).alias("ema"), state.LATE)
+    """The same figure out of Spark's own state, for all rows that event time has passed."""
+    stream = lambda events: state.stream_ema(V.as_ticks(events))
+    out, _ = _turned(spark, folder, _in_time(), stream, "append", "ema")
+    done = spark.read.schema("trade_id bigint, symbol string, ema double").parquet(out)
+    return done.select("trade_id", "symbol", F.round("ema", 6).alias("ema"))
+
+
+@query(
+    """
+WITH beats AS (
+  SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next FROM events),
+told AS (
+  SELECT user_id, 'down' AS event, ts + INTERVAL 6 HOUR AS moment FROM beats WHERE next IS NULL OR next > ts + INTERVAL 6 HOUR
+  UNION ALL
+  SELECT user_id, 'up', next FROM beats WHERE next > ts + INTERVAL 6 HOUR)
+SELECT * FROM told WHERE epoch_us(moment) <= (SELECT (epoch_ms(max(ts)) - 3600000) * 1000 FROM events)"""
+)
+def stream_stale(spark: SparkSession, folder: str) -> DataFrame:
+    """Users that send nothing for six hours are down until they send again; told by timers."""
+    stream = lambda events: state.outages(events.withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "ts", timedelta(hours=6))
+    out, _ = _turned(spark, folder, _in_time(), stream, "append", "outages")
+    told = spark.read.schema("user_id bigint, event string, moment timestamp").parquet(out)
+    return told.withColumn("moment", plain(F.col("moment")))
 
 
 @query(
@@ -237,11 +285,11 @@ FROM ticks GROUP BY user_id""",
     )
 )
 def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest trade per user, from events that arrive in four batches out of order."""
-    out = new_folder(spark, "latest")
+    """The newest trade per user, from events that arrive in four batches out of order; Spark keeps it."""
     columns = ["user_id", "ts", "trade_id", "price"]
     turns = [F.col("event_id") % 4 == k for k in (2, 0, 3, 1)]
-    handle = sinks.keep_latest(out, ["user_id"], "ts", ["trade_id"], buckets=8)
-    _in_turns(spark, folder, turns, handle, lambda rows: V.as_ticks(rows).select(*columns))
-    newest = sinks.read_latest(spark, out, V.ticks(spark, folder).select(*columns).schema)
+    how = ["user_id"], "ts", ["trade_id"]
+    stream = lambda events: state.newest_rows(V.as_ticks(events).select(*columns), *how)
+    _, checkpoint = _turned(spark, folder, turns, stream, "update", "latest")
+    newest = state.read_newest(spark, checkpoint, *how, V.ticks(spark, folder).select(*columns).schema)
     return newest.withColumn("ts", plain(F.col("ts")))

@@ -18,7 +18,7 @@ from tickloom.functions.timing import (
     to_seconds,
 )
 from tickloom.schemas import TABLES, TableSpec
-from tickloom.workspace import delete_folder, subfolders
+from tickloom.workspace import delete_folder, files_in, read_text, subfolders, write_text
 
 MONTH = "month"
 LOAD = "load"
@@ -112,22 +112,65 @@ def write_load(df: DataFrame, base: str, table: str, as_of: str | dt.datetime, l
     writer.partitionBy(MONTH, LOAD).parquet(table_path(base, table))
 
 
+_MERGES = "_merges"
+_MERGED = "merged-"
+_DONE = ".done"
+
+
 def compact_month(spark: SparkSession, base: str, table: str, month: int) -> None:
     """Rewrite the loads of a month as one: a stream leaves small files with each batch.
 
-    For months that no stream writes to any more. Readers that list files between the write and
-    the deletes see rows twice, so run it while none does.
+    Loads that are merged are written first, under a name that readers leave out. One small file,
+    which is there or not, then names the loads it stands for, and from there on readers take it and leave
+    those out. So a run that breaks off at any step changes no row, and the next one finishes it. For
+    months that no stream writes to any more. A reader that listed the old loads before they are deleted
+    fails and reads again.
     """
-    folder = f"{table_path(base, table)}/{MONTH}={month}"
-    old = [n for n in subfolders(spark, folder) if n.startswith(f"{LOAD}=")]
-    if len(old) < 2:
-        return
-    spec = TABLES[table]
-    rows = spark.read.schema(spec.schema).parquet(*[f"{folder}/{n}" for n in old])
-    ranged = rows.repartitionByRange(*spec.layout).sortWithinPartitions(*spec.layout)
-    ranged.write.mode("overwrite").parquet(f"{folder}/{LOAD}={uuid.uuid4().hex}")
-    for name in old:
-        delete_folder(spark, f"{folder}/{name}")
+    path = table_path(base, table)
+    folder = f"{path}/{MONTH}={month}"
+    taken, left_out = _merges(spark, path)
+    loads = [n.split("=", 1)[1] for n in subfolders(spark, folder) if n.startswith(f"{LOAD}=")]
+    current = [n for n in loads if n not in left_out.get(month, ()) and (n in taken or not n.startswith(_MERGED))]
+    if len(current) > 1:
+        spec, merged = TABLES[table], f"{_MERGED}{uuid.uuid4().hex}"
+        rows = spark.read.schema(spec.schema).parquet(*[f"{folder}/{LOAD}={n}" for n in current])
+        ranged = rows.repartitionByRange(*spec.layout).sortWithinPartitions(*spec.layout)
+        ranged.write.mode("overwrite").parquet(f"{folder}/{LOAD}={merged}")
+        write_text(spark, f"{path}/{_MERGES}/{month}.{merged}", "\n".join(current))
+        current = [merged]
+    for name in loads:
+        if name not in current:
+            delete_folder(spark, f"{folder}/{LOAD}={name}")
+    for name in files_in(spark, f"{path}/{_MERGES}"):
+        number, _, merged = name.partition(".")
+        if number == str(month) and not merged.endswith(_DONE):
+            if merged in current:
+                write_text(spark, f"{path}/{_MERGES}/{name}{_DONE}", "")
+            else:
+                delete_folder(spark, f"{path}/{_MERGES}/{name}")
+                delete_folder(spark, f"{path}/{_MERGES}/{name}{_DONE}")
+
+
+def _merges(spark: SparkSession, path: str) -> tuple[list[str], dict[int, list[str]]]:
+    """Merged loads that count, and per month the loads that others stand for and that may still be there."""
+    names = files_in(spark, f"{path}/{_MERGES}")
+    marks = [n for n in names if not n.endswith((_DONE, ".draft"))]
+    taken, left_out = [], {}
+    for name in marks:
+        month, _, merged = name.partition(".")
+        taken.append(merged)
+        if f"{name}{_DONE}" not in names:
+            left_out.setdefault(int(month), []).extend(read_text(spark, f"{path}/{_MERGES}/{name}").split("\n"))
+    return taken, left_out
+
+
+def _current(spark: SparkSession, path: str) -> Column:
+    """True for rows of loads that count: all but those that a merged one stands for, and merged ones not named yet."""
+    taken, left_out = _merges(spark, path)
+    counts = ~F.col(LOAD).startswith(_MERGED) | F.col(LOAD).isin(taken) if taken else ~F.col(LOAD).startswith(_MERGED)
+    for month, loads in left_out.items():
+        counts &= ~((F.col(MONTH) == month) & F.col(LOAD).isin(loads))
+    return counts
 
 
 def read_table(
@@ -142,8 +185,9 @@ def read_table(
     The month predicate is added here: a condition on the day alone prunes no folder.
     """
     spec = TABLES[table]
-    stored = T.StructType([*spec.schema.fields, T.StructField(MONTH, T.IntegerType())])
-    rows = spark.read.schema(stored).parquet(table_path(base, table))
+    folders = [T.StructField(MONTH, T.IntegerType()), T.StructField(LOAD, T.StringType())]
+    rows = spark.read.schema(T.StructType([*spec.schema.fields, *folders])).parquet(table_path(base, table))
+    rows = rows.filter(_current(spark, table_path(base, table)))
     column = F.col(spec.month_of)
     by_instant = isinstance(spec.type_of(spec.month_of), T.TimestampType)
     # Compared as stored, not as a day computed from it, so that file statistics can be used.

@@ -64,9 +64,24 @@ def windows_to(
     return handle
 
 
+MERGED = "merged"
+
+
+def _current(spark: SparkSession, path: str) -> list[str]:
+    """Folders that hold every batch once: the merged ones up to a number, and all batches after it."""
+    upto = _merged(spark, path)
+    after = [f"{BATCH}={n}" for n in batches(spark, path) if not upto or n > upto[-1]]
+    return [f"{path}/{n}" for n in [*[f"{MERGED}={u}" for u in upto[-1:]], *after]]
+
+
+def _merged(spark: SparkSession, path: str) -> list[int]:
+    names = [n for n in subfolders(spark, path) if n.startswith(f"{MERGED}=")]
+    return sorted(int(n.split("=")[1]) for n in names if is_complete(spark, f"{path}/{n}"))
+
+
 def read_windows(spark: SparkSession, path: str, key: str = "symbol") -> DataFrame:
     """Figures per key and window over all batches so far: open to trades, as `market.bars` gives them."""
-    done = [f"{path}/{BATCH}={n}" for n in batches(spark, path)]
+    done = _current(spark, path)
     if not done:
         raise ValueError(f"no batch has been written to {path}")
     added = _added(spark.read.parquet(*done), key)
@@ -86,55 +101,63 @@ def read_windows(spark: SparkSession, path: str, key: str = "symbol") -> DataFra
 
 
 def compact(spark: SparkSession, path: str, key: str = "symbol") -> None:
-    """Replace all partials but the newest by one. Run it while no batch of the stream is running.
+    """Put all partials but the newest into one, which says in its name up to which batch it goes.
 
-    The newest stays, since its batch may be repeated after a failure. What is replaced is deleted
-    after the sum is written under its last number, so a run that breaks off can be repeated.
+    The newest stays, since its batch may be repeated after a failure. A merged folder counts once its
+    job has marked it as complete, and with that readers leave out what it stands for: they see the
+    old ones or the new one, at whatever step a run breaks off. What it stands for is deleted by the next
+    run, so readers of the old folders are left in peace.
     """
-    old = batches(spark, path)[:-1]
-    if len(old) < 2:
-        return
-    whole = _added(spark.read.parquet(*[f"{path}/{BATCH}={n}" for n in old]), key)
-    held = f"{path}/_compacted"
-    whole.write.mode("overwrite").parquet(held)
-    put(spark.read.parquet(held), path, old[-1])
-    for n in old[:-1]:
-        delete_folder(spark, f"{path}/{BATCH}={n}")
-    delete_folder(spark, held)
+    upto = _merged(spark, path)
+    for n in batches(spark, path):
+        if upto and n <= upto[-1]:
+            delete_folder(spark, f"{path}/{BATCH}={n}")
+    for n in upto[:-1]:
+        delete_folder(spark, f"{path}/{MERGED}={n}")
+    old = _current(spark, path)[:-1]
+    if len(old) > 1:
+        put(_added(spark.read.parquet(*old), key), path, int(old[-1].rpartition("=")[2]), MERGED)
+
+
+BUCKET = "bucket"
+_NO_TIME = "none"
 
 
 def first_seen_to(
-    path: str, ids: Sequence[str] = ("trade_id",), timestamp: str = "ts"
+    path: str, ids: Sequence[str] = ("trade_id",), timestamp: str = "ts", bucket: str = "day"
 ) -> Callable[[DataFrame, int], None]:
     """Keep the first row of each id over all batches; copies are set aside below `path`/again.
 
-    Copies carry the time of the row they repeat, so a batch is compared with stored rows of its
-    own time range alone. Nothing is dropped: first + again = input.
+    Copies carry the time of the row they repeat, or none like it. What was seen is kept by day (or
+    another unit of `date_trunc`), so a batch opens the days of its own rows, however many batches
+    there were before. Nothing is dropped: first + again = input.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumn("_nth", F.monotonically_increasing_id())
         keys = [*ids, timestamp]
+        day = F.coalesce(F.date_format(F.date_trunc(bucket, F.col(timestamp)), "yyyyMMddHHmmss"), F.lit(_NO_TIME))
         first = rows.groupBy(*keys).agg(F.min("_nth").alias("_least"))
-        known = [f"{path}/first/{BATCH}={n}" for n in batches(spark, f"{path}/first") if n < number]
         marked = rows.persist()
         try:
-            low, high = marked.agg(F.min(timestamp), F.max(timestamp)).first()
-            stored = None
-            if known and low is not None:
-                stored = spark.read.schema(batch.schema).parquet(*known).select(*keys)
-                stored = stored.where(F.col(timestamp).between(F.lit(low), F.lit(high)))
-                stored = stored.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+            days = [r[0] for r in marked.select(day).distinct().collect()]  # no more than the batch spans
+            # earlier batches ran to their end; this one may be here from a run that broke off
+            known = [f"{path}/seen/{BUCKET}={d}/{name}" for d in days for name in subfolders(spark, f"{path}/seen/{BUCKET}={d}") if int(name.split("=")[1]) < number]
             joined = _null_safe(marked, first.select(*[F.col(k).alias(f"_f_{k}") for k in keys], "_least"), keys, "_f_")
             fresh: Column = F.col("_nth") == F.col("_least")
-            if stored is not None:
+            if known:
+                kinds = ", ".join(f"`{k}` {batch.schema[k].dataType.simpleString()}" for k in keys)
+                stored = spark.read.schema(kinds).parquet(*known).select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
                 joined = _null_safe(joined, stored.withColumn("_known", F.lit(True)), keys, "_k_")
                 fresh = fresh & F.col("_known").isNull()
             put(joined.where(fresh).select(*batch.columns), f"{path}/first", number)
             put(joined.where(~fresh).select(*batch.columns), f"{path}/again", number)
         finally:
             marked.unpersist()
+        new = spark.read.schema(batch.schema).parquet(f"{path}/first/{BATCH}={number}").select(*keys, day.alias(BUCKET), F.lit(number).alias(BATCH))
+        writer = new.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(BUCKET, BATCH).parquet(f"{path}/seen")
 
     return handle
 

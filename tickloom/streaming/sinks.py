@@ -19,7 +19,7 @@ from tickloom.operators.ordered import ROWS_PER_TASK, join_on
 from tickloom.operators.validate import split_valid, validate
 from tickloom.sources.feeds import paced
 from tickloom.streaming.partials import BATCH, put as _put
-from tickloom.workspace import delete_folder, is_complete, subfolders
+from tickloom.workspace import delete_folder, is_complete, read_text, subfolders, write_text
 
 VERSION = "version"
 
@@ -97,6 +97,15 @@ def _bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
 
 
+def _same_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """A key's rows are looked for in one bucket, so a table goes on with the number it began with."""
+    name = "_buckets"
+    write_text(spark, f"{path}/{name}", str(buckets))
+    begun = int(read_text(spark, f"{path}/{name}"))
+    if begun != buckets:
+        raise ValueError(f"{path} has {begun} buckets, not {buckets}")
+
+
 def _stored(spark: SparkSession, path: str, below: int | None = None) -> dict[int, list[int]]:
     """Versions of each bucket, oldest first, of batches written to their end."""
     found: dict[int, list[int]] = {}
@@ -118,6 +127,7 @@ def _touched(
     batch: DataFrame, path: str, keys: Sequence[str], number: int, buckets: int
 ) -> dict[int, list[int]]:
     """What is stored before batch `number` of the buckets that its keys fall into."""
+    _same_buckets(batch.sparkSession, path, buckets)
     own = {r[0] for r in batch.select(_bucket(keys, buckets)).distinct().collect()}
     known = _stored(batch.sparkSession, path, number)
     return {b: v for b, v in known.items() if b in own}

@@ -1,17 +1,259 @@
-"""Running indicator with state kept per symbol."""
+"""Figures that Spark keeps per key from batch to batch: newest rows, outages, running averages.
+
+All of them are stateful processors: their values lie in Spark's own state store and are written with
+its checkpoints, so a batch that is repeated after a failure finds what it found the first time. No
+processor holds the rows of a key: they pass one by one, and what must wait for its turn in event
+time waits in the store until a timer calls for it.
+
+State of this kind needs the RocksDB store; `use_state_store` sets it for a session's streams.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
+from datetime import timedelta
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.operators.indicators import ema_alpha
 
-LATE = "is_late"
+_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_MS = 1000
+HOUR = timedelta(hours=1)
+
+
+def _micros(span: timedelta) -> int:
+    return span // timedelta(microseconds=1)
+
+
+def _delay(span: timedelta) -> str:
+    return f"{_micros(span)} microseconds"
+
+
+def use_state_store(session: SparkSession) -> None:
+    """Let the streams of a session keep their state in RocksDB, as stateful processors must."""
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", _PROVIDER)
+
+
+def _instants(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
+
+
+def _as_numbers(df: DataFrame) -> DataFrame:
+    """Instants as microseconds: in Python they would depend on the zone of a worker."""
+    return df.withColumns({c: F.unix_micros(c) for c in _instants(df)})
+
+
+# Newest row per key -----------------------------------------------------------------------
+
+
+class _Newest(StatefulProcessor):
+    """Keeps the greatest row of a key by its first `width` fields, NULLs lowest."""
+
+    def __init__(self, schema: T.StructType, width: int, ttl_ms: int | None):
+        self.schema, self.width, self.ttl_ms = schema, width, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getValueState("newest", self.schema, self.ttl_ms)
+
+    def _place(self, row) -> tuple:
+        return tuple((v is not None, v) if v is not None else (False, 0) for v in row[: self.width])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        best = self.newest.get() if self.newest.exists() else None
+        place, changed = best and self._place(best), False
+        for row in rows:
+            own = row[-len(self.schema) :]
+            if best is None or self._place(own) > place:
+                best, place, changed = own, self._place(own), True
+        if changed:
+            self.newest.update(tuple(best))
+            yield Row(*self.schema.names)(*best)
+
+    def close(self) -> None:
+        pass
+
+
+SALT = "_salt"
+
+
+def newest_rows(
+    rows: DataFrame, keys: Sequence[str], timestamp: str, tiebreak: Sequence[str], salts: int = 8, ttl: timedelta | None = None
+) -> DataFrame:
+    """A stream of each key's newest rows as they change: write it in update mode, then `read_newest`.
+
+    The newest row has the greatest time, then the greatest `tiebreak`; NULLs are lowest. A key's rows are
+    dealt over `salts` states by their tiebreak, so a key with most of a stream is many tasks'
+    work; its newest row is the best of these. With `ttl` a state that was not
+    changed for so long is forgotten; the stream then goes by processing time.
+    """
+    front = [timestamp, *tiebreak]
+    numbers = _as_numbers(rows.select(*front, *[c for c in rows.columns if c not in front]))
+    schema = numbers.schema
+    ttl_ms = None if ttl is None else _micros(ttl) // _MS
+    salt = F.pmod(F.xxhash64(*front), F.lit(salts)).cast("int")
+    dealt = numbers.select(*[F.col(k).alias(f"_key_{k}") for k in keys], salt.alias(SALT), *schema.names)
+    grouped = dealt.groupBy(*[f"_key_{k}" for k in keys], SALT)
+    return grouped.transformWithState(_Newest(schema, len(front), ttl_ms), schema, "Update", "None" if ttl is None else "ProcessingTime")
+
+
+def read_newest(spark: SparkSession, checkpoint: str, keys: Sequence[str], timestamp: str, tiebreak: Sequence[str], schema: T.StructType) -> DataFrame:
+    """The newest row of every key, out of the store of a stream of `newest_rows` whose rows have this schema."""
+    stored = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "newest").load()
+    kinds = {f.name: f.dataType for f in schema}
+    back = [F.timestamp_micros(f"value.{c}").alias(c) if isinstance(kinds[c], T.TimestampType) else F.col(f"value.{c}").alias(c) for c in schema.names]
+    rows = stored.select(*back)
+    place = F.struct(timestamp, *tiebreak)
+    rest = [c for c in schema.names if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), place).alias("r")).select(*[c if c in keys else F.col(f"r.{c}").alias(c) for c in schema.names])
+
+
+# Outages ----------------------------------------------------------------------------------
+
+_SPAN = "begin bigint, until bigint"
+
+
+def merge_span(spans: list[tuple[int, int]], begin: int, until: int) -> None:
+    """Put a span into an ascending list of spans that do not touch."""
+    at = bisect_left(spans, (begin, until))
+    if at and spans[at - 1][1] >= begin:
+        at -= 1
+        begin, until = spans[at][0], max(until, spans[at][1])
+        del spans[at]
+    while at < len(spans) and spans[at][0] <= until:
+        until = max(until, spans[at][1])
+        del spans[at]
+    spans.insert(at, (begin, until))
+
+
+class _Watch(StatefulProcessor):
+    """Spans in which a key was alive, until event time has passed them."""
+
+    def __init__(self, limit_us: int, names: Sequence[str]):
+        self.limit_us, self.told = limit_us, Row(*names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.spans = handle.getListState("spans", _SPAN)
+        self.down = handle.getValueState("down", "since bigint")
+
+    def _call_at(self, micros: int) -> None:
+        self.handle.registerTimer(-(-micros // _MS))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        spans = sorted((r[0], r[1]) for r in self.spans.get())
+        known = set(spans)
+        passed = timerValues.getCurrentWatermarkInMs() * _MS
+        for row in rows:
+            if row.at > passed:  # what happened until then is told
+                merge_span(spans, row.at, row.at + self.limit_us)
+        for span in spans:
+            if span not in known:
+                self._call_at(span[0])
+                self._call_at(span[1])
+        if spans:
+            self.spans.put(spans)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Tell of every begin and end that event time has passed; ends of passed spans are final."""
+        now = timerValues.getCurrentWatermarkInMs() * _MS
+        down = self.down.get()[0] if self.down.exists() else None
+        spans = sorted((r[0], r[1]) for r in self.spans.get())
+        left, told = [], []
+        for begin, until in spans:
+            if down is not None and begin <= now:
+                told.append(self.told(*key, "up", begin))
+                down = None
+            if until <= now:
+                told.append(self.told(*key, "down", until))
+                down = until
+            else:
+                left.append((begin, until))
+        if told:
+            self.down.clear() if down is None else self.down.update((down,))
+            self.spans.put(left) if left else self.spans.clear()
+        yield from told
+
+    def close(self) -> None:
+        pass
+
+
+def outages(heartbeats: DataFrame, key: str, timestamp: str, limit: timedelta, lateness: timedelta = HOUR) -> DataFrame:
+    """A stream of what happens to each key: `event` is 'down' or 'up', `moment` when.
+
+    A key is down from `limit` after a heartbeat that no other follows until then, and up at the next. Each
+    is told once event time has passed it, so heartbeats may come in any order within `lateness`;
+    those later are left out. The first heartbeat of a key is no 'up'. What a key holds is the
+    spans of time that are not over, whatever the number of its heartbeats. Rows without a time or a key are
+    not looked at.
+    """
+    kind = heartbeats.schema[key].dataType.simpleString()
+    timed = heartbeats.where(F.col(key).isNotNull() & F.col(timestamp).isNotNull()).withWatermark(timestamp, _delay(lateness))
+    rows = timed.select(F.col(key), F.col(timestamp), F.unix_micros(timestamp).alias("at"))
+    told = rows.groupBy(key).transformWithState(_Watch(_micros(limit), [key, "event", "moment"]), f"{key} {kind}, event string, moment bigint", "Append", "EventTime")
+    return told.withColumn("moment", F.timestamp_micros("moment"))
+
+
+# Running average --------------------------------------------------------------------------
+
+
+class _RunningMean(StatefulProcessor):
+    """Rows wait by bucket of event time; a bucket that is over is folded in order."""
+
+    def __init__(self, alpha: float, bucket_us: int, at_once: int, names: Sequence[str]):
+        self.alpha, self.bucket_us, self.at_once, self.told = alpha, bucket_us, at_once, Row(*names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "bucket bigint, part bigint", "rows array<struct<at:bigint,id:bigint,x:double>>")
+        self.parts = handle.getMapState("parts", "bucket bigint", "n bigint")
+        self.mean = handle.getValueState("mean", "mean double")
+
+    def _put(self, held: dict[int, list]) -> None:
+        for bucket, rows in held.items():
+            n = self.parts.getValue((bucket,))[0] if self.parts.containsKey((bucket,)) else 0
+            self.waiting.updateValue((bucket, n), (rows,))
+            self.parts.updateValue((bucket,), (n + 1,))
+            self.handle.registerTimer((bucket + 1) * self.bucket_us // _MS)
+        held.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held, count = {}, 0
+        passed = timerValues.getCurrentWatermarkInMs() * _MS
+        for row in rows:
+            if (row.at // self.bucket_us + 1) * self.bucket_us <= passed:
+                continue  # its bucket is told
+            held.setdefault(row.at // self.bucket_us, []).append((row.at, row.id, row.x))
+            count += 1
+            if count % self.at_once == 0:
+                self._put(held)
+        self._put(held)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        bucket = expiredTimerInfo.getExpiryTimeInMs() * _MS // self.bucket_us - 1
+        if not self.parts.containsKey((bucket,)):
+            return
+        n, rows = self.parts.getValue((bucket,))[0], []
+        for part in range(n):
+            rows += self.waiting.getValue((bucket, part))[0]
+            self.waiting.removeKey((bucket, part))
+        self.parts.removeKey((bucket,))
+        mean = self.mean.get()[0] if self.mean.exists() else None
+        for at, i, x in sorted(tuple(r) for r in rows):
+            if x is not None:
+                mean = x if mean is None else mean + self.alpha * (x - mean)
+            yield self.told(*key, at, i, mean)
+        if mean is not None:
+            self.mean.update((mean,))
+
+    def close(self) -> None:
+        pass
 
 
 def stream_ema(
@@ -21,60 +263,21 @@ def stream_ema(
     timestamp: str = "ts",
     trade_id: str = "trade_id",
     price: str = "price",
+    lateness: timedelta = HOUR,
+    bucket: timedelta = HOUR,
+    at_once: int = 10_000,
 ) -> DataFrame:
-    """EMA per symbol over all batches so far.
+    """EMA per key over all batches, in order of time and id, told once event time has passed a bucket.
 
-    The state is one number and the last place in time. Rows of one batch are put in order
-    before they are folded; a row older than the state cannot enter a recursion any more and
-    comes out marked late, without a value. What a symbol needs in memory is its rows of one
-    micro-batch: use it for small batches that must be quick, and `sinks.running_ema`, which
-    splits a symbol over tasks, for everything else.
+    Rows may come in any order within `lateness`; later ones are left out (`sinks.running_ema` marks
+    them). They wait in the state store; what is in memory is one bucket of one key, or `at_once`
+    rows on their way to the store. A key is one task's work here; `sinks.running_ema` splits it.
+    NULL prices change nothing. Rows without a key, time or id are not looked at.
     """
-    alpha = ema_alpha(n)
-    columns = {f.name: f.dataType.simpleString() for f in ticks.schema.fields}
-    output = (
-        f"{key} {columns[key]}, {timestamp} timestamp, {trade_id} bigint, ema double, "
-        f"{LATE} boolean"
-    )
-
-    def fold(
-        group: tuple, parts: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(parts)).sort_values([timestamp, trade_id], ignore_index=True)
-        value, last_us, last_id = state.get if state.exists else (None, None, None)
-        micros = rows[timestamp].to_numpy().astype("datetime64[us]").astype("int64")
-        ids = rows[trade_id].to_numpy()
-        prices = rows[price].astype(float)
-        if last_us is None:
-            late = pd.Series(False, index=rows.index)
-            smooth = prices.ewm(alpha=alpha, adjust=False, ignore_na=True).mean()
-        else:
-            late = pd.Series((micros < last_us) | ((micros == last_us) & (ids <= last_id)))
-            chain = pd.concat([pd.Series([value], dtype=float), prices[~late]])
-            smooth = chain.ewm(alpha=alpha, adjust=False, ignore_na=True).mean().iloc[1:]
-        on_time = rows.index[~late]
-        if len(on_time):
-            end = on_time[-1]
-            reached = float(smooth.iloc[-1])  # NULL prices change nothing, as in the batch indicator
-            state.update((None if np.isnan(reached) else reached, int(micros[end]), int(ids[end])))
-        yield pd.DataFrame(
-            {
-                key: group[0],
-                timestamp: rows[timestamp],
-                trade_id: rows[trade_id],
-                "ema": smooth.reindex(rows.index),
-                LATE: late,
-            }
-        )
-
-    return (
-        ticks.select(key, timestamp, trade_id, price)
-        .groupBy(key)
-        .applyInPandasWithState(
-            fold,
-            output,
-            "value double, last_us bigint, last_id bigint",
-            "append",
-            GroupStateTimeout.NoTimeout,
-        )
-    )
+    kind = ticks.schema[key].dataType.simpleString()
+    whole = ticks.where(F.col(key).isNotNull() & F.col(timestamp).isNotNull() & F.col(trade_id).isNotNull()).withWatermark(timestamp, _delay(lateness))
+    x: Column = F.col(price).cast("double")
+    rows = whole.select(key, timestamp, F.unix_micros(timestamp).alias("at"), F.col(trade_id).cast("bigint").alias("id"), x.alias("x"))
+    output = f"{key} {kind}, {timestamp} bigint, {trade_id} bigint, ema double"
+    told = rows.groupBy(key).transformWithState(_RunningMean(ema_alpha(n), _micros(bucket), at_once, [key, timestamp, trade_id, "ema"]), output, "Append", "EventTime")
+    return told.withColumn(timestamp, F.timestamp_micros(timestamp))

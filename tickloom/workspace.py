@@ -57,3 +57,34 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     """True once a job has finished writing the folder."""
     location, files = _hadoop_path(spark, f"{path}/_SUCCESS")
     return files.exists(location)
+
+
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below a path; empty when the path is missing."""
+    location, files = _hadoop_path(spark, path)
+    if not files.exists(location):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(location) if s.isFile())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file that is there as a whole or not at all; an existing one stays."""
+    location, files = _hadoop_path(spark, path)
+    if files.exists(location):
+        return
+    draft = location.suffix(f".{uuid.uuid4().hex}.draft")
+    out = files.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not files.rename(draft, location) and not files.exists(location):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    location, files = _hadoop_path(spark, path)
+    source = files.open(location)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
