@@ -29,6 +29,7 @@ from tickloom.llm.tokens import encoder
 DOCS_PER_PART = 20_000
 MAX_PARTS = 100_000
 SEGMENT_TOKENS = 1 << 20
+WORDS_KEPT = 100_000
 BLOCK_TOKENS = rans.LANES * rans.TOKENS_PER_LANE
 SEGMENT = (
     "part int, segment int, doc_ids array<long>, lengths array<long>, n_tokens long, table binary, "
@@ -37,37 +38,6 @@ SEGMENT = (
 DOCUMENT = "part int, segment int, place int, doc_id long, before long, n_tokens long, ids_crc32 long"
 
 
-def _bounds(docs: DataFrame, per_part: int) -> list[int]:
-    """Values of doc_id that part the table into ranges of about `per_part` rows; MAX_PARTS at most."""
-    parts = min(MAX_PARTS, -(-docs.count() // per_part))
-    if parts < 2:
-        return []
-    shares = [k / parts for k in range(1, parts)]
-    found = docs.agg(F.percentile_approx("doc_id", shares, 100 * parts)).first()[0]
-    return sorted(set(found or []))
-
-
-def encoded(docs: DataFrame, tokenizer: str, end_id: int, bounds: list[int]) -> DataFrame:
-    """part, doc_id and ids (two bytes each where the vocabulary allows, else four) of every row."""
-    cuts = np.array(bounds, dtype=np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = struct.pack("<I", end_id)
-        with encoder(tokenizer) as words:
-            narrow = max(words.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16
-            for batch in small_batches(batches):
-                doc = batch.column(0)
-                ids = [words.encode(t) + end for t in batch.column(1).to_pylist()]
-                if narrow:
-                    ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-                part = 1 + np.searchsorted(cuts, np.array(doc.fill_null(0)), side="right")
-                part[np.array(doc.is_null())] = 0
-                width = pa.array([2 if narrow else 4] * len(ids), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), doc, width, pa.array(ids, pa.binary())], ["part", "doc_id", "width", "ids"])
-
-    return docs.mapInArrow(run, "part int, doc_id long, width int, ids binary")
-
-
 def _segment(part: int, number: int, docs: list, ids: list[np.ndarray]) -> dict:
     flat = np.concatenate(ids)
     table = rans.Table.of(flat)
@@ -80,33 +50,34 @@ def _segment(part: int, number: int, docs: list, ids: list[np.ndarray]) -> dict:
 def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, per_part: int = DOCS_PER_PART) -> None:
     """Encode documents (doc_id, text) and write them, smallest doc_id first, null ones before all.
 
-    A null or empty text has the end id alone. Rows that repeat a doc_id stand side by side.
+    A null or empty text has the end id alone. Rows that repeat a doc_id, or have none, stand side by
+    side, by a hash of their texts; parts are ranges of both, so many of them are many tasks' work.
+    Texts are put in order before they are encoded: a task goes from texts to segments.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    parts = max(1, min(MAX_PARTS, -(-docs.count() // per_part)))
+    placed = source.repartitionByRange(parts, "doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text")
     schema = to_arrow_schema(T.StructType.fromDDL(SEGMENT))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, held, ids, size = None, 0, [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([_segment(part, number, held, ids)], schema)
-
-        for batch in batches:
-            for p, doc, width, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and (p != part or size >= SEGMENT_TOKENS):
-                    yield flush()
-                    number, held, ids, size = number + 1 if p == part else 0, [], [], 0
-                part = p
-                held.append(doc)
-                ids.append(np.frombuffer(data, "<u2" if width == 2 else "<u4").astype(np.uint32))
-                size += len(ids[-1])
+        end = struct.pack("<I", end_id)
+        with encoder(tokenizer, kept=WORDS_KEPT) as words:
+            for batch in small_batches(batches):
+                for doc, text, part in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "part"))):
+                    held.append(doc)
+                    ids.append(np.frombuffer(words.encode(text) + end, "<u4"))
+                    size += len(ids[-1])
+                    if size >= SEGMENT_TOKENS:
+                        yield pa.RecordBatch.from_pylist([_segment(part, number, held, ids)], schema)
+                        number, held, ids, size = number + 1, [], [], 0
         if held:
-            yield flush()
+            yield pa.RecordBatch.from_pylist([_segment(part, number, held, ids)], schema)
 
-    rows = encoded(source, tokenizer, end_id, _bounds(source, per_part))
-    dealt = rows.repartition("part").sortWithinPartitions("part", "doc_id", "ids")
+    numbered = placed.select("doc_id", "text", F.spark_partition_id().alias("part"))
     # the words have no repeats left to find
-    dealt.mapInArrow(run, SEGMENT).write.option("compression", "none").parquet(path)
+    numbered.mapInArrow(run, SEGMENT).write.option("compression", "none").parquet(path)
 
 
 def segment_starts(segments: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ import os
 import struct
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import islice
 
 #: Marks after a word that no rule joins with letters. The apostrophe is left out: "'s" is a word.
 MARKS = '.,!?&%$#*|;:)]}"'
@@ -144,9 +145,12 @@ class WordEncoder:
         except _NotApart:
             return self._whole(line)
 
-    def forget(self) -> None:
+    def forget(self, but: int = 0) -> None:
+        """Drop all words but so many of each memory, those met first since it was last full."""
         for memory in (self.plain, self.spaced, self.tails, self.words):
+            kept = dict(islice(memory.items(), but))
             memory.clear()
+            memory.update(kept)
             memory.older = {}
 
     def encode(self, text: str | None) -> bytes:
@@ -175,11 +179,11 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 @contextmanager
-def encoder(path: str) -> Iterator[WordEncoder]:
-    """The file's encoder for a task. Its words are forgotten afterwards: workers live on."""
+def encoder(path: str, kept: int = 0) -> Iterator[WordEncoder]:
+    """The file's encoder for a task. Its words are forgotten afterwards, as workers live on, but for `kept` of each kind."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     try:
         yield _ENCODERS[path]
     finally:
-        _ENCODERS[path].forget()
+        _ENCODERS[path].forget(kept)
