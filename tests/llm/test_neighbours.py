@@ -43,9 +43,39 @@ def test_recall_on_the_table(spark, sf_dir):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_equal_vectors_tie_wherever_they_stand():
+    """3,000 equal vectors among 8,192 of 64 components: one score, smaller ids first."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(8192, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    same = rng.permutation(8192)[:3000]
+    vectors[same] = vectors[same[0]]
+    coder = nb.Coder(vectors[:2000], 1.0, 20)
+    queries = np.concatenate([vectors[same[:1]], rng.normal(size=(5, 64))])
+    best = nb.best_in_shard(nb.MultiIndex(coder.codes(vectors), coder.bits), np.arange(8192), vectors, np.arange(-6, 0), queries, coder.query_codes(queries), coder.radius, coder.bits, 20)
+    assert best[0][0].tolist() == sorted(same.tolist())[:20] and len(set(best[0][1].tolist())) == 1
+    for (found, scores), q in zip(best, queries):
+        assert scores.tolist() == [nb.products(vectors[[i]], q)[0] for i in found]
+
+
+def test_many_equal_vectors_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(nb, "SHARD", 300)
+    rng = np.random.default_rng(5)
+    common = rng.normal(size=64)
+    rows = [(i, (common if i % 3 else rng.normal(size=64)).tolist()) for i in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nb.nearest(df.where("vec_id % 20 = 0"), df).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in range(0, 1500, 20):
+        if q % 3:
+            assert [v for _, v, _ in sorted(got[q])] == [i for i in range(1500) if i % 3 and i != q][:20]
+            assert len({s for _, _, s in got[q]}) == 1
+
+
 def test_lengths_that_differ(spark, monkeypatch):
     """Inner product, not angle; several shards, blocks and groups."""
-    for name, value in (("SHARD", 100), ("BLOCK", 4), ("SHARDS_PER_GROUP", 2)):
+    for name, value in (("SHARD", 100), ("BLOCK", 4), ("QUERIES", 7)):
         monkeypatch.setattr(nb, name, value)
     rng = np.random.default_rng(4)
     rows = [(i, (rng.normal(size=12) * rng.uniform(0.2, 3)).tolist()) for i in range(600)]

@@ -9,8 +9,9 @@ one substring of m at least, within r / m bits; probing the substrings' indexes
 finds every code within r. Those within r are reranked by the vectors. The radius is the one that
 holds the wanted share of true neighbours in the sample; queries that find too few widen it.
 
-Vectors are packed in shards and queries in blocks, and each task takes one block past the shards of
-a group, keeping the best so far; pairs of query and candidate never become rows.
+Vectors are packed in shards, written once. Queries come in blocks, a broadcast of bounded size each;
+every task takes the block past its shards and keeps the best so far. Vectors are not shuffled again, and
+pairs of query and candidate never become rows.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickloom.llm.batches import keep
+from tickloom.workspace import new_folder
 
 SAMPLE = 4096
 ROTATIONS = 4
@@ -31,7 +32,7 @@ SUBSTRING = 16
 RECALL = 0.98
 SHARD = 8192
 BLOCK = 128
-SHARDS_PER_GROUP = 64
+QUERIES = 4096
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -127,16 +128,23 @@ def distinct(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return ids[order[first]], scores[order[first]]
 
 
+def products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, each summed in an order that its length alone decides: equal rows have equal scores wherever they stand."""
+    return (rows * query).sum(axis=1)
+
+
 def best_in_shard(index: MultiIndex, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, codes: np.ndarray, radius: int, bits: int, k: int) -> list:
     """For each query, ids and scores of the k best ids in a shard, best first, ties to the smaller id.
 
-    Rows of one id are one candidate with the best of their scores, if one of them is found.
+    Rows of one id are one candidate with the best of their scores, if one of them is found. A matrix
+    product picks those that may be among the best, within its error; they are scored again by `products`.
     """
     out: list = [None] * len(query_ids)
     todo = np.arange(len(query_ids))
     names, place = np.unique(ids, return_inverse=True)
     by_name = np.argsort(place, kind="stable")
     starts = np.searchsorted(place[by_name], np.arange(len(names)))
+    longest = np.sqrt((vectors * vectors).sum(axis=1).max(initial=0.0))
     while len(todo):
         found = index.within(codes[todo], radius) & (ids != query_ids[todo, None])
         if len(names) < len(ids):
@@ -147,12 +155,15 @@ def best_in_shard(index: MultiIndex, ids: np.ndarray, vectors: np.ndarray, query
         enough = (count >= k) | (radius >= bits)
         for q, own in zip(todo[enough], found[enough]):
             at = np.flatnonzero(own)
-            own_ids, scores = ids[at], vectors[at] @ queries[q]
+            if len(at) > k:
+                rough = vectors[at] @ queries[q]
+                once = distinct(ids[at], rough)[1] if len(names) < len(ids) else rough
+                if len(once) > k:  # none that ties with the k-th is left out
+                    error = 1e-15 * len(queries[q]) * longest * np.sqrt(queries[q] @ queries[q])
+                    at = at[rough >= np.partition(once, -k)[-k] - 2 * error]
+            own_ids, scores = ids[at], products(vectors[at], queries[q])
             if len(names) < len(ids):
                 own_ids, scores = distinct(own_ids, scores)
-            if len(own_ids) > 4 * k:  # none that ties with the k-th is left out
-                least = np.partition(scores, -k)[-k]
-                own_ids, scores = own_ids[scores >= least], scores[scores >= least]
             order = np.lexsort((own_ids, -scores))[:k]
             out[q] = own_ids[order], scores[order]
         todo, radius = todo[~enough], radius + len(index.tables)
@@ -173,8 +184,8 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("v") == (sizes.n if sizes else 0))
 
 
-def packed(rows: DataFrame, per_row: int) -> tuple[DataFrame, int]:
-    """Rows with up to about `per_row` vectors each: number (from 0), ids and vectors as doubles."""
+def packed(rows: DataFrame, per_row: int) -> DataFrame:
+    """Rows with up to about `per_row` vectors each: ids and vectors as doubles."""
     parts = max(1, -(-rows.count() // per_row))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,10 +194,9 @@ def packed(rows: DataFrame, per_row: int) -> tuple[DataFrame, int]:
             ids.append(np.asarray(batch.column(0)))
             vectors.append(np.asarray(batch.column(1).flatten()))
         if sum(map(len, ids)):
-            columns = [pa.array([TaskContext.get().partitionId()], pa.int64()), *(pa.array([np.concatenate(x).tobytes()], pa.binary()) for x in (ids, vectors))]
-            yield pa.RecordBatch.from_arrays(columns, ["number", "ids", "vectors"])
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(x).tobytes()], pa.binary()) for x in (ids, vectors)], ["ids", "vectors"])
 
-    return rows.repartition(parts).mapInArrow(run, "number long, ids binary, vectors binary"), parts
+    return rows.repartition(parts).mapInArrow(run, "ids binary, vectors binary")
 
 
 def _unpacked(ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -215,49 +225,45 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, sample: int = S
     asked = usable(queries)
     if coder is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    known = spark.sparkContext.broadcast(coder)
     size = coder.rotations[0].shape[0] - 1
-    asked = asked.where(F.size("v") == size).dropDuplicates(["vec_id", "v"])
-    shards, n_shards = packed(rows, SHARD)
-    blocks, _ = packed(keep(asked, "queries"), BLOCK)
-    groups = -(-n_shards // SHARDS_PER_GROUP)
+    asked = keep(asked.where(F.size("v") == size).dropDuplicates(["vec_id", "v"]), "queries")
+    shards = keep(packed(rows, SHARD), "shards")
+    n_blocks, path = -(-asked.count() // QUERIES), new_folder(spark, "nearest")
+    for number in range(n_blocks):
+        # a block of a stated query set passes the driver, so its size is bounded
+        own = asked.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_blocks)) == number).orderBy("vec_id", "v").collect()
+        sent = spark.sparkContext.broadcast((coder, np.array([r.vec_id for r in own], np.int64), np.array([r.v for r in own], float).reshape(len(own), size)))
+        shards.mapInArrow(_search(sent, k), FOUND).write.mode("append").parquet(path)
+        sent.destroy()
+    if not n_blocks:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    best = spark.read.schema(FOUND).parquet(path).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of a block and a shard come sorted by block and group; the best of each query are kept."""
-        coder, at, held = known.value, None, {}
 
-        def out() -> pa.RecordBatch:
-            parts = [(q, *held[q]) for q in held]
-            q = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
-            columns = [np.concatenate([p[j] for p in parts]) if parts else np.zeros(0) for j in (1, 2)]
-            return pa.RecordBatch.from_arrays([pa.array(q), pa.array(columns[0].astype(np.int64)), pa.array(columns[1])], ["query_id", "vec_id", "score"])
+def _search(sent, k: int):
+    """Arrow function from shards to the k best of each query of a block among the shards of a task."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, query_ids, queries = sent.value
+        codes, held = coder.query_codes(queries), {}
         for batch in batches:
             for n in range(batch.num_rows):
-                block, group, *data = (batch.column(j)[n].as_py() for j in range(6))
-                if (block, group) != at:
-                    if held:
-                        yield out()
-                    at, held = (block, group), {}
-                query_ids, query_rows = _unpacked(*data[:2])
-                ids, vectors = _unpacked(*data[2:])
+                ids, vectors = _unpacked(*(batch.column(j)[n].as_py() for j in range(2)))
                 index = MultiIndex(coder.codes(vectors), coder.bits)
-                best = best_in_shard(index, ids, vectors, query_ids, query_rows, coder.query_codes(query_rows), coder.radius, coder.bits, k)
-                for q, (found, scores) in zip(query_ids.tolist(), best):
-                    if q in held:
-                        found, scores = distinct(np.concatenate([held[q][0], found]), np.concatenate([held[q][1], scores]))
-                        order = np.lexsort((found, -scores))[:k]
-                        found, scores = found[order], scores[order]
-                    held[q] = found, scores
+                for start in range(0, len(query_ids), BLOCK):
+                    some = slice(start, start + BLOCK)
+                    best = best_in_shard(index, ids, vectors, query_ids[some], queries[some], codes[some], coder.radius, coder.bits, k)
+                    for q, (found, scores) in zip(query_ids[some].tolist(), best):
+                        if q in held:
+                            found, scores = distinct(np.concatenate([held[q][0], found]), np.concatenate([held[q][1], scores]))
+                            order = np.lexsort((found, -scores))[:k]
+                            found, scores = found[order], scores[order]
+                        held[q] = found, scores
         if held:
-            yield out()
-
-    left = blocks.select(F.col("number").alias("block"), F.col("ids").alias("query_ids"), F.col("vectors").alias("query_vectors"))
-    left = left.withColumn("number", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)).cast("array<long>")))
-    pairs = left.join(shards, "number").withColumn("group", F.floor(F.col("number") / SHARDS_PER_GROUP).cast("long"))
-    dealt = pairs.select("block", "group", "query_ids", "query_vectors", "ids", "vectors")
-    n_tasks = max(1, -(-asked.count() // BLOCK) * groups)
-    found = dealt.repartition(n_tasks, "block", "group").sortWithinPartitions("block", "group").mapInArrow(run, FOUND)
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            columns = [np.repeat(list(held), [len(x[0]) for x in held.values()]), *(np.concatenate([x[j] for x in held.values()]) for j in range(2))]
+            kinds = pa.int64(), pa.int64(), pa.float64()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["query_id", "vec_id", "score"])
+
+    return run
