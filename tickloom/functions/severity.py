@@ -13,6 +13,10 @@ SLOW_REQUEST_MS = 1000
 SERVER_ERROR = 500
 CLIENT_ERROR = 400
 
+# The messages.
+BATCH_MESSAGE = "Batch %s: %d records processed in %.3fs (%.2f%% success rate)"
+REQUEST_MESSAGE = "%s %s - %d (%.2fms)"
+
 
 def batch_severity(records: Column, seconds: Column, success_rate: Column) -> Column:
     """By success rate first, then by speed; a batch without a duration counts as slow."""
@@ -27,7 +31,7 @@ def batch_severity(records: Column, seconds: Column, success_rate: Column) -> Co
 
 def batch_message(operation: Column, records: Column, seconds: Column, rate: Column) -> Column:
     return F.format_string(
-        "Batch %s: %d records processed in %.3fs (%.2f%% success rate)",
+        BATCH_MESSAGE,
         operation,
         records,
         seconds.cast("double"),
@@ -47,5 +51,5 @@ def request_severity(status: Column, milliseconds: Column) -> Column:
 
 def request_message(method: Column, path: Column, status: Column, milliseconds: Column) -> Column:
     return F.format_string(
-        "%s %s - %d (%.2fms)", method, path, status, milliseconds.cast("double")
+        REQUEST_MESSAGE, method, path, status, milliseconds.cast("double")
     )

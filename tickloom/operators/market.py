@@ -97,10 +97,16 @@ def latest(
 
 
 def expected_instruments(
-    listed: DataFrame, key: str, first: str, last: str, step: str = "INTERVAL 1 DAY"
+    listed: DataFrame, key: str, first: str, last: str, step: str = "INTERVAL 1 DAY", since: str | None = None, until: str | None = None
 ) -> DataFrame:
-    """One row per instrument and period between its first and last listed `date`."""
-    periods = F.sequence(F.col(first), F.col(last), F.expr(step))
+    """One row per instrument and period between its first and last listed `date`.
+
+    That grows with instruments times periods, so ask for a range: `since` and `until` are periods
+    of the calendar that bound it, and no more than those are made.
+    """
+    begin = F.greatest(F.col(first), F.lit(since).cast("date")) if since else F.col(first)
+    end = F.least(F.col(last), F.lit(until).cast("date")) if until else F.col(last)
+    periods = F.when(begin <= end, F.sequence(begin, end, F.expr(step)))
     return listed.select(key, F.explode(periods).alias("date"))
 
 
@@ -140,6 +146,12 @@ def missing_instruments(
     return expected.join(seen.select(day, key).distinct(), [day, key], "left_anti")
 
 
+def within_span(seen: DataFrame, listed: DataFrame, key: str, day: str = "date") -> DataFrame:
+    """Rows of `seen` inside their instrument's listed span, copies and all."""
+    spans = listed.groupBy(key).agg(F.min("first").alias("_first"), F.max("last").alias("_last"))
+    return seen.join(spans, key).where(F.col(day).between(F.col("_first"), F.col("_last"))).drop("_first", "_last")
+
+
 def _within(seen: DataFrame, listed: DataFrame, key: str, day: str) -> DataFrame:
     """Distinct (instrument, period) of `seen` inside the instrument's listed span, with the span."""
     pairs = seen.select(F.col(key).alias("_key"), day).distinct()
@@ -155,6 +167,17 @@ def coverage_by_span(
     What is expected is counted by entries and exits, added up over the calendar, so no row is made
     for an instrument and period. Several rows of an instrument are one span.
     """
+    there = _within(seen, listed, key, day).groupBy(day).agg(F.count(F.lit(1)).alias("observed"))
+    return (
+        expected_per_period(listed, key, day, step)
+        .join(there, day, "left")
+        .select(day, F.coalesce("observed", F.lit(0)).alias("observed"), "expected")
+        .withColumn("coverage", F.col("observed") / F.col("expected"))
+    )
+
+
+def expected_per_period(listed: DataFrame, key: str, day: str = "date", step: str = "INTERVAL 1 DAY") -> DataFrame:
+    """How many instruments are listed in each period of the calendar that has any."""
     spans = listed.groupBy(key).agg(F.min("first").alias("first"), F.max("last").alias("last"))
     after = (F.col("last") + F.expr(step)).cast("date")
     moves = spans.select(F.col("first").cast("date").alias(day), F.lit(1).alias("n")).union(
@@ -166,13 +189,7 @@ def coverage_by_span(
     # one row per period of the calendar
     so_far = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = calendar.join(moves, day, "left").select(day, F.sum("n").over(so_far).alias("expected"))
-    there = _within(seen, listed, key, day).groupBy(day).agg(F.count(F.lit(1)).alias("observed"))
-    return (
-        counts.where("expected > 0")
-        .join(there, day, "left")
-        .select(day, F.coalesce("observed", F.lit(0)).alias("observed"), "expected")
-        .withColumn("coverage", F.col("observed") / F.col("expected"))
-    )
+    return counts.where("expected > 0")
 
 
 def missing_ranges(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.timing import exchange_day, plain
 from tickloom.operators import indicators as I
+from tickloom.operators.ordered import Profile, profile
 from tickloom.plans import views as V
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
@@ -16,12 +17,17 @@ from tickloom.plans.views import sql
 TICK_ORDER = ["ts", "trade_id"]
 TICK_WINDOW = "WINDOW w AS (PARTITION BY symbol ORDER BY ts, trade_id)"
 BAR_WINDOW = "WINDOW w AS (PARTITION BY symbol ORDER BY bar)"
-HOT_ROWS = 150
-"""Rows per task that make every symbol of every test table a hot one."""
+HOT_CHUNKS = 40
+"""Chunks of a table, about: every symbol of every test table is cut, and larger tables are not cut finer."""
 HOT_BARS = 40
 HOT_DAY = 4
 
 
+def _hot(spark: SparkSession, folder: str) -> Profile:
+    ticks = V.ticks(spark, folder)
+    return profile(ticks, "symbol", TICK_ORDER, max(25, ticks.count() // HOT_CHUNKS))
+
+
 def _on_ticks(
     spark: SparkSession, folder: str, indicator: Callable[..., DataFrame], *outputs: str, **how
 ) -> DataFrame:
@@ -97,7 +103,7 @@ def sma(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_SMA_SQL)
 def sma_hot(spark: SparkSession, folder: str) -> DataFrame:
-    return _on_ticks(spark, folder, I.sma, "sma", rows_per_task=HOT_ROWS)
+    return _on_ticks(spark, folder, I.sma, "sma", rows_per_task=_hot(spark, folder))
 
 
 @query(
@@ -143,7 +149,7 @@ def volatility(spark: SparkSession, folder: str) -> DataFrame:
 @query(_VOLATILITY_SQL)
 def volatility_hot(spark: SparkSession, folder: str) -> DataFrame:
     return _on_ticks(
-        spark, folder, I.volatility, "volatility", rows_per_task=HOT_ROWS
+        spark, folder, I.volatility, "volatility", rows_per_task=_hot(spark, folder)
     )
 
 
@@ -195,7 +201,7 @@ def bollinger_wide(spark: SparkSession, folder: str) -> DataFrame:
 @query(_VOLATILITY_SQL.replace("= 20", f"= {_WIDE}").replace("ROWS 19", f"ROWS {_WIDE - 1}"))
 def volatility_wide_hot(spark: SparkSession, folder: str) -> DataFrame:
     """A frame that is as long as a chunk."""
-    return _on_ticks(spark, folder, I.volatility, "volatility", n=_WIDE, rows_per_task=HOT_ROWS)
+    return _on_ticks(spark, folder, I.volatility, "volatility", n=_WIDE, rows_per_task=_hot(spark, folder))
 
 
 _STOCHASTIC_WIDE_SQL = sql(
@@ -301,7 +307,7 @@ def ema(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_EMA_SQL)
 def ema_hot(spark: SparkSession, folder: str) -> DataFrame:
-    return _on_ticks(spark, folder, I.ema, "ema", rows_per_task=HOT_ROWS)
+    return _on_ticks(spark, folder, I.ema, "ema", rows_per_task=_hot(spark, folder))
 
 
 _MACD_SQL = sql(
@@ -338,7 +344,7 @@ def macd(spark: SparkSession, folder: str) -> DataFrame:
 @query(_MACD_SQL)
 def macd_hot(spark: SparkSession, folder: str) -> DataFrame:
     outputs = ("macd", "macd_signal", "macd_histogram")
-    return _on_ticks(spark, folder, I.macd, *outputs, rows_per_task=HOT_ROWS)
+    return _on_ticks(spark, folder, I.macd, *outputs, rows_per_task=_hot(spark, folder))
 
 
 @query(
@@ -363,7 +369,7 @@ SELECT trade_id, symbol, round(ema, 6) AS ema FROM chain""",
 def ema_gaps_hot(spark: SparkSession, folder: str) -> DataFrame:
     """Two hours of three have no price."""
     rows = V.ticks(spark, folder).withColumn("price", F.when(F.hour("ts") % 3 == 0, F.col("price")))
-    done = I.ema(rows, "symbol", TICK_ORDER, rows_per_task=HOT_ROWS)
+    done = I.ema(rows, "symbol", TICK_ORDER, rows_per_task=_hot(spark, folder))
     return done.select("trade_id", "symbol", _digits(done, "ema"))
 
 
@@ -397,7 +403,7 @@ def rsi(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(sql(_RSI_SQL.format(price="price"), "ticks", recursive=True))
 def rsi_hot(spark: SparkSession, folder: str) -> DataFrame:
-    return _on_ticks(spark, folder, I.rsi, "rsi", rows_per_task=HOT_ROWS)
+    return _on_ticks(spark, folder, I.rsi, "rsi", rows_per_task=_hot(spark, folder))
 
 
 _HALTED = "CAST(CASE WHEN extract(day FROM ts) % 2 = 0 THEN price ELSE 10 END AS DECIMAL(18,4))"
@@ -408,7 +414,7 @@ def rsi_flat_hot(spark: SparkSession, folder: str) -> DataFrame:
     """Every other day the price stands still."""
     still = F.when(F.dayofmonth("ts") % 2 == 0, F.col("price")).otherwise(F.lit(10))
     rows = V.ticks(spark, folder).withColumn("price", still.cast("decimal(18,4)"))
-    done = I.rsi(rows, "symbol", TICK_ORDER, rows_per_task=HOT_ROWS)
+    done = I.rsi(rows, "symbol", TICK_ORDER, rows_per_task=_hot(spark, folder))
     return done.select("trade_id", "symbol", _digits(done, "rsi"))
 
 
@@ -428,7 +434,7 @@ def rsi_halt_hot(spark: SparkSession, folder: str) -> DataFrame:
     first = ticks.agg(F.to_date(F.min("ts")).alias("first_day"))
     steps = F.least(F.datediff(F.to_date("ts"), "first_day"), F.lit(4)) + 10
     rows = ticks.crossJoin(F.broadcast(first)).withColumn("price", steps.cast("decimal(18,4)")).drop("first_day")  # one row
-    done = I.rsi(rows, "symbol", TICK_ORDER, rows_per_task=HOT_ROWS)
+    done = I.rsi(rows, "symbol", TICK_ORDER, rows_per_task=_hot(spark, folder))
     return done.select("trade_id", "symbol", _digits(done, "rsi"))
 
 

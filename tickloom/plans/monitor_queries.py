@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.timing import plain
 from tickloom.operators import market as K
 from tickloom.operators import monitor as M
+from tickloom.operators import rollups as U
 from tickloom.operators.ordered import ordered
 from tickloom.plans import views as V
 from tickloom.plans.registry import query
@@ -306,16 +307,67 @@ def missing_ranges(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     sql(
         """
-SELECT instrument, date FROM expected_by_month
+SELECT instrument, date FROM expected_by_month WHERE date BETWEEN DATE '1995-01-01' AND DATE '1995-12-01'
 EXCEPT
 SELECT instrument, date FROM seen_by_month""",
         "expected_by_month",
     )
 )
 def missing_instruments(spark: SparkSession, folder: str) -> DataFrame:
-    return K.missing_instruments(
-        V.expected_by_month(spark, folder), V.seen_by_month(spark, folder), "instrument"
-    ).select("instrument", "date")
+    """Those of one year by name; `missing_ranges` has all gaps."""
+    year = "1995-01-01", "1995-12-01"
+    seen = V.seen_by_month(spark, folder).where(F.col("date").between(*year))
+    return K.missing_instruments(V.expected_by_month(spark, folder, *year), seen, "instrument").select("instrument", "date")
+
+
+@query(
+    sql(
+        """
+SELECT e.date, count(s.instrument) AS observed, count(*) AS expected,
+       round(count(s.instrument) / count(*), 6) AS coverage
+FROM expected_by_month e
+LEFT JOIN (SELECT DISTINCT instrument, date FROM seen_by_month) s
+  ON e.instrument = s.instrument AND e.date = s.date
+GROUP BY e.date""",
+        "expected_by_month",
+    )
+)
+def coverage_by_bitmap(spark: SparkSession, folder: str) -> DataFrame:
+    """Coverage out of the bitmaps of three loads, each written when it came."""
+    path, listed = new_folder(spark, "seen"), V.listed_by_month(spark, folder)
+    lines = V.table(spark, folder, "lineitem")
+    for load in range(3):
+        part = lines.where(F.col("l_orderkey") % 3 == load)
+        seen = part.select(F.col("l_partkey").alias("instrument"), F.to_date(F.trunc("l_shipdate", "month")).alias("date"))
+        U.seen_bitmaps(K.within_span(seen, listed, "instrument"), "instrument").write.mode("append").parquet(path)
+    merged = U.merge_bitmaps(spark.read.schema("date date, bucket bigint, bits binary").parquet(path))
+    expected = K.expected_per_period(listed, "instrument", step="INTERVAL 1 MONTH")
+    return _rounded(U.coverage_by_bitmap(expected, merged), "coverage")
+
+
+@query(
+    sql(
+        """
+SELECT metric_name, shard, date_trunc('day', timestamp) AS bucket, count(*) AS n,
+       min(metric_value) AS min_value, max(metric_value) AS max_value,
+       round(avg(metric_value), 6) AS avg_value, true AS p50_is_near, true AS p95_is_near
+FROM metric_rows GROUP BY ALL""",
+        "metric_rows",
+    )
+)
+def rollup_of_rollups(spark: SparkSession, folder: str) -> DataFrame:
+    """Days out of stored hours; the rank of a percentile is within three times the stated error, one row in a group at least."""
+    by, path = ["metric_name", "shard"], new_folder(spark, "hours")
+    rows = V.metric_rows(spark, folder).withColumn("shard", F.col("labels")["shard"])
+    U.rollup(rows, by, "metric_value").write.parquet(path)
+    days = U.with_percentiles(U.merge_rollups(spark.read.parquet(path), by, "1 day"), {"p50": 0.5, "p95": 0.95})
+    days = days.drop(U.SKETCH, "sum_value")
+    of_day = rows.select(*by, "metric_value", F.window("timestamp", "1 day")["start"].alias("bucket"))
+    for name, share in (("p50", 0.5), ("p95", 0.95)):
+        off = U.rank_off(of_day, days, [*by, "bucket"], "metric_value", name, share)
+        near = F.col("rank_off") <= F.greatest(F.lit(3 * U.RANK_ERROR), 1 / F.col("n"))
+        days = days.join(off, [*by, "bucket"]).withColumn(f"{name}_is_near", near).drop("rank_off")
+    return _rounded(days.drop("p50", "p95"), "avg_value").withColumn("bucket", plain(F.col("bucket")))
 
 
 _VOLUME_SQL = sql(

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import rules as R
 from tickloom.functions.timing import plain
+from tickloom.operators import monitor as M
 from tickloom.operators import validate as C
 from tickloom.plans import views as V
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
+from tickloom.sources import frames
 from tickloom.sources.feeds import feed, paced
-from tickloom.streaming import partials, sinks, state
+from tickloom.streaming import metrics, partials, sinks, state
 from tickloom.workspace import new_folder
 
 
@@ -79,6 +81,24 @@ def _in_turns(
         sinks.each_batch(stream, handle, checkpoint).awaitTermination()
 
 
+@query("SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, event_type, value FROM events")
+def stream_frames(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as messages in frames, landed in three turns and read by a stream that goes on where it ended."""
+    landing, out, checkpoint = (new_folder(spark, x) for x in ("landing", "messages", "progress"))
+    session = _stream_session(spark)
+    frames.register(session)
+    events = V.table(session, folder, "events")
+    fields = F.struct("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"), "event_type", "value")
+    shape = "event_id bigint, ts bigint, event_type string, value double"
+    for turn in _in_time():
+        messages = events.where(turn).select(F.to_json(fields).cast("binary").alias("value"))
+        messages.write.format("frames").mode("append").save(landing)
+        read = session.readStream.format("frames").load(landing).select(F.from_json(F.col("value").cast("string"), shape).alias("m")).select("m.*")
+        writer = read.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        paced(writer, None).start().awaitTermination()
+    return spark.read.schema(shape).parquet(out).withColumn("ts", plain(F.timestamp_micros("ts")))
+
+
 #: Newest events first, then parts that overlap in time: most rows are late by any watermark.
 def _out_of_order() -> list[Column]:
     k = F.col("event_id")
@@ -263,9 +283,8 @@ FROM ticks""",
 def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Valid rows, with no reason, and quarantined rows of a stream."""
     out, checkpoint = new_folder(spark, "checked"), new_folder(spark, "progress")
-    rules = {"traded": F.col("qty") == 0, "range": R.out_of_range("price", upper={"price": 100})}
     stream = V.as_ticks(_events(spark, folder)).select("trade_id", "price", "qty")
-    sinks.each_batch(stream, sinks.quarantine_to(out, rules), checkpoint).awaitTermination()
+    sinks.each_batch(stream, sinks.quarantine_to(out, _trade_rules()), checkpoint).awaitTermination()
     valid = spark.read.schema("trade_id bigint").parquet(f"{out}/valid")
     bad = spark.read.schema(f"trade_id bigint, {C.REASONS} array<string>").parquet(
         f"{out}/quarantine"
@@ -275,6 +294,39 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _trade_rules() -> dict[str, Column]:
+    return {"traded": F.col("qty") == 0, "range": R.out_of_range("price", upper={"price": 100})}
+
+
+@query(
+    sql(
+        """
+WITH marked AS (
+  SELECT CASE WHEN day(ts) <= 9 THEN 0 WHEN day(ts) <= 19 THEN 1 ELSE 2 END AS turn,
+         qty = 0 OR price > 100 AS failed FROM ticks)
+SELECT row_number() OVER (ORDER BY turn) - 1 AS batch, count(*) AS records_processed,
+       count(*) FILTER (failed) AS rows_failed, round(1 - count(*) FILTER (failed) / count(*), 6) AS success_rate,
+       CASE WHEN count(*) FILTER (failed) / count(*) > 0.05 THEN 'error' WHEN count(*) FILTER (failed) / count(*) > 0.01 THEN 'warning' ELSE 'info' END AS severity
+FROM marked GROUP BY turn""",
+        "ticks",
+    )
+)
+def stream_batch_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """What each batch's rows were while they passed, without reading them again."""
+    landing, out, path, checkpoint = (new_folder(spark, x) for x in ("landing", "checked", "metrics", "progress"))
+    events, session = V.table(spark, folder, "events"), _stream_session(spark)
+    listener = metrics.attach(session, path, "trades")
+    for turn in _in_time():
+        events.filter(turn).write.mode("append").parquet(landing)
+        checked = C.validate(V.as_ticks(feed(session, landing, events.schema, "parquet")), _trade_rules())
+        writer = metrics.watched(checked, "trades").writeStream.format("parquet").option("path", out)
+        paced(writer.option("checkpointLocation", checkpoint), None).start().awaitTermination()
+    metrics.detach(listener)
+    done = metrics.read_metrics(spark, path)
+    steady = done.withColumns({"processing_time": F.lit(0.001), "exact": F.col("success_rate")})  # speed is not compared
+    return M.batch_metrics(steady).select("batch", "records_processed", "rows_failed", F.round("exact", 6).alias("success_rate"), "severity")
+
+
 @query(
     sql(
         """

@@ -330,9 +330,9 @@ def listed_by_month(spark: SparkSession, folder: str) -> DataFrame:
     return seen.agg(F.min("date").alias("first"), F.max("date").alias("last"))
 
 
-def expected_by_month(spark: SparkSession, folder: str) -> DataFrame:
+def expected_by_month(spark: SparkSession, folder: str, since: str | None = None, until: str | None = None) -> DataFrame:
     listed = listed_by_month(spark, folder)
-    return expected_instruments(listed, "instrument", "first", "last", "INTERVAL 1 MONTH")
+    return expected_instruments(listed, "instrument", "first", "last", "INTERVAL 1 MONTH", since, until)
 
 
 # The same views in SQL, for checks only. A view may use those before it.
