@@ -85,6 +85,36 @@ def test_late_rows_stay_out_of_the_state(stateful, events, tmp_path):
     assert stateful.read.parquet(out).select("ts").filter(first).count() == 0
 
 
+def test_previous_rows_and_copies_over_batches(stateful, tmp_path):
+    """As windows over all rows give them: ties, copies in other batches, NULL keys, times and values."""
+    import random
+
+    rng = random.Random(7)
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    at = lambda minute: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minute)
+    schema = "k string, t timestamp, n int, kind string, x decimal(10,2), seen timestamp"
+    rows = [(rng.choice(["a", "b", None]), at(rng.randrange(600)), n, rng.choice(["u", None]), rng.choice([None, *range(5)]), at(n)) for n in range(400)]
+    rows = sorted(rows, key=lambda r: r[1]) + [("a", None, 900, "u", 1, at(0)), ("a", at(900), 901, "u", 2, None)]
+    typed = stateful.createDataFrame([(*r[:4], None if r[4] is None else __import__("decimal").Decimal(r[4]), r[5]) for r in rows], schema)
+    for a, b in ((0, 150), (150, 290), (290, 403)):
+        part = rows[a:b] + [r for r in rows[max(0, a - 5) : a] if r[1] and a]  # some come again in the next batch, within the lateness
+        again = {r[2] for r in rows[a:b]} | {r[2] for r in part}
+        typed.where(F.col("n").isin(sorted(again))).coalesce(1).write.mode("append").parquet(landing)
+    stream = feeds.feed(stateful, landing, schema, "parquet", files_per_batch=1)
+    told = state.with_previous(stream, "k", "t", ["n"], {"before": "x", "then": "seen"}, ["kind"], lateness=dt.timedelta(minutes=200), at_once=9)
+    run(told, out, str(tmp_path / "cp"))
+    from pyspark.sql import Window
+
+    everything = stateful.read.schema(schema).parquet(landing)
+    w, like = Window.partitionBy("k").orderBy("t", "n"), Window.partitionBy("k", "t", "kind")
+    want = everything.where("t IS NOT NULL").select("*", F.lag("x").over(w).alias("before"), F.lag("seen").over(w).alias("then"), F.count("*").over(like).alias("copies"))
+    over = at(900) - dt.timedelta(minutes=200)
+    want = sorted(map(str, want.where(F.date_trunc("hour", "t") + F.expr("INTERVAL 1 HOUR") <= F.lit(over)).collect()))
+    got = stateful.read.parquet(out)
+    assert got.where("t IS NULL").select("n", "before", "copies").collect() == [(900, None, 1)]
+    assert sorted(map(str, got.where("t IS NOT NULL").collect())) == want and len(want) > 300
+
+
 def outages_of(beats, limit, over):
     told = []
     for key in {k for k, _ in beats}:

@@ -333,13 +333,13 @@ def checked(spark: SparkSession, folder: str) -> DataFrame:
 
 _NAMES = ["required", "type", "range", "price_bounds", "value", "leg", "derived", "duplicate"]
 _LIST = "[" + ", ".join(f"CASE WHEN f_{n} THEN '{n}' END" for n in _NAMES) + "]"
-_REASONS_SQL = f"array_to_string(list_filter({_LIST}, lambda x: x IS NOT NULL), ',')"
+REASONS_SQL = f"array_to_string(list_filter({_LIST}, lambda x: x IS NOT NULL), ',')"
 
 
 @query(
     sql(
         f"""
-SELECT * FROM (SELECT source, mark, copy, volume, {_REASONS_SQL} AS reasons FROM failures)
+SELECT * FROM (SELECT source, mark, copy, volume, {REASONS_SQL} AS reasons FROM failures)
 WHERE reasons <> ''""",
         "failures",
     )
@@ -353,7 +353,7 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     sql(
         f"""
 SELECT source, mark, copy, open, high, low, close, volume, value
-FROM (SELECT *, {_REASONS_SQL} AS reasons FROM failures)
+FROM (SELECT *, {REASONS_SQL} AS reasons FROM failures)
 WHERE reasons = ''""",
         "failures",
     )
@@ -367,7 +367,7 @@ def valid_rows(spark: SparkSession, folder: str) -> DataFrame:
     sql(
         f"""
 SELECT source, rule, count(*) AS rows_failed
-FROM (SELECT source, unnest(string_split({_REASONS_SQL}, ',')) AS rule FROM failures)
+FROM (SELECT source, unnest(string_split({REASONS_SQL}, ',')) AS rule FROM failures)
 WHERE rule <> ''
 GROUP BY source, rule""",
         "failures",
@@ -381,7 +381,7 @@ def rule_summary(spark: SparkSession, folder: str) -> DataFrame:
     sql(
         f"""
 SELECT source, count(*) AS records_processed,
-       round(count(*) FILTER ({_REASONS_SQL} = '') / count(*), 6) AS success_rate
+       round(count(*) FILTER ({REASONS_SQL} = '') / count(*), 6) AS success_rate
 FROM failures GROUP BY source""",
         "failures",
     )

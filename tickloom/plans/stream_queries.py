@@ -16,6 +16,7 @@ from tickloom.functions import rules as R
 from tickloom.functions.timing import plain
 from tickloom.operators import monitor as M
 from tickloom.operators import validate as C
+from tickloom.plans import clean_queries as Q
 from tickloom.plans import views as V
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
@@ -85,15 +86,14 @@ def _in_turns(
 def stream_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Events as messages in frames, landed in three turns and read by a stream that goes on where it ended."""
     landing, out, checkpoint = (new_folder(spark, x) for x in ("landing", "messages", "progress"))
-    session = _stream_session(spark)
-    frames.register(session)
-    events = V.table(session, folder, "events")
+    frames.register(spark)  # sessions made from another one do not find its sources; nothing here has state
+    events = V.table(spark, folder, "events")
     fields = F.struct("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"), "event_type", "value")
     shape = "event_id bigint, ts bigint, event_type string, value double"
     for turn in _in_time():
         messages = events.where(turn).select(F.to_json(fields).cast("binary").alias("value"))
         messages.write.format("frames").mode("append").save(landing)
-        read = session.readStream.format("frames").load(landing).select(F.from_json(F.col("value").cast("string"), shape).alias("m")).select("m.*")
+        read = spark.readStream.format("frames").load(landing).select(F.from_json(F.col("value").cast("string"), shape).alias("m")).select("m.*")
         writer = read.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         paced(writer, None).start().awaitTermination()
     return spark.read.schema(shape).parquet(out).withColumn("ts", plain(F.timestamp_micros("ts")))
@@ -327,6 +327,35 @@ def stream_batch_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return M.batch_metrics(steady).select("batch", "records_processed", "rows_failed", F.round("exact", 6).alias("success_rate"), "severity")
 
 
+@query(
+    sql(
+        f"""
+SELECT source, mark, copy, {Q.REASONS_SQL} AS reasons FROM failures
+WHERE epoch_ms(date_trunc('hour', timestamp) + INTERVAL 1 HOUR) <= (SELECT epoch_ms(max(timestamp)) - 3600000 FROM failures)""",
+        "failures",
+    )
+)
+def stream_quarantine_all(spark: SparkSession, folder: str) -> DataFrame:
+    """All rules in a stream of three batches, those that compare a row with others included."""
+    landing, out, checkpoint = (new_folder(spark, x) for x in ("landing", "checked", "progress"))
+    bars, day = V.typed_bars(spark, folder), F.dayofmonth("timestamp")
+    rules = {
+        **Q.single_row_rules(),
+        "derived": R.differs(F.col("points_change"), F.col("close") - F.col("_close")) | R.differs(F.col("change_in_oi"), F.col("open_interest") - F.col("_interest")),
+        "duplicate": F.col(state.COPIES) > 1,
+    }
+    for turn in (day <= 9, day.between(10, 19), day > 19):
+        bars.where(turn).write.mode("append").parquet(landing)
+        stream = feed(_stream_session(spark), landing, bars.schema, "parquet")
+        told = state.with_previous(stream, "symbol", "timestamp", ["source", "copy"], {"_close": "close", "_interest": "open_interest"}, ["instrument_type"])
+        sinks.each_batch(told, sinks.quarantine_to(out, rules), checkpoint).awaitTermination()
+    shape = "source string, mark bigint, copy int"
+    valid = spark.read.schema(shape).parquet(f"{out}/valid").withColumn(C.REASONS, F.lit(""))
+    bad = spark.read.schema(f"{shape}, {C.REASONS} array<string>").parquet(f"{out}/quarantine")
+    both = valid.unionByName(bad.withColumn(C.REASONS, F.array_join(C.REASONS, ",")))
+    return both.select("source", "mark", "copy", C.REASONS)
+
+
 @query(
     sql(
         """

@@ -11,6 +11,7 @@ State of this kind needs the RocksDB store; `use_state_store` sets it for a sess
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
@@ -199,20 +200,33 @@ def outages(heartbeats: DataFrame, key: str, timestamp: str, limit: timedelta, l
     return told.withColumn("moment", F.timestamp_micros("moment"))
 
 
-# Running average --------------------------------------------------------------------------
+# Rows in order of event time --------------------------------------------------------------
 
 
-class _RunningMean(StatefulProcessor):
-    """Rows wait by bucket of event time; a bucket that is over is folded in order."""
+class _InTurn(StatefulProcessor):
+    """Rows wait by bucket of event time; a bucket that is over is told of in order.
 
-    def __init__(self, alpha: float, bucket_us: int, at_once: int, names: Sequence[str]):
-        self.alpha, self.bucket_us, self.at_once, self.told = alpha, bucket_us, at_once, Row(*names)
+    A row is a tuple that begins with its time in microseconds. `row_type` is its type, and
+    `kept_type` that of what a key keeps from bucket to bucket.
+    """
+
+    def __init__(self, row_type: T.StructType, kept_type: T.StructType, bucket_us: int, at_once: int, names: Sequence[str]):
+        self.row_type, self.kept_type = row_type, kept_type
+        self.bucket_us, self.at_once, self.told = bucket_us, at_once, Row(*names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "bucket bigint, part bigint", "rows array<struct<at:bigint,id:bigint,x:double>>")
+        rows = T.StructType([T.StructField("rows", T.ArrayType(self.row_type))])
+        self.waiting = handle.getMapState("waiting", "bucket bigint, part bigint", rows)
         self.parts = handle.getMapState("parts", "bucket bigint", "n bigint")
-        self.mean = handle.getValueState("mean", "mean double")
+        self.kept = handle.getValueState("kept", self.kept_type)
+
+    def in_order(self, key, rows: list[tuple], kept: tuple | None) -> tuple[list[Row], tuple | None]:
+        """What to tell of a bucket's rows, and what to keep after them."""
+        raise NotImplementedError
+
+    def without_time(self, key, row: tuple) -> Iterator[Row]:
+        return iter(())
 
     def _put(self, held: dict[int, list]) -> None:
         for bucket, rows in held.items():
@@ -226,14 +240,18 @@ class _RunningMean(StatefulProcessor):
         held, count = {}, 0
         passed = timerValues.getCurrentWatermarkInMs() * _MS
         for row in rows:
-            if (row.at // self.bucket_us + 1) * self.bucket_us <= passed:
-                continue  # its bucket is told
-            held.setdefault(row.at // self.bucket_us, []).append((row.at, row.id, row.x))
+            own = tuple(row[-len(self.row_type) :])
+            if own[0] is None:
+                yield from self.without_time(key, own)
+                continue
+            bucket = own[0] // self.bucket_us
+            if (bucket + 1) * self.bucket_us <= passed:
+                continue  # it is told of
+            held.setdefault(bucket, []).append(own)
             count += 1
             if count % self.at_once == 0:
                 self._put(held)
         self._put(held)
-        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         bucket = expiredTimerInfo.getExpiryTimeInMs() * _MS // self.bucket_us - 1
@@ -241,21 +259,39 @@ class _RunningMean(StatefulProcessor):
             return
         n, rows = self.parts.getValue((bucket,))[0], []
         for part in range(n):
-            rows += self.waiting.getValue((bucket, part))[0]
+            rows += [tuple(r) for r in self.waiting.getValue((bucket, part))[0]]
             self.waiting.removeKey((bucket, part))
         self.parts.removeKey((bucket,))
-        mean = self.mean.get()[0] if self.mean.exists() else None
-        for at, i, x in sorted(tuple(r) for r in rows):
-            if x is not None:
-                mean = x if mean is None else mean + self.alpha * (x - mean)
-            yield self.told(*key, at, i, mean)
-        if mean is not None:
-            self.mean.update((mean,))
+        kept = tuple(self.kept.get()) if self.kept.exists() else None
+        told, kept = self.in_order(key, rows, kept)
+        if kept is not None:
+            self.kept.update(kept)
+        yield from told
 
     def close(self) -> None:
         pass
 
 
+def _nulls_first(values: Sequence) -> tuple:
+    return tuple((v is not None, v) if v is not None else (False, 0) for v in values)
+
+
+class _RunningMean(_InTurn):
+    """Rows are (time, id, x); keeps the mean."""
+
+    def __init__(self, alpha: float, *how):
+        super().__init__(*how)
+        self.alpha = alpha
+
+    def in_order(self, key, rows, kept):
+        mean, told = kept[0] if kept else None, []
+        for at, i, x in sorted(rows, key=lambda r: r[:2]):
+            if x is not None:
+                mean = x if mean is None else mean + self.alpha * (x - mean)
+            told.append(self.told(*key, at, i, mean))
+        return told, None if mean is None else (mean,)
+
+
 def stream_ema(
     ticks: DataFrame,
     n: int = 12,
@@ -278,6 +314,66 @@ def stream_ema(
     whole = ticks.where(F.col(key).isNotNull() & F.col(timestamp).isNotNull() & F.col(trade_id).isNotNull()).withWatermark(timestamp, _delay(lateness))
     x: Column = F.col(price).cast("double")
     rows = whole.select(key, timestamp, F.unix_micros(timestamp).alias("at"), F.col(trade_id).cast("bigint").alias("id"), x.alias("x"))
+    types = T.StructType.fromDDL("at bigint, id bigint, x double"), T.StructType.fromDDL("mean double")
+    processor = _RunningMean(ema_alpha(n), *types, _micros(bucket), at_once, [key, timestamp, trade_id, "ema"])
     output = f"{key} {kind}, {timestamp} bigint, {trade_id} bigint, ema double"
-    told = rows.groupBy(key).transformWithState(_RunningMean(ema_alpha(n), _micros(bucket), at_once, [key, timestamp, trade_id, "ema"]), output, "Append", "EventTime")
+    told = rows.groupBy(key).transformWithState(processor, output, "Append", "EventTime")
     return told.withColumn(timestamp, F.timestamp_micros(timestamp))
+
+
+class _WithPrevious(_InTurn):
+    """Rows as they came, with values of the row before and the number of rows like them at their time."""
+
+    def __init__(self, order: list[int], previous: list[int], copies: list[int], *how):
+        super().__init__(*how)
+        self.order, self.previous, self.copies = order, previous, copies
+
+    def in_order(self, key, rows, kept):
+        like = lambda r: (r[0], *[r[k] for k in self.copies])
+        counts = Counter(map(like, rows))
+        told = []
+        for row in sorted(rows, key=lambda r: (r[0], *_nulls_first([r[k] for k in self.order]))):
+            told.append(self.told(*row, *(kept or [None] * len(self.previous)), counts[like(row)]))
+            kept = tuple(row[k] for k in self.previous)
+        return told, kept
+
+    def without_time(self, key, row):
+        yield self.told(*row, *[None] * len(self.previous), 1)
+
+
+COPIES = "copies"
+
+
+def with_previous(
+    rows: DataFrame,
+    key: str,
+    timestamp: str,
+    order: Sequence[str],
+    previous: dict[str, str],
+    copies_by: Sequence[str] = (),
+    lateness: timedelta = HOUR,
+    bucket: timedelta = HOUR,
+    at_once: int = 10_000,
+) -> DataFrame:
+    """A stream's rows in order of event time, each with what rules need that compare rows, over all batches.
+
+    `previous` names columns to add and where they come from in the key's row before, by time and
+    `order`; `copies` is the number of the key's rows of the same time and `copies_by`, the row itself
+    included. A row is told once event time has passed its bucket: no copy of it within `lateness`
+    can come after that, and later rows are left out. Rows without a time have nothing before them and are
+    told at once. A key is one task's work; its rows wait in the store, not in memory.
+    """
+    at = "_at"
+    numbers = _as_numbers(rows.withColumn(at, F.col(timestamp)))
+    names = [at, *rows.columns]
+    schema = T.StructType([numbers.schema[c] for c in names])
+    kept = T.StructType([T.StructField(n, schema[c].dataType) for n, c in previous.items()])
+    output = T.StructType([*schema, *kept, T.StructField(COPIES, T.LongType())])
+    place = {c: k for k, c in enumerate(names)}
+    processor = _WithPrevious([place[c] for c in order], [place[c] for c in previous.values()], [place[c] for c in copies_by], schema, kept, _micros(bucket), at_once, output.names)
+    timed = rows.withWatermark(timestamp, _delay(lateness)).withColumns({"_key": F.col(key), "_time": F.col(timestamp), at: F.col(timestamp)})
+    instants = set(_instants(rows)) | {at}
+    sent = timed.select("_key", "_time", *[F.unix_micros(c).alias(c) if c in instants else F.col(c) for c in names])
+    told = sent.groupBy("_key").transformWithState(processor, output, "Append", "EventTime")
+    back = instants | {n for n, c in previous.items() if c in instants}
+    return told.select(*[F.timestamp_micros(c).alias(c) if c in back else F.col(c) for c in output.names if c != at])
