@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -100,6 +101,38 @@ def test_parts_that_are_not_the_article(part, where):
     assert main_text.trained().extract([page]) == ["The title of it\n\nFirst, some words about one thing.\n\nThen, more words about quite another.\n\nShort."]
 
 
+MISLEADING = ["post thread", "entry comments", "story promo", "article related", "content widget", "post meta", "main alert", "text more", "sidebar", "post-footer"]
+NAV = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul></nav>"
+FOOT = "<footer>&copy; 2020 The paper. All of it.</footer>"
+
+
+@pytest.mark.parametrize("name", MISLEADING)
+def test_a_misleading_class_does_not_lose_the_article(name):
+    inner = "<h1>The title of it</h1><p>First, some words about one thing, and then some more of them.</p><p>Then, more words about quite another.</p>"
+    page = f"<html><body>{NAV}<article class='{name}'>{inner}</article>{FOOT}</body></html>"
+    assert main_text.trained().extract([page]) == ["The title of it\n\nFirst, some words about one thing, and then some more of them.\n\nThen, more words about quite another."]
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("just text", "just text"),
+        ("First, some words about one thing. Then, more words about quite another.", "First, some words about one thing. Then, more words about quite another."),
+        ("<div>First, some words about one thing.</div><div>Then, more words about quite another.</div>", "First, some words about one thing.\n\nThen, more words about quite another."),
+        (f"{NAV}{FOOT}", ""),
+    ],
+)
+def test_pages_without_telling_tags(page, want):
+    assert main_text.trained().extract([page]) == [want]
+
+
+@pytest.mark.parametrize("page", ["<i>" * 50_000 + "</b>" * 50_000, "<div><i>" * 30_000 + "</b>" * 30_000, "<ul><li><i>" * 30_000, "<p><b>" * 50_000])
+def test_tags_left_open_cost_no_more_than_their_number(page):
+    start = time.perf_counter()
+    html_tree.parse(page)
+    assert time.perf_counter() - start < 10  # looking through all open elements takes minutes
+
+
 def article_by_tag(page):
     """The articles of the test pages, by their tags."""
     a, b = page.find("<article>"), page.find("</article>")

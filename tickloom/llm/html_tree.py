@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from collections.abc import Iterable
 from functools import lru_cache
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>""", re.S)
@@ -146,6 +147,8 @@ def parse(page: str | None) -> Tree:
     root = tree.add(KIND_OF["body"], -1, 0)
     page = page or ""
     open_: list[tuple[str, int]] = [("", root)]  # all open elements, inline ones too, with their block
+    places: dict[str, list[int]] = {}  # where in open_ the elements of each name are
+    blocks: list[int] = [0]  # and where the blocks are
     pieces: list[str] = []
     linked = anchors = tags = at = muted = 0
     ends: dict[int, int] | None = None
@@ -159,6 +162,15 @@ def parse(page: str | None) -> Tree:
         pieces.clear()
         linked = tags = 0
 
+    def begin(name: str, block: int) -> None:
+        places.setdefault(name, []).append(len(open_))
+        if name in BLOCKS:
+            blocks.append(len(open_))
+        open_.append((name, block))
+
+    def inmost(names: Iterable[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     def close(depth: int) -> None:
         nonlocal anchors, muted
         while len(open_) > depth:
@@ -166,13 +178,15 @@ def parse(page: str | None) -> Tree:
             if name in BLOCKS:
                 end_run()
                 tree.last[block] = len(tree.kind) - 1
+                blocks.pop()
             anchors -= name == "a"
             muted -= name in MUTED
+            places[name].pop()
             open_.pop()
 
     def unmute() -> None:
         if muted:
-            close(next(k for k in range(1, len(open_)) if open_[k][0] in MUTED))
+            close(min(places[n][0] for n in MUTED if places.get(n)))
 
     def say(raw: str) -> None:
         nonlocal linked
@@ -191,8 +205,8 @@ def parse(page: str | None) -> Tree:
         if m[1] or m[4]:
             if name in BLOCKS:
                 unmute()
-            depth = next((k for k in range(len(open_) - 1, 0, -1) if open_[k][0] == name), 0)
-            if depth and (name in BLOCKS or not any(open_[k][0] in BLOCKS for k in range(depth + 1, len(open_)))):
+            depth = inmost((name,))
+            if depth and (name in BLOCKS or blocks[-1] < depth):
                 if name in BLOCKS:
                     end_run()
                 close(depth)
@@ -208,7 +222,7 @@ def parse(page: str | None) -> Tree:
                         at = ends[at]
                     else:
                         unmute()
-                        open_.append((name, open_[-1][1]))
+                        begin(name, open_[-1][1])
                         muted += 1
                     continue
                 stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
@@ -220,26 +234,21 @@ def parse(page: str | None) -> Tree:
             end_run()
             if name != "hr":
                 if name in CLOSES:
-                    for k in range(len(open_) - 1, 0, -1):
-                        if open_[k][0] in HOLDS[name]:
-                            break
-                        if open_[k][0] in CLOSES[name]:
-                            close(k)
-                            break
-                else:
-                    inner = next((k for k in range(len(open_) - 1, 0, -1) if open_[k][0] in BLOCKS), 0)
-                    if inner and open_[inner][0] == "p":
-                        close(inner)
+                    closed = inmost(CLOSES[name])
+                    if closed > inmost(HOLDS.get(name, ())):
+                        close(closed)
+                elif open_[blocks[-1]][0] == "p":
+                    close(blocks[-1])
                 block = open_[-1][1]
                 tree.tags[block] += 1
-                open_.append((name, tree.add(KIND_OF[name], block, families(m[3] or m[6] or ""))))
+                begin(name, tree.add(KIND_OF[name], block, families(m[3] or m[6] or "")))
             continue
         if name == "br":
             pieces.append(" ")
         tree.inputs[open_[-1][1]] += name == "input"
         tags += 1
         if name not in VOID:
-            open_.append((name, open_[-1][1]))
+            begin(name, open_[-1][1])
             anchors += name == "a"
     say(page[at:])
     end_run()
