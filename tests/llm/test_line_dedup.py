@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -29,6 +31,15 @@ def test_rows_of_one_document_count_once(spark):
     assert sorted((r.doc_id, r.text) for r in got) == [(1, A), (1, A), (2, A), (3, ""), (3, ""), (4, ""), (5, B)]
 
 
+def test_documents_that_lose_many_lines(spark):
+    """16,000 lines each: looked up, not searched for."""
+    long = "\n".join(f"line number {k} of the long ones" for k in range(16_000))
+    start = time.perf_counter()
+    got = run(spark, [(1, long), (2, long + "\nown"), (3, long)])
+    assert (got[1].text, got[2].text, got[3].text) == ("", "own", long) and got[2].n_dropped == 16_000
+    assert time.perf_counter() - start < 30  # a search in a list takes minutes with the rest
+
+
 def test_a_line_in_a_third_of_all_documents(spark):
     rows = [(k, f"{A}\nown line number {k} of this one" if k % 3 == 0 else f"line of its own, number {k}") for k in range(900)]
     got = run(spark, rows)

@@ -16,9 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.batches import free_name, keep, small_batches
+from tickloom.llm.batches import free_name, keep, small_batches, with_columns
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -27,7 +27,6 @@ MAX_BITS = 1 << 30
 HASHES = 4
 SEGMENT_BYTES = 1 << 18
 WHITE = " \t\n\r\x0b\x0c"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def line_keys(text: str | None, min_chars: int) -> set[bytes]:
@@ -36,11 +35,6 @@ def line_keys(text: str | None, min_chars: int) -> set[bytes]:
     return {line.encode().lower() for line in lines if len(line) >= min_chars}
 
 
-def key_column(line: Column) -> Column:
-    """The same key of one line."""
-    return F.translate(F.btrim(line, F.lit(WHITE)), UPPER, LOWER)
-
-
 class Bloom:
     """Bits under hashes; `size` is a power of two."""
 
@@ -158,10 +152,26 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     owner, lines = free_name(whole, "_owner"), free_name(whole, "_lines")
     lost = lost.select(F.col("doc_id").alias(owner), F.col("lines").alias(lines))
     joined = whole.join(lost, whole["doc_id"].cast("long").eqNullSafe(F.col(owner)), "left")
-    split = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    stays = F.filter(split, lambda x: ~F.array_contains(F.col(lines), F.unhex(F.md5(key_column(x).cast("binary")))))
-    kept = F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
-    n_lines = F.size(split).cast("long")
-    n_kept = F.when(F.col(lines).isNull(), n_lines).otherwise(F.size(stays).cast("long"))
-    columns = [kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in whole.columns]
-    return joined.select(*columns, n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_dropped"))
+    others = [c for c in whole.columns if c.lower() != "text"]
+
+    def work(batch: pa.RecordBatch) -> dict[str, object]:
+        texts, before, after = [], [], []
+        for text, gone in zip(*(c.to_pylist() for c in batch.columns)):
+            parts = (text or "").split("\n")
+            before.append(len(parts))
+            if gone:
+                known = set(gone)
+                parts = [x for x in parts if not is_one_of(x, known, min_chars)]
+                text = "\n".join(parts)
+            texts.append(text)
+            after.append(len(parts))
+        return {"text": texts, "n_lines": before, "n_dropped": [a - b for a, b in zip(before, after)]}
+
+    made = with_columns(joined, "text string, n_lines long, n_dropped long", work, ["text", lines], others)
+    return made.select(*[F.col(f"`{c}`") for c in whole.columns], "n_lines", "n_dropped")
+
+
+def is_one_of(line: str, keys: set[bytes], min_chars: int) -> bool:
+    """Whether the md5 of a line's key is among these."""
+    line = line.strip(WHITE)
+    return len(line) >= min_chars and hashlib.md5(line.encode().lower()).digest() in keys
