@@ -54,3 +54,30 @@ def test_odd_rows(spark):
     assert quality.learn(docs.limit(0), labels.limit(0), F.lit(True)) is None
     assert {r.score for r in quality.score(docs, None).collect()} == {0.5}
     assert quality.score(docs.limit(0), net).collect() == []
+
+
+def test_ids_bound_the_sample(spark, monkeypatch):
+    """An id that documents repeat many times is one example and its piece."""
+    drawn = []
+    monkeypatch.setattr(quality, "train", lambda examples, share: drawn.extend(examples))
+    docs = spark.createDataFrame([(1, f"text number {k}") for k in range(500)] + [(2, "another text"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    quality.learn(docs, labels, F.lit(True))
+    assert len(drawn) == 4 and {y for *_, y in drawn} == {0, 1}
+
+
+def plain_score(net, text):
+    """Every place of the whole text by plain loops: filters, maxima by half chunk, both halves of a chunk, the layers."""
+    data, halves = quality.padded(text)
+    maxima = []
+    for h in range(halves):
+        at = [[sum(float(net.table[k][data[i + k]][f]) for k in range(quality.WIDTH)) for f in range(net.table.shape[2])] for i in range(h * quality.HALF, (h + 1) * quality.HALF)]
+        maxima.append([max(col) for col in zip(*at)])
+    return np.array(maxima)
+
+
+def test_pooling_of_whole_texts_by_plain_loops():
+    net = quality.Network(3)
+    for text in ("", "a", "Kurz, é.", "word " * 60):
+        data, halves = quality.padded(text)
+        assert np.allclose(net.pooled_halves(data, halves), plain_score(net, text), atol=1e-4)

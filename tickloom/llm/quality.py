@@ -179,7 +179,7 @@ def piece_of(text: str | None) -> str:
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = DOCS_PER_CLASS) -> Network | None:
     """A network from a bounded sample: `per_class` documents of each label, CHUNKS_PER_DOC chunks of each.
 
-    `docs` has doc_id and text, `labels` doc_id and quality (0 or 1; of several, the larger).
+    `docs` has doc_id and text (of several rows of an id, the least text), `labels` doc_id and quality (0 or 1; of several, the larger).
     `usable` is a condition on doc_id. None if a class has no document.
     """
     marked = labels.where(usable & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -196,7 +196,9 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = D
             columns += [pa.array([b"".join(c) for c, _ in made], pa.binary()), pa.array([f.tobytes() for _, f in made], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "chunks", "fill"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", F.col("quality").cast("int").alias("quality"), "text")
+    own = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # one row for an id that `docs` repeats, so that ids bound what reaches the driver
+    rows = own.groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"), F.min("text").alias("text"))
     size = 2 * HALF + WIDTH - 1
     examples = []
     for r in sorted(rows.mapInArrow(cut, "doc_id long, quality int, chunks binary, fill binary").collect(), key=lambda r: (r.doc_id, bytes(r.chunks))):
