@@ -168,7 +168,7 @@ def test_small_keys_leave_the_plan_alone(ticks):
 
 
 def test_copies_of_a_hot_key(ticks):
-    counted = C.count_copies(ticks, ["symbol"], rows_per_task=1000)
+    counted = C.count_copies(ticks, ["symbol"])
     got = {r[0]: (r[1], r[2], r[3]) for r in counted.groupBy("symbol").agg(
         F.min(C.COPIES), F.max(C.COPIES), F.count("*")).collect()}
     want = {r[0]: (r[1], r[1], r[1]) for r in ticks.groupBy("symbol").count().collect()}

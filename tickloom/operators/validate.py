@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import rules as R
-from tickloom.operators.ordered import ROWS_PER_TASK, hot_keys, join_on, ordered
+from tickloom.operators.ordered import ROWS_PER_TASK, Profile, join_on, ordered
 from tickloom.operators.normalize import TYPE_ERRORS
 from tickloom.schemas import TABLES
 
 REASONS = "reasons"
 COPIES = "copies"
+IS_VALID = "is_valid"
 
 
 def table_rules(table: str) -> dict[str, Column]:
@@ -63,7 +64,7 @@ def check_derived(
     order: str | Sequence[str],
     points: tuple[str, str, str] | None = ("close", "points_change", "percent_change"),
     interest: tuple[str, str] | None = None,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | Profile | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Flag rows whose stored change does not follow from the row before, in `derived_fails`.
 
@@ -92,30 +93,20 @@ def check_derived(
     return ordered(df, keys, order, rows_per_task).rows_back(1, compare).result()
 
 
-def count_copies(
-    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def count_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add to each row how many rows share its key.
 
-    A key with more rows than a task should hold gets its count by broadcast, and its
-    rows stay spread by the partition they come from.
+    Keys are counted with partial counts before the shuffle, and those that repeat are joined back, so a
+    key of any size is small counts and nothing is counted before the query runs. While they are few,
+    Spark broadcasts them and the rows stay where they are; else a hot key's rows may be split.
     """
-    found = hot_keys(df, keys, rows_per_task)
-    if found is None:
-        return df.withColumn(COPIES, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    hot = found[0]
-    known = join_on(df, F.broadcast(hot), keys, "left").withColumn(
-        "_spread", F.when(F.col("_rows").isNotNull(), F.spark_partition_id())
-    )
-    here = F.count(F.lit(1)).over(Window.partitionBy(*keys, "_spread"))
-    return known.withColumn(COPIES, F.coalesce("_rows", here)).drop("_rows", "_spread")
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES)).where(F.col(COPIES) > 1)
+    return join_on(df, repeated, keys, "left").withColumn(COPIES, F.coalesce(COPIES, F.lit(1)).cast("bigint"))
 
 
-def duplicate_rows(
-    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows that share their key with another row, with the number of copies."""
-    return count_copies(df, keys, rows_per_task).filter(F.col(COPIES) > 1)
+    return count_copies(df, keys).filter(F.col(COPIES) > 1)
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
@@ -142,6 +133,13 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(good).drop(REASONS), df.filter(~good)
 
 
+def write_split(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """`split_valid` of written rows: both sides come from one run of what lies before, and each reads its own folder."""
+    df.withColumn(IS_VALID, F.size(REASONS) == 0).write.mode("overwrite").partitionBy(IS_VALID).parquet(path)
+    kept = df.sparkSession.read.schema(T.StructType([*df.schema, T.StructField(IS_VALID, T.BooleanType())])).parquet(path)
+    return kept.where(IS_VALID).drop(REASONS, IS_VALID), kept.where(~F.col(IS_VALID)).drop(IS_VALID)
+
+
 def rule_summary(df: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
     """Rows that failed each rule, per batch."""
     failed = df.select(*batch, F.explode(REASONS).alias("rule"))

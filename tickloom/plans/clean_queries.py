@@ -14,6 +14,7 @@ from tickloom.plans import views as V
 from tickloom.plans.chain import run_steps
 from tickloom.plans.registry import query
 from tickloom.plans.views import sql
+from tickloom.workspace import new_folder
 
 _LOCAL_DAY = "CAST(bar + INTERVAL 330 MINUTE AS DATE)"
 
@@ -363,6 +364,23 @@ def valid_rows(spark: SparkSession, folder: str) -> DataFrame:
     return good.select(*_ROW, "open", "high", "low", "close", "volume", "value")
 
 
+@query(
+    sql(
+        f"""
+SELECT source, count(*) FILTER ({REASONS_SQL} = '') AS valid, count(*) FILTER ({REASONS_SQL} <> '') AS quarantined,
+       CAST(sum(volume) FILTER ({REASONS_SQL} = '') AS BIGINT) AS valid_volume
+FROM failures GROUP BY source""",
+        "failures",
+    )
+)
+def quarantine_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Both sides of the rules, written by one run."""
+    good, bad = C.write_split(checked(spark, folder), new_folder(spark, "checked"))
+    valid = good.groupBy("source").agg(F.count(F.lit(1)).alias("valid"), F.sum("volume").alias("valid_volume"))
+    found = valid.join(bad.groupBy("source").agg(F.count(F.lit(1)).alias("quarantined")), "source", "full")
+    return found.select("source", F.coalesce("valid", F.lit(0)).alias("valid"), F.coalesce("quarantined", F.lit(0)).alias("quarantined"), "valid_volume")
+
+
 @query(
     sql(
         f"""

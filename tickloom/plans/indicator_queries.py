@@ -418,22 +418,14 @@ def rsi_flat_hot(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("trade_id", "symbol", _digits(done, "rsi"))
 
 
-_STEPS = "CAST(10 + least(date_diff('day', first_day, CAST(ts AS DATE)), 4) AS DECIMAL(18,4))"
+_STEPS = "CAST(10 + least(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)), 4) AS DECIMAL(18,4))"
 
 
-@query(
-    sql(
-        _RSI_SQL.replace("FROM ticks WINDOW", "FROM ticks, (SELECT CAST(min(ts) AS DATE) AS first_day FROM ticks) WINDOW").format(price=_STEPS),
-        "ticks",
-        recursive=True,
-    )
-)
+@query(sql(_RSI_SQL.format(price=_STEPS), "ticks", recursive=True))
 def rsi_halt_hot(spark: SparkSession, folder: str) -> DataFrame:
     """The price rises on four days and then stands still for good: never a loss."""
-    ticks = V.ticks(spark, folder)
-    first = ticks.agg(F.to_date(F.min("ts")).alias("first_day"))
-    steps = F.least(F.datediff(F.to_date("ts"), "first_day"), F.lit(4)) + 10
-    rows = ticks.crossJoin(F.broadcast(first)).withColumn("price", steps.cast("decimal(18,4)")).drop("first_day")  # one row
+    steps = F.least(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")), F.lit(4)) + 10
+    rows = V.ticks(spark, folder).withColumn("price", steps.cast("decimal(18,4)"))
     done = I.rsi(rows, "symbol", TICK_ORDER, rows_per_task=_hot(spark, folder))
     return done.select("trade_id", "symbol", _digits(done, "rsi"))
 
