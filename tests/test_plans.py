@@ -80,6 +80,14 @@ def test_coverage_and_its_estimate(spark):
     assert sorted((r["date"], r["k"]) for r in missing) == [("d1", "b"), ("d2", "a")]
 
 
+def test_missing_instruments_of_all_years(spark, tmp_path):
+    lines = [(1, "1993-02-03"), (1, "1993-05-01"), (2, "1995-12-31"), (2, "1996-02-01"), (3, "1997-01-01")]
+    rows = spark.createDataFrame(lines, "l_partkey long, d string").select("l_partkey", F.to_timestamp_ntz("d").alias("l_shipdate"))
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = entry.queries()["missing_instruments"](spark, str(tmp_path)).collect()
+    assert sorted((r["instrument"], str(r["date"])) for r in found) == [(1, "1993-03-01"), (1, "1993-04-01"), (2, "1996-01-01")]
+
+
 def test_folders_are_below_the_shared_one(spark):
     folder = shared_folder(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir")
