@@ -89,6 +89,26 @@ def test_many_chunks_are_in_order(ticks):
     assert all(x["b"] < y["a"] for x, y in zip(chunks, chunks[1:]))
 
 
+def test_small_chunks_need_no_tasks_of_their_own(spark):
+    """Three thousand chunks out of no more tasks than a shuffle has; equal places stay together."""
+    rows = spark.range(6000).select(F.lit("k").alias("symbol"), (F.col("id") - F.col("id") % 3).alias("ts"), F.lit(1).alias("qty"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("cuts", "cuts")
+    try:
+        placed = O.ordered(rows, "symbol", "ts", 2)
+        stages = {s for j in tracker.getJobIdsForGroup("cuts") for s in tracker.getJobInfo(j).stageIds}
+        tasks = [i.numTasks for s in stages if (i := tracker.getStageInfo(s))]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    assert tasks and max(tasks) <= max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    found = placed.df.groupBy(O.CHUNK).agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count("*").alias("n")).orderBy(O.CHUNK).collect()
+    assert len(found) > 500 and sum(r["n"] for r in found) == 6000
+    assert all(x["b"] < y["a"] for x, y in zip(found, found[1:]))
+    starts = placed.starts[("k",)]
+    assert [b - a for a, b in zip(starts, starts[1:])] == [r["n"] for r in found[:-1]]
+
+
 def test_totals_over_cut_keys(ticks):
     total = {"all": F.col("qty")}
     done = O.ordered(ticks, "symbol", ORDER, 100).running({}, totals=total).result()

@@ -9,7 +9,8 @@ is cut into chunks of consecutive rows, and windows run per chunk:
   preceding chunks (`rows_back`), so results equal those of the uncut window;
 * running sums get the totals of all preceding chunks (`running`).
 
-Cut points come from a range partitioning of the hot keys' key and order columns. Every key with
+Cut points come from a range partitioning of the hot keys' key and order columns, into tasks by the
+number of rows, each of which cuts its sorted rows into chunks, however small. Every key with
 more than `rows_per_task` rows is cut. Chunks grow once there would be more than MAX_CHUNKS, so there are
 about two for each of these and two for each hot key, which is what the driver holds and broadcasts. They are plain values in the plan: a recomputed task
 places a row in the same chunk as the first attempt did.
@@ -23,7 +24,7 @@ from dataclasses import dataclass, field, replace
 from functools import reduce
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -181,19 +182,31 @@ def _cut_points(
     narrow = join_on(
         df.select(*keys, *_places(df, order)), F.broadcast(hot.drop("_rows")), keys, "left_semi"
     )
+    # Tasks follow the rows; a task's sorted rows are cut into as many pieces as are wanted.
+    wanted = max(2, math.ceil(2 * hot_rows / per_chunk))
+    shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(wanted, max(shuffled, math.ceil(hot_rows / ROWS_PER_TASK)))
+    place = F.monotonically_increasing_id()  # the task, then 33 bits for the row in it
     pieces = (
-        narrow.repartitionByRange(max(2, math.ceil(2 * hot_rows / per_chunk)), *keys, *order)
-        .groupBy(*keys, F.spark_partition_id().alias("_piece"))
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(F.struct(*order)).alias("_first"))
+        narrow.repartitionByRange(tasks, *keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_place", place)
+        .withColumn("_piece", F.col("_place") - F.pmod(F.col("_place").bitwiseAND((1 << 33) - 1), F.lit(max(1, per_chunk // 2))))
+        .groupBy(*keys, "_piece")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(F.struct(*order)).alias("_first"), F.max(F.struct(*order)).alias("_last"))
         .collect()
     )
     chunks: dict[tuple, list[list]] = {}
+    last: dict[tuple, Row] = {}
     for row in sorted(pieces, key=lambda r: r["_piece"]):
-        of_key = chunks.setdefault(tuple(row[k] for k in keys), [])
-        if of_key and of_key[-1][1] < per_chunk // 2:
+        key = tuple(row[k] for k in keys)
+        of_key = chunks.setdefault(key, [])
+        # Rows of equal place are never parted: a cut is a value.
+        if of_key and (of_key[-1][1] < per_chunk // 2 or last[key] == row["_first"]):
             of_key[-1][1] += row["_rows"]
         else:
             of_key.append([tuple(row["_first"]), row["_rows"]])
+        last[key] = row["_last"]
     firsts = {k: [first for first, _ in c[1:]] for k, c in chunks.items()}
     starts = {k: [0, *accumulate(n for _, n in c[:-1])] for k, c in chunks.items()}
     return firsts, starts
