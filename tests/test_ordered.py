@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import indicators as I
+from tickloom.operators import monitor as M
 from tickloom.operators import ordered as O
 from tickloom.operators import validate as C
 
@@ -109,6 +110,17 @@ def test_small_chunks_need_no_tasks_of_their_own(spark):
     assert [b - a for a, b in zip(starts, starts[1:])] == [r["n"] for r in found[:-1]]
 
 
+def test_percentiles_of_a_group_in_small_chunks(spark):
+    """As in error_rate_hot: values are cut twelve to a chunk, in no more tasks than a shuffle has."""
+    rows = spark.range(4000).select(F.lit(1).alias("g"), (F.col("id") % 2000).cast("double").alias("x"))
+    firsts, starts = O._cut_points(rows.distinct(), ["g"], ["x"], *O.hot_keys(rows.distinct(), ["g"], 12))
+    sizes = [b - a for a, b in zip(starts[(1,)], starts[(1,)][1:])]
+    assert len(sizes) > 150 and max(sizes) <= 24 and len(firsts[(1,)]) == len(sizes)
+    shares = {"p50": 0.5, "p99": 0.99}
+    cut, whole = (M.distribution(rows, ["g"], "x", shares, rows_per_task=n).collect() for n in (12, None))
+    assert cut == whole
+
+
 def test_totals_over_cut_keys(ticks):
     total = {"all": F.col("qty")}
     done = O.ordered(ticks, "symbol", ORDER, 100).running({}, totals=total).result()
