@@ -89,24 +89,30 @@ def newest_rows(
 
     The newest row has the greatest time, then the greatest `tiebreak`; NULLs are lowest. A key's rows are
     dealt over `salts` states by their tiebreak, so a key with most of a stream is many tasks'
-    work; its newest row is the best of these. With `ttl` a state that was not
-    changed for so long is forgotten; the stream then goes by processing time.
+    work; its newest row is the best of these. Spark's own aggregate keeps them, and a batch's rows shrink
+    to one of a state before the shuffle; a state that a batch's rows reach is told again, changed or not. With `ttl` a state that was not
+    changed for so long is forgotten, which takes a processor; the stream then goes by processing time.
     """
     front = [timestamp, *tiebreak]
     numbers = _as_numbers(rows.select(*front, *[c for c in rows.columns if c not in front]))
     schema = numbers.schema
-    ttl_ms = None if ttl is None else _micros(ttl) // _MS
     salt = F.pmod(F.xxhash64(*front), F.lit(salts)).cast("int")
     dealt = numbers.select(*[F.col(k).alias(f"_key_{k}") for k in keys], salt.alias(SALT), *schema.names)
     grouped = dealt.groupBy(*[f"_key_{k}" for k in keys], SALT)
-    return grouped.transformWithState(_Newest(schema, len(front), ttl_ms), schema, "Update", "None" if ttl is None else "ProcessingTime")
+    if ttl is None:
+        return grouped.agg(F.max_by(F.struct(*schema.names), F.struct(*front)).alias("_newest")).select("_newest.*")
+    return grouped.transformWithState(_Newest(schema, len(front), _micros(ttl) // _MS), schema, "Update", "ProcessingTime")
 
 
 def read_newest(spark: SparkSession, checkpoint: str, keys: Sequence[str], timestamp: str, tiebreak: Sequence[str], schema: T.StructType) -> DataFrame:
     """The newest row of every key, out of the store of a stream of `newest_rows` whose rows have this schema."""
-    stored = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "newest").load()
+    store, kept = spark.read.format("statestore").option("path", checkpoint), "value"
+    if spark.read.format("state-metadata").load(checkpoint).first()["operatorName"].startswith("transformWithState"):
+        stored = store.option("stateVarName", "newest").load()
+    else:
+        stored, kept = store.load(), "value.valueWithExtremumOrdering"
     kinds = {f.name: f.dataType for f in schema}
-    back = [F.timestamp_micros(f"value.{c}").alias(c) if isinstance(kinds[c], T.TimestampType) else F.col(f"value.{c}").alias(c) for c in schema.names]
+    back = [F.timestamp_micros(f"{kept}.{c}").alias(c) if isinstance(kinds[c], T.TimestampType) else F.col(f"{kept}.{c}").alias(c) for c in schema.names]
     rows = stored.select(*back)
     place = F.struct(timestamp, *tiebreak)
     rest = [c for c in schema.names if c not in keys]
