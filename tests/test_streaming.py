@@ -160,6 +160,75 @@ def test_spans():
         assert all(u < b for (_, u), (b, _) in zip(spans, spans[1:]))
 
 
+class _Store:
+    """A processor's state and timers, counted."""
+
+    def __init__(self):
+        self.spans, self.since, self.timers, self.now = [], None, set(), 0
+
+    def getListState(self, *_):
+        store = self
+
+        class Spans:
+            get = staticmethod(lambda: iter(store.spans))
+            put = staticmethod(lambda spans: store.__setattr__("spans", list(spans)))
+            clear = staticmethod(lambda: store.__setattr__("spans", []))
+
+        return Spans
+
+    def getValueState(self, *_):
+        store = self
+
+        class Down:
+            exists = staticmethod(lambda: store.since is not None)
+            get = staticmethod(lambda: store.since)
+            update = staticmethod(lambda v: store.__setattr__("since", v))
+            clear = staticmethod(lambda: store.__setattr__("since", None))
+
+        return Down
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+def test_outages_take_one_timer_of_a_key():
+    """Two hundred outages in a batch are told by one call, in any order of heartbeats."""
+    import random
+    from types import SimpleNamespace
+
+    store, limit = _Store(), 10_000
+    watch = state._Watch(limit, ["k", "event", "moment"])
+    watch.init(store)
+    beats = [1_000_000 + 50_000 * n for n in range(201)]
+    random.Random(1).shuffle(beats)
+    told, calls = [], 0
+    for part, now in ((beats[:150], 1500), (beats[150:], 20_000)):
+        list(watch.handleInputRows(("a",), [SimpleNamespace(at=b) for b in part if b > store.now * 1000], store))
+        store.now = now
+        while due := sorted(t for t in store.timers if t <= now):
+            store.timers -= set(due[:1])
+            told += list(watch.handleExpiredTimer(("a",), store, None))
+            calls += 1
+        assert len(store.timers) <= 1
+    assert calls <= 4
+    seen = [b for b in beats[:150]] + [b for b in beats[150:] if b > 1_500_000]
+    want = outages_of([("a", dt.datetime.fromtimestamp(b / 1e6, dt.UTC)) for b in seen], dt.timedelta(microseconds=limit), dt.datetime.fromtimestamp(20, dt.UTC))
+    assert sorted((r[1], r[2]) for r in told) == [(e, round(t.timestamp() * 1e6)) for _, e, t in want]
+    assert [r[2] for r in told] == sorted(r[2] for r in told)
+
+
+def test_newest_rows_shrink_before_the_shuffle(stateful, tmp_path):
+    """A stream without an end of life needs no call to Python for a key."""
+    rows = feeds.feed(stateful, str(tmp_path), "k string, t timestamp, id long", "parquet")
+    plan = lambda **how: state.newest_rows(rows, ["k"], "t", ["id"], **how)._jdf.queryExecution().logical().toString()
+    (tmp_path / "x").mkdir()
+    assert "max_by" in plan() and "TransformWithState" not in plan()
+    assert "TransformWithState" in plan(ttl=dt.timedelta(days=1))
+
+
 @pytest.mark.parametrize("salts", [1, 5])
 def test_newest_rows_are_in_the_state(stateful, tmp_path, salts):
     """Ties, NULL times and keys, a hot key, old rows that come late, a batch that changes nothing."""

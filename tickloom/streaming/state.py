@@ -148,29 +148,39 @@ class _Watch(StatefulProcessor):
         self.spans = handle.getListState("spans", _SPAN)
         self.down = handle.getValueState("down", "since bigint")
 
-    def _call_at(self, micros: int) -> None:
-        self.handle.registerTimer(-(-micros // _MS))
+    def _since(self) -> int | None:
+        down = self.down.get()
+        return None if down is None else down[0]
+
+    def _call_next(self, spans: list[tuple[int, int]], down: int | None) -> None:
+        """Ask for a call at the first begin or end to tell of; that call asks for the next one.
+
+        A span that began after a key went down tells its begin first. One timer at a time is what makes a
+        batch cost a call for each key, not for each span.
+        """
+        begin, until = spans[0]
+        self.handle.registerTimer(-(-(until if down is None else begin) // _MS))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         spans = sorted((r[0], r[1]) for r in self.spans.get())
-        known = set(spans)
+        known = list(spans)
         passed = timerValues.getCurrentWatermarkInMs() * _MS
         for row in rows:
             if row.at > passed:  # what happened until then is told
                 merge_span(spans, row.at, row.at + self.limit_us)
-        for span in spans:
-            if span not in known:
-                self._call_at(span[0])
-                self._call_at(span[1])
-        if spans:
+        if spans != known:
             self.spans.put(spans)
+            if spans[:1] != known[:1]:
+                self._call_next(spans, self._since())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Tell of every begin and end that event time has passed; ends of passed spans are final."""
         now = timerValues.getCurrentWatermarkInMs() * _MS
-        down = self.down.get()[0] if self.down.exists() else None
         spans = sorted((r[0], r[1]) for r in self.spans.get())
+        if not spans:
+            return
+        was = down = self._since()
         left, told = [], []
         for begin, until in spans:
             if down is not None and begin <= now:
@@ -182,8 +192,12 @@ class _Watch(StatefulProcessor):
             else:
                 left.append((begin, until))
         if told:
-            self.down.clear() if down is None else self.down.update((down,))
-            self.spans.put(left) if left else self.spans.clear()
+            if down != was:
+                self.down.clear() if down is None else self.down.update((down,))
+            if len(left) < len(spans):
+                self.spans.put(left) if left else self.spans.clear()
+        if left:
+            self._call_next(left, down)
         yield from told
 
     def close(self) -> None:
