@@ -42,7 +42,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, Jaccard 0.8."""
+    """One document of each group of near copies: SimHash classes and, beyond their radius, MinHash
+    bands; every link is confirmed on five-word shingles, Jaccard 0.8."""
     return near_copies.drop_near_copies(docs)
 
 

@@ -74,3 +74,48 @@ def test_bands_hold_pairs_at_the_coefficient():
         x = rng.integers(0, 1 << 63, 180, np.uint64)
         met += any(p == q for p, q in zip(nc.bands(x[:162]), nc.bands(x[18:])))  # 144 of 180: 0.8
     assert met >= 495
+
+
+def distance(a, b):
+    return ((nc.fingerprint(a) ^ nc.fingerprint(b)) & (1 << 64) - 1).bit_count()
+
+
+def near_and_unlike():
+    """Eight unlike long texts, each with a copy (the next doc_id) that has one word changed."""
+    rng = random.Random(11)
+    long = [[f"w{rng.randrange(9000)}" for _ in range(900)] for _ in range(8)]
+    texts = {}
+    for k, words in enumerate(long):
+        new = list(words)
+        new[400] = "changed"
+        texts[10 * k], texts[10 * k + 1] = " ".join(words), " ".join(new)
+    return texts
+
+
+def test_simhash_alone_finds_pairs_within_its_radius(spark, monkeypatch):
+    """Without a MinHash band every pair within the radius is a candidate."""
+    monkeypatch.setattr(nc, "bands", lambda own: [])
+    texts = near_and_unlike()
+    apart = [distance(texts[d], texts[d + 1]) for d in range(0, 80, 10)]
+    near = {d + 1 for d, n in zip(range(0, 80, 10), apart) if n <= nc.RADIUS}
+    assert len(near) >= 6
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in cp.without_near_copies(spark, docs, "").collect()} == set(texts) - near
+
+
+def test_simhash_links_are_confirmed_on_the_sets(spark, monkeypatch):
+    """Equal fingerprints do not make copies of unlike texts."""
+    monkeypatch.setattr(nc, "fingerprint", lambda text: 5)
+    texts = near_and_unlike()
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in cp.without_near_copies(spark, docs, "").collect()} == {d for d in texts if d % 10 == 0}
+
+
+def test_fingerprints_of_distinct_shingles():
+    from tests.llm.test_simhash import plain_fingerprint
+
+    for text in (None, "", "one", "a b c", "a b c d e f"):
+        assert nc.fingerprint(text) & (1 << 64) - 1 == plain_fingerprint(text)
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    line = "the same line again " * 50
+    assert distance(line + a, line + b) > nc.RADIUS

@@ -1,10 +1,15 @@
 """Near copies by the Jaccard coefficient of their sets of word shingles.
 
-Rows with the same set are one node. Candidates are found by MinHash: the least values of a set
-under BANDS * ROWS hashes are cut into bands, and two sets that agree in a whole band meet. Every
-candidate is confirmed on the sets themselves. In a bucket all are first compared with one of
-them; then those of its members that this left in different components are compared with each
-other, so that a group of many copies costs what its rows cost and no pair in a bucket is left out.
+Rows with the same set are one node. Candidates are found by SimHash as in op5 (simhash.py): each
+node has a fingerprint of its distinct three-word shingles, all fingerprints within RADIUS bits are
+linked, and the nodes of a class meet, so no pair within RADIUS bits is missed. Most sets at 0.8 are
+further apart than any such search can reach, so MinHash adds to these: the least values of a set
+under BANDS * ROWS hashes are cut into bands, and two sets that agree in a whole band meet too.
+
+Every candidate is confirmed on the sets themselves. In a bucket, a class or a band, all are first
+compared with one of them; then those of its members that this left in different components are
+compared with each other, so that a group of many copies costs what its rows cost and no pair in a
+bucket is left out.
 
 Sets at 0.8 agree in a band of 6 with 0.26, and in none of 24 with 0.0007.
 """
@@ -18,11 +23,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tickloom.llm import simhash
 from tickloom.llm.batches import free_name, keep, small_batches
 from tickloom.llm.components import components
 
 AT_LEAST = 0.8
 SHINGLE = 5
+#: Bits that fingerprints of one class may differ in from link to link; a bucket agrees on 20 or more.
+RADIUS = 4
 BANDS = 24
 ROWS = 6
 SEED = 42
@@ -70,16 +78,35 @@ def _node(own: np.ndarray) -> int:
     return _signed(xxhash.xxh64_intdigest(own.tobytes(), SEED))
 
 
+def fingerprint(text: str | None) -> int:
+    """SimHash of a text's distinct shingles, as a signed number.
+
+    Shingles are op5's; that repeats count once keeps one line, many times over, from making unlike
+    texts alike.
+    """
+    return _signed(simhash.majority(shingles(text, simhash.SHINGLE)))
+
+
 def _marked(rows: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, hash, node and bands of rows (doc_id, hash, text)."""
+    """doc_id, hash, node, size, fingerprint and bands of rows (doc_id, hash, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            sets = [shingles(t, shingle) for t in batch.column(2).to_pylist()]
-            columns = [batch.column(0), batch.column(1), pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "node", "size", "bands"])
+            texts = batch.column(2).to_pylist()
+            sets = [shingles(t, shingle) for t in texts]
+            numbers = [pa.array(c, pa.int64()) for c in ([_node(s) for s in sets], [len(s) for s in sets], [fingerprint(t) for t in texts])]
+            columns = [batch.column(0), batch.column(1), *numbers, pa.array([bands(s) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "node", "size", "fp", "bands"])
+
+    return rows.mapInArrow(run, "doc_id long, hash long, node long, size long, fp long, bands array<long>")
+
 
-    return rows.mapInArrow(run, "doc_id long, hash long, node long, size long, bands array<long>")
+def _classes(nodes: DataFrame) -> DataFrame:
+    """node, size and bucket: the SimHash class, of fingerprints linked within RADIUS bits."""
+    linked = simhash.classes(keep(nodes.select("fp").distinct(), "fingerprints"), RADIUS).toDF("linked", "root")
+    named = nodes.join(linked, nodes["fp"] == linked["linked"], "left")
+    # a number that is a band's too would only make candidates
+    return named.select("node", "size", F.xxhash64(F.lit("class"), F.coalesce("root", "fp")).alias("bucket"))
 
 
 def _sets(rows: DataFrame, shingle: int) -> DataFrame:
@@ -112,7 +139,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:
 def _roots(marked: DataFrame, rows: DataFrame, at_least: float, shingle: int) -> DataFrame:
     """node and root of the nodes that are linked with others."""
     nodes = marked.dropDuplicates(["node"])
-    spread = nodes.select("node", "size", F.explode("bands").alias("bucket"))
+    classed = keep(_classes(nodes), "classes")
+    spread = classed.union(nodes.select("node", "size", F.explode("bands").alias("bucket")))
     many = spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre")).where("n > 1").drop("n")
     met = keep(spread.join(many, "bucket"), "buckets")
     chosen = marked.join(met.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("r"))

@@ -46,8 +46,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     begins = [0, *(gaps[: len(words) - shingle] + 1).tolist()]
     ends = [*gaps[shingle - 1 :].tolist(), len(line)]
     digest = xxhash.xxh64_digest
-    hashes = np.frombuffer(b"".join([digest(line[a:b], seed) for a, b in zip(begins, ends)]), np.uint8).reshape(-1, 8)
-    ones = [np.bincount(hashes[:, k], minlength=256) @ _BITS for k in range(8)]
+    return majority(np.frombuffer(b"".join([digest(line[a:b], seed) for a, b in zip(begins, ends)]), ">u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Unsigned 64 bits: each is 1 if over half of the 64-bit hashes have it. No hashes: 0."""
+    octets = hashes.astype(">u8", copy=False).view(np.uint8).reshape(-1, 8)
+    ones = [np.bincount(octets[:, k], minlength=256) @ _BITS for k in range(8)]
     return int.from_bytes(np.packbits(np.concatenate(ones) * 2 > len(hashes)).tobytes(), "big")
 
 
@@ -213,6 +218,14 @@ def links_in_buckets(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     return flat.repartition("cut", "bits").sortWithinPartitions("cut", "bits", "fp").mapInArrow(run, "a long, b long")
 
 
+def classes(nodes: DataFrame, radius: int = RADIUS, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """node (a fingerprint) and root (the smallest it can reach) of those in `nodes` (fp, distinct) with links.
+
+    `nodes` is read several times: hand over a written table.
+    """
+    return components(links_in_buckets(buckets(nodes, radius, max_bucket), radius))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row of documents (doc_id, text).
 
@@ -224,11 +237,11 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     """
     marked = keep(fingerprints(docs, shingle, seed), "fingerprints")
     nodes = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links_in_buckets(buckets(nodes, radius), radius))
+    roots = classes(nodes, radius)
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.select(F.col("fp").alias("node"), "root").join(ids, "root").select("node", "component_id")
-    return marked.join(classes, marked["fp"] == classes["node"]).select(
+    found = named.select(F.col("fp").alias("node"), "root").join(ids, "root").select("node", "component_id")
+    return marked.join(found, marked["fp"] == found["node"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
