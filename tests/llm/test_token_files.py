@@ -68,3 +68,19 @@ def test_rows_that_repeat(spark, tmp_path):
     token_files.write_ids(spark.createDataFrame([(1, "b"), (1, "b"), (0, "a")], "doc_id long, text string"), PATH, str(tmp_path / "a"))
     got = token_files.read_documents(spark, str(tmp_path / "a")).collect()
     assert sorted((r.start, r.doc_id, r.n_tokens) for r in got) == [(0, 0, 2), (2, 1, 2), (4, 1, 2)]
+
+
+@pytest.mark.parametrize("top", [300, rans.DENSE_IDS + 5, (1 << 32) - 1])
+def test_tables_count_and_find_ids_without_sorting(top, monkeypatch):
+    """Small ids are counted and looked up by place, great ones sorted and searched, with equal tables."""
+    rng = np.random.default_rng(top)
+    ids = np.concatenate([rng.integers(0, 300, 5000), [top]]).astype("<u4")
+    symbols, counts = np.unique(ids, return_counts=True)
+    if top < rans.DENSE_IDS:
+        monkeypatch.setattr(np, "unique", None)
+        monkeypatch.setattr(np, "searchsorted", None)
+    table = rans.Table.of(ids)
+    assert table.symbols.tolist() == symbols.tolist() and int(table.freqs.sum()) == 1 << table.bits
+    assert (table.freqs[np.argsort(counts)[-1]] >= table.freqs).all()
+    assert table.symbols[table.places(ids)].tolist() == ids.tolist()
+    assert rans.decode(rans.encode(ids, table), table).tolist() == ids.tolist()

@@ -18,6 +18,8 @@ SCALE_BITS = 20
 LANES = 1024
 TOKENS_PER_LANE = 256
 CHECKPOINT_STEPS = 128
+#: Ids below this are counted and looked up by place; greater ones are sorted and searched.
+DENSE_IDS = 1 << 22
 
 
 class Table:
@@ -27,11 +29,17 @@ class Table:
         self.symbols, self.freqs, self.bits = symbols.astype(np.uint32), freqs.astype(np.uint64), bits
         self.starts = np.cumsum(self.freqs) - self.freqs
         self.slots: np.ndarray | None = None
+        self.at: np.ndarray | None = None
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Table:
         """Every id that occurs has a frequency of at least one; the sum is a power of two."""
-        symbols, counts = np.unique(ids, return_counts=True)
+        if len(ids) and int(ids.max()) < DENSE_IDS:
+            counts = np.bincount(ids)
+            symbols = np.flatnonzero(counts)
+            counts = counts[symbols]
+        else:
+            symbols, counts = np.unique(ids, return_counts=True)
         bits = max(SCALE_BITS, int(len(symbols)).bit_length() + 2)
         freqs = 1 + counts.astype(np.uint64) * np.uint64((1 << bits) - len(symbols)) // np.uint64(max(1, len(ids)))
         if len(symbols):
@@ -48,6 +56,15 @@ class Table:
         gaps, freqs = np.frombuffer(zlib.decompress(data[1:]), "<u4").reshape(2, -1)
         return cls(np.cumsum(gaps.astype(np.int64)), freqs, data[0])
 
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """Where the table holds each of the ids; it holds them all."""
+        if not len(self.symbols) or self.symbols[-1] >= DENSE_IDS:
+            return np.searchsorted(self.symbols, ids)
+        if self.at is None:
+            self.at = np.zeros(int(self.symbols[-1]) + 1, np.int32)
+            self.at[self.symbols] = np.arange(len(self.symbols))
+        return self.at[ids]
+
     def by_slot(self) -> np.ndarray:
         if self.slots is None:
             self.slots = np.repeat(np.arange(len(self.symbols), dtype=np.int32), self.freqs.astype(np.int64))
@@ -62,7 +79,7 @@ def lanes_of(n: int) -> int:
 def encode(ids: np.ndarray, table: Table) -> dict:
     """One block: n_tokens, crc32, words, and checkpoints (states and word place; the first is the start)."""
     n, lanes = len(ids), lanes_of(len(ids))
-    at = np.searchsorted(table.symbols, ids)
+    at = table.places(ids)
     freqs, starts, bits = table.freqs[at], table.starts[at], np.uint64(table.bits)
     limits = freqs << (np.uint64(63) - bits)  # a state from here on would outgrow 63 bits
     state, out, points, steps = np.full(lanes, LOW, np.uint64), [], [], -(-n // lanes)
